@@ -47,9 +47,13 @@ def with_signals(
     holidays: DataFrame,
     weather: DataFrame,
 ) -> DataFrame:
-    """All five signals, in one chain without a shuffle while they are small."""
-    fact = with_national(with_city(fact, store_cities), oil, holidays)
-    return with_weather(with_transactions(fact, transactions), weather)
+    """All five signals, in one chain without a shuffle while they are small.
+
+    Transactions grow with the number of stores, so they are the first to need a
+    shuffle and come first, while the rows are narrow.
+    """
+    fact = with_city(with_transactions(fact, transactions), store_cities)
+    return with_weather(with_national(fact, oil, holidays), weather)
 
 
 def fill_signals(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast import schemas
@@ -36,10 +36,16 @@ def holidays_daily(holidays: DataFrame) -> DataFrame:
     Repeated records go in a hash aggregation before the shuffle, so the
     ordering step sees each distinct holiday once.
     """
-    names = {"type": "holiday_type", "locale": "locale", "locale_name": "locale_name"}
-    distinct = holidays.select("date", *names).distinct()
-    first = F.min(F.struct(*[F.col(old).alias(new) for old, new in names.items()]))
-    return distinct.groupBy("date").agg(first.alias("first")).select("date", "first.*")
+    named = holidays.select(
+        "date", F.col("type").alias("holiday_type"), "locale", "locale_name"
+    )
+    order = Window.partitionBy("date").orderBy("holiday_type", "locale", "locale_name")
+    return (
+        named.distinct()
+        .withColumn("place", F.row_number().over(order))
+        .filter(F.col("place") == 1)
+        .drop("place")
+    )
 
 
 def weather_daily(hourly: DataFrame) -> DataFrame:

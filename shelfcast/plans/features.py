@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast import schemas
 from shelfcast.operators import signals
-from shelfcast.session import stage
+from shelfcast.session import stage_all
 from shelfcast.sinks import read_table, write_table
 from shelfcast.sources import Database, read_csv, read_weather
 
@@ -28,11 +28,12 @@ class FeatureTables:
     holidays: DataFrame
     weather: DataFrame
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {field: getattr(self, field) for field in TABLES}
+
     def staged(self) -> FeatureTables:
         """The same tables, each computed once and stored."""
-        return FeatureTables(
-            **{field: stage(getattr(self, field), name) for field, name in TABLES.items()}
-        )
+        return FeatureTables(**stage_all(self.tables()))
 
 
 def feature_tables(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ def recommended_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
     }
@@ -64,3 +66,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``stage`` several tables at a time, as none of them fills a cluster."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return dict(zip(tables, pool.map(stage, tables.values(), tables)))

@@ -12,7 +12,8 @@ from shelfcast import schemas
 from shelfcast.functions import calendar_columns, city_key
 from shelfcast.operators import filters, forecast, joins, quality, signals, star, windows
 from shelfcast.plans import audit, boosting, training
-from shelfcast.session import fresh_path, stage
+from shelfcast.plans.ingest import StarSchema
+from shelfcast.session import fresh_path, stage, stage_all
 from shelfcast.sinks import read_table, write_by_month, write_table
 from shelfcast.sources import read_csv, read_weather, typed
 from shelfcast.testkit.files import write_weather_files
@@ -118,7 +119,15 @@ def _with_transactions(inputs: Inputs, fact: DataFrame) -> DataFrame:
 
 
 def _with_city(inputs: Inputs) -> DataFrame:
-    return joins.with_city(inputs.series, star.store_cities(inputs.dim_store))
+    dim_store = stage(inputs.star.dim_store, "dim_store")
+    return joins.with_city(inputs.series, star.store_cities(dim_store))
+
+
+def join_dim_item(inputs: Inputs) -> DataFrame:
+    stored = stage_all(
+        {name: getattr(inputs.star, name) for name in ("fact_sales", "dim_item")}
+    )
+    return joins.with_item(stored["fact_sales"], stored["dim_item"])
 
 
 def join_city_day(inputs: Inputs) -> DataFrame:
@@ -152,19 +161,19 @@ def null_rates(inputs: Inputs) -> DataFrame:
 
 
 def enrich_sales(inputs: Inputs) -> DataFrame:
-    return training.enriched_sales(
-        inputs.series.drop("family"), inputs.dim_store, inputs.stored_features
-    )
+    star_tables, features = inputs.stored("dim_store")
+    fact = inputs.series.drop("family")
+    return training.enriched_sales(fact, star_tables["dim_store"], features)
 
 
 def model_base(inputs: Inputs) -> DataFrame:
-    tables = inputs.star
-    stored = type(tables)(inputs.dim_item, inputs.dim_store, tables.fact_sales)
-    return training.model_base(stored, inputs.stored_features)
+    star_tables, features = inputs.stored("dim_item", "dim_store", "fact_sales")
+    return training.model_base(StarSchema(**star_tables), features)
 
 
 def model_train(inputs: Inputs) -> DataFrame:
-    return training.training_table(inputs.series, inputs.dim_store, inputs.stored_features)
+    star_tables, features = inputs.stored("dim_store")
+    return training.training_table(inputs.series, star_tables["dim_store"], features)
 
 
 # Forecasts.
@@ -202,7 +211,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dim_store": lambda i: i.star.dim_store,
     "join_fact_perishable": lambda i: star.of_perishables(i.sales, i.items),
     "fact_sales": lambda i: i.star.fact_sales,
-    "join_dim_item": lambda i: joins.with_item(i.star.fact_sales, i.dim_item),
+    "join_dim_item": join_dim_item,
     "join_store_city": _with_city,
     "join_date_signals": _with_date_signals,
     "join_store_day": lambda i: _with_transactions(i, i.series),

@@ -18,7 +18,8 @@ from shelfcast.operators import signals, star
 from shelfcast.operators.filters import perishable, without_returns
 from shelfcast.plans.features import FeatureTables, feature_tables
 from shelfcast.plans.ingest import StarSchema, star_schema
-from shelfcast.session import stage
+from shelfcast.session import stage_all
+from shelfcast.testkit.tables import TABLES
 
 HOLIDAY_DAYS = (1, 15)
 PERISHABLE_TYPES = ("SMALL", "MEDIUM")
@@ -31,7 +32,7 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # Raw inputs.
 
@@ -143,23 +144,20 @@ class Inputs:
     def star(self) -> StarSchema:
         return star_schema(self.items, self.stores, self.sales)
 
-    @cached_property
-    def dim_item(self) -> DataFrame:
-        return stage(self.star.dim_item, "dim_item")
-
-    @cached_property
-    def dim_store(self) -> DataFrame:
-        return stage(self.star.dim_store, "dim_store")
-
     @cached_property
     def features(self) -> FeatureTables:
         return feature_tables(
             self.oil, self.transactions, self.holidays, signals.weather_daily(self.weather)
         )
 
-    @cached_property
-    def stored_features(self) -> FeatureTables:
-        return self.features.staged()
+    def stored(self, *names: str) -> tuple[dict[str, DataFrame], FeatureTables]:
+        """The named star tables and all feature tables, stored side by side."""
+        features = self.features.tables()
+        stored = stage_all({**{name: getattr(self.star, name) for name in names}, **features})
+        return (
+            {name: stored[name] for name in names},
+            FeatureTables(**{name: stored[name] for name in features}),
+        )
 
     @cached_property
     def series(self) -> DataFrame:
