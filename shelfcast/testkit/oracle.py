@@ -88,12 +88,10 @@ TABLES = {
                avg(apparent_c) AS apparent_avg_c
         FROM weather_raw GROUP BY date, city_norm""",
     "weather_month": """
-        SELECT CAST(ts AS DATE) AS date, city_norm, round(avg(temp_c), 4) AS temp_avg_c,
-               round(min(temp_c), 4) AS temp_min_c, round(max(temp_c), 4) AS temp_max_c,
-               round(sum(precip_mm), 4) AS precip_total_mm,
-               round(sum(rain_mm), 4) AS rain_total_mm,
-               round(avg(rh_pct), 4) AS humidity_avg_pct,
-               round(avg(apparent_c), 4) AS apparent_avg_c
+        SELECT CAST(ts AS DATE) AS date, city_norm, avg(round(temp_c * 100)) AS temp_avg_c,
+               min(round(temp_c * 100)) AS temp_min_c, max(round(temp_c * 100)) AS temp_max_c,
+               sum(precip_mm) AS precip_total_mm, sum(rain_mm) AS rain_total_mm,
+               avg(rh_pct) AS humidity_avg_pct, avg(round(apparent_c * 100)) AS apparent_avg_c
         FROM weather_hourly_raw GROUP BY CAST(ts AS DATE), city_norm""",
     "history": """
         SELECT *, lag(unit_sales, 1) OVER w AS lag_1, lag(unit_sales, 7) OVER w AS lag_7,
@@ -223,11 +221,11 @@ ORACLES = {
         UNION ALL SELECT 'weather', count(*)
         FROM (SELECT date, city_norm FROM weather GROUP BY ALL HAVING count(*) > 1)""",
     "null_rates": """
-        SELECT round(avg(CAST(date IS NULL AS INTEGER)), 4) AS date,
-               round(avg(CAST(store_nbr IS NULL AS INTEGER)), 4) AS store_nbr,
-               round(avg(CAST(item_nbr IS NULL AS INTEGER)), 4) AS item_nbr,
-               round(avg(CAST(unit_sales IS NULL AS INTEGER)), 4) AS unit_sales,
-               round(avg(CAST(onpromotion IS NULL AS INTEGER)), 4) AS onpromotion
+        SELECT avg(CAST(date IS NULL AS INTEGER)) AS date,
+               avg(CAST(store_nbr IS NULL AS INTEGER)) AS store_nbr,
+               avg(CAST(item_nbr IS NULL AS INTEGER)) AS item_nbr,
+               avg(CAST(unit_sales IS NULL AS INTEGER)) AS unit_sales,
+               avg(CAST(onpromotion IS NULL AS INTEGER)) AS onpromotion
         FROM train_raw""",
     "daily_fact": "SELECT * FROM daily_fact",
     "calendar_features": """
@@ -273,19 +271,19 @@ ORACLES = {
                roll_mean_7 AS moving_average
         FROM model_train""",
     "forecast_error": """
-        SELECT model, family, round(avg(abs(error)), 4) AS mae,
-               round(sqrt(avg(error * error)), 4) AS rmse, round(avg(error), 4) AS bias,
+        SELECT model, family, round(avg(abs(error)), 6) AS mae,
+               round(sqrt(avg(error * error)), 6) AS rmse, round(avg(error), 6) AS bias,
                count(error) AS n
         FROM (SELECT * FROM errors UNION ALL SELECT model, '(all)', error FROM errors)
         GROUP BY model, family""",
     "factor_effect": """
-        SELECT factor, CAST(level AS VARCHAR) AS level, count(y) AS n, round(avg(y), 4) AS mean_y
+        SELECT factor, CAST(level AS VARCHAR) AS level, count(y) AS n, avg(y) AS mean_y
         FROM levels GROUP BY factor, level""",
     "factor_correlation": """
-        SELECT 'oil_price' AS signal, round(corr(y, oil_price), 4) AS correlation FROM model_train
-        UNION ALL SELECT 'transactions', round(corr(y, transactions), 4) FROM model_train
-        UNION ALL SELECT 'temp_avg_c', round(corr(y, temp_avg_c), 4) FROM model_train
-        UNION ALL SELECT 'precip_total_mm', round(corr(y, precip_total_mm), 4) FROM model_train""",
+        SELECT 'oil_price' AS signal, round(corr(y, oil_price), 6) AS correlation FROM model_train
+        UNION ALL SELECT 'transactions', round(corr(y, transactions), 6) FROM model_train
+        UNION ALL SELECT 'temp_avg_c', round(corr(y, temp_avg_c), 6) FROM model_train
+        UNION ALL SELECT 'precip_total_mm', round(corr(y, precip_total_mm), 6) FROM model_train""",
     "sales_by_family_month": """
         SELECT family, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
                sum(unit_sales) AS units, count(*) AS records,

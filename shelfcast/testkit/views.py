@@ -174,7 +174,12 @@ class Inputs:
 
     @cached_property
     def rollup_hourly(self) -> DataFrame:
-        """Hourly readings with date and city key."""
+        """Hourly readings with date and city key.
+
+        Temperatures are in hundredths of a degree: whole numbers, whose sums do
+        not depend on their order.
+        """
+        hundredths = {name: F.round(F.col(name) * 100) for name in ("temp_c", "apparent_c")}
         return self.weather_hourly.withColumns(
-            {"date": F.to_date("ts"), "city_norm": city_key(F.col("city"))}
+            {"date": F.to_date("ts"), "city_norm": city_key(F.col("city")), **hundredths}
         )
