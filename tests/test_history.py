@@ -74,6 +74,20 @@ def test_short_frames_and_current_row_excluded(spark):
     assert [row.roll_mean_7 for row in means] == [None, 0.0, 0.5, 1.0]
 
 
+def test_means_skip_nulls_and_take_other_lengths(spark):
+    units = [1.0, None, 4.0, None, None, None, 7.0, 2.0]
+    fact = spark.createDataFrame(
+        [(START + dt.timedelta(days=i), 1, 1, u, None) for i, u in enumerate(units)], FACT
+    )
+    found = windows.with_trailing_means(fact, lengths=(2, 3)).orderBy("date").collect()
+    assert [row.roll_mean_2 for row in found] == [None, 1.0, 1.0, 4.0, 4.0, None, None, 7.0]
+    assert [row.roll_mean_3 for row in found] == [None, 1.0, 1.0, 2.5, 4.0, 4.0, None, 7.0]
+    assert found[0].roll_mean_2 is None
+    assert windows.with_trailing_means(fact).columns == [
+        *fact.columns, "roll_mean_7", "roll_mean_14", "roll_mean_28",
+    ]
+
+
 def test_warm_up_drops_28_rows_of_each_series(spark):
     data = _sales({(1, 1): 28, (1, 2): 29, (2, 1): 40})
     kept = filters.warmed_up(windows.with_lags(spark.createDataFrame(data, FACT)))
