@@ -8,18 +8,29 @@ import os
 from pyspark.sql import SparkSession
 
 from shelfcast.operators import quality
-from shelfcast.plans import audit, features, ingest, training
+from shelfcast.plans import audit, boosting, features, ingest, training
 from shelfcast.sinks import read_table
 from shelfcast.sources import Database
 
-JOBS = ("ingest", "weather", "features", "enrich", "train", "base", "check-weather", "audit")
+JOBS = (
+    "check-database",
+    "ingest",
+    "weather",
+    "features",
+    "enrich",
+    "base",
+    "train",
+    "forecast",
+    "check-weather",
+    "audit",
+)
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shelfcast", description=__doc__)
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--raw", help="folder of the raw files")
-    parser.add_argument("--out", required=True, help="folder of the parquet tables")
+    parser.add_argument("--out", help="folder of the parquet tables")
     parser.add_argument(
         "--database", action="store_true", help="also use the database in SHELFCAST_JDBC_*"
     )
@@ -28,12 +39,17 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     if options.job in ("ingest", "weather", "features") and not options.raw:
         parser.error(f"{options.job} needs --raw")
+    if options.job != "check-database" and not options.out:
+        parser.error(f"{options.job} needs --out")
 
     spark = SparkSession.builder.appName(f"shelfcast-{options.job}").getOrCreate()
-    database = Database.from_env(env=os.environ) if options.database else None
+    wants_database = options.database or options.job == "check-database"
+    database = Database.from_env(env=os.environ) if wants_database else None
     raw, out = options.raw, options.out
 
-    if options.job == "ingest":
+    if options.job == "check-database":
+        database.check(spark)
+    elif options.job == "ingest":
         ingest.run(spark, raw, out, database)
     elif options.job == "weather":
         features.run_weather(spark, raw, out)
@@ -44,6 +60,11 @@ def main(arguments: list[str] | None = None) -> None:
         weather.printSchema()
         quality.weather_profile(weather).show(truncate=False)
         quality.rows_per(weather, "city_norm").show(50, truncate=False)
+    elif options.job == "forecast":
+        fit = boosting.fit(read_table(spark, f"{out}/model_train"))
+        fit.comparison().orderBy("family", "mae").show(100, truncate=False)
+        for name, share in sorted(fit.importances().items(), key=lambda item: -item[1]):
+            print(f"{share:.4f} {name}")
     else:
         tables = ingest.load_star(spark, database) if database else ingest.read_star(spark, out)
         signals = (
@@ -61,9 +82,11 @@ def main(arguments: list[str] | None = None) -> None:
         elif options.job == "base":
             training.run_model_base(spark, tables, signals, out)
         else:
-            audit.row_counts(tables, signals).show(truncate=False)
+            enriched = training.enriched_sales(tables.fact_sales, tables.dim_store, signals)
+            audit.row_counts(tables, signals, enriched=enriched).show(truncate=False)
             audit.fan_out(tables, signals).show(truncate=False)
-            for stage in audit.stages(tables, signals).values():
+            quality.distinct_values(tables.fact_sales, "store_id", "num_stores").show()
+            for stage in (*audit.stages(tables, signals).values(), enriched):
                 stage.show(5, truncate=False)
 
 

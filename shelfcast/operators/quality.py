@@ -42,6 +42,16 @@ def sample_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def sales_rejects(sales: DataFrame, measure: str = "unit_sales") -> DataFrame:
+    """One row: the records that the returns filter drops, by reason."""
+    amount = F.col(measure)
+    return sales.agg(
+        F.count_if(amount < 0).alias("returns"),
+        F.count_if(amount.isNull()).alias("unknown"),
+        F.count_if(F.isnan(amount)).alias("not_a_number"),
+    )
+
+
 def null_rates(df: DataFrame) -> DataFrame:
     """One row: per column, the share of rows where it is NULL."""
     return df.agg(

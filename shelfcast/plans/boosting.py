@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfcast import schemas
 from shelfcast.functions.calendar import flag
+from shelfcast.operators.forecast import BASELINES, forecast_errors
 
 TRAIN_SHARE = 0.8
 _NOT_FEATURES = {"date", "store_id", "item_id", "y", "family", "onpromotion"}
@@ -23,6 +24,10 @@ class Fit:
     model: GBTRegressionModel
     forecasts: DataFrame
 
+    def comparison(self) -> DataFrame:
+        """Errors of the trees and of the baselines on the same later dates."""
+        return forecast_errors(self.forecasts, (*BASELINES, "boosted"))
+
     def importances(self) -> dict[str, float]:
         return dict(zip(FEATURES, self.model.featureImportances.toArray().tolist()))
 
@@ -48,7 +53,7 @@ def split_date(training: DataFrame, share: float = TRAIN_SHARE):
 def fit(
     training: DataFrame, trees: int = 20, depth: int = 5, share: float = TRAIN_SHARE
 ) -> Fit:
-    """Train on the earlier dates and forecast the later ones.
+    """Train on the earlier dates and forecast the later ones, next to the baselines.
 
     ``training`` should be a stored table: boosting reads it once per pass.
     """
@@ -57,4 +62,6 @@ def fit(
         labelCol="y", predictionCol="boosted", maxIter=trees, maxDepth=depth, seed=42
     ).fit(data.filter(F.col("date") <= cut))
     later = model.transform(data.filter(F.col("date") > cut))
-    return Fit(model, later.select("date", "store_id", "item_id", "family", "y", "boosted"))
+    baselines = [F.col(feature).alias(name) for name, feature in BASELINES.items()]
+    keys = ("date", "store_id", "item_id", "family", "y")
+    return Fit(model, later.select(*keys, *baselines, "boosted"))

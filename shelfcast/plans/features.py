@@ -56,15 +56,21 @@ def read_features(spark: SparkSession, folder: str) -> FeatureTables:
 
 def load_features(spark: SparkSession, database: Database) -> FeatureTables:
     """From a database, stored once on the way so that joins know the sizes."""
+    read = {field: database.read for field in TABLES} | {"transactions": database.read_split}
     return FeatureTables(
-        **{field: database.read(spark, name) for field, name in TABLES.items()}
+        **{field: read[field](spark, name) for field, name in TABLES.items()}
     ).staged()
 
 
-def run_weather(spark: SparkSession, raw: str, out: str) -> DataFrame:
-    """Hourly weather files to a daily table by city."""
+def run_weather(
+    spark: SparkSession, raw: str, out: str, columns: list[str] | None = None
+) -> DataFrame:
+    """Hourly weather files to a daily table by city.
+
+    Giving the files' ``columns`` saves the scan that looks for header lines.
+    """
     path = f"{out}/weather_daily"
-    write_table(signals.weather_daily(read_weather(spark, f"{raw}/*.csv")), path)
+    write_table(signals.weather_daily(read_weather(spark, f"{raw}/*.csv", columns)), path)
     return read_table(spark, path)
 
 

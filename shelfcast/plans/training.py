@@ -89,7 +89,7 @@ def run_enrich(
     write_table(enriched_sales(tables.fact_sales, tables.dim_store, features), path)
     stored = read_table(spark, path)
     if database:
-        database.overwrite(stored, "fact_sales_enriched", bulk=True)
+        database.overwrite(stored, "fact_sales_enriched", transactions=False)
     return stored
 
 

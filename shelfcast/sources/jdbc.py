@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 BATCH_SIZE = 5000
 WRITE_CONNECTIONS = 8
 ISOLATION = "NONE"
+CHECK = "connection_check"
 
 # How a fact table is split for reading, by store number.
 FACT_KEY = "store_id"
@@ -95,19 +96,23 @@ class Database:
         url, table = options.pop("url"), options.pop("dbtable")
         return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
-    def overwrite(self, df: DataFrame, name: str, bulk: bool = False) -> None:
-        """Replace a table.
+    def overwrite(self, df: DataFrame, name: str, transactions: bool = True) -> None:
+        """Replace a table, over a number of connections a database can bear.
 
-        ``bulk`` writes large batches over at most ``WRITE_CONNECTIONS``
-        connections without a transaction, so a failed job can leave some rows.
+        Without transactions the writes are faster, but a failed job can leave
+        some rows behind.
         """
-        tuned = {
-            "batchsize": str(BATCH_SIZE),
-            "numPartitions": str(WRITE_CONNECTIONS),
-            "isolationLevel": ISOLATION,
-        }
-        options = {**self.options(name), **(tuned if bulk else {})}
-        df.write.format("jdbc").options(**options).mode("overwrite").save()
+        isolation = {} if transactions else {"isolationLevel": ISOLATION}
+        df.write.format("jdbc").options(
+            **self.options(name),
+            batchsize=str(BATCH_SIZE),
+            numPartitions=str(WRITE_CONNECTIONS),
+            **isolation,
+        ).mode("overwrite").save()
+
+    def check(self, spark: SparkSession) -> None:
+        """Fail unless a one-row table can be written."""
+        self.overwrite(spark.createDataFrame([("shelfcast", 1)], "name string, value int"), CHECK)
 
     def _reading(self, name: str) -> dict[str, str]:
         return {**self.options(name), "fetchsize": str(self.fetch_size)}

@@ -227,6 +227,11 @@ ORACLES = {
                avg(CAST(unit_sales IS NULL AS INTEGER)) AS unit_sales,
                avg(CAST(onpromotion IS NULL AS INTEGER)) AS onpromotion
         FROM train_raw""",
+    "sales_rejects": """
+        SELECT count(*) FILTER (WHERE unit_sales < 0) AS returns,
+               count(*) FILTER (WHERE unit_sales IS NULL) AS unknown,
+               count(*) FILTER (WHERE isnan(unit_sales)) AS not_a_number
+        FROM train_raw""",
     "daily_fact": "SELECT * FROM daily_fact",
     "calendar_features": """
         SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,

@@ -12,7 +12,7 @@ from shelfcast import schemas
 from shelfcast.functions import calendar_columns, city_key
 from shelfcast.operators import filters, forecast, joins, quality, signals, star, windows
 from shelfcast.plans import audit, boosting, training
-from shelfcast.plans.ingest import StarSchema
+from shelfcast.plans.ingest import StarSchema, star_schema
 from shelfcast.session import fresh_path, stage, stage_all
 from shelfcast.sinks import read_table, write_by_month, write_table
 from shelfcast.sources import read_csv, read_weather, typed
@@ -119,14 +119,12 @@ def _with_transactions(inputs: Inputs, fact: DataFrame) -> DataFrame:
 
 
 def _with_city(inputs: Inputs) -> DataFrame:
-    dim_store = stage(inputs.star.dim_store, "dim_store")
+    dim_store = stage(inputs.dim_store, "dim_store")
     return joins.with_city(inputs.series, star.store_cities(dim_store))
 
 
 def join_dim_item(inputs: Inputs) -> DataFrame:
-    stored = stage_all(
-        {name: getattr(inputs.star, name) for name in ("fact_sales", "dim_item")}
-    )
+    stored = stage_all({"fact_sales": inputs.fact_sales, "dim_item": inputs.dim_item})
     return joins.with_item(stored["fact_sales"], stored["dim_item"])
 
 
@@ -145,12 +143,16 @@ def sample_rows(inputs: Inputs) -> DataFrame:
     return quality.sample_rows(weather_daily(inputs), 5, "date", "city_norm")
 
 
+def _star(inputs: Inputs) -> StarSchema:
+    return star_schema(inputs.items, inputs.stores, inputs.sales)
+
+
 def stage_row_counts(inputs: Inputs) -> DataFrame:
-    return audit.row_counts(inputs.star, inputs.features)
+    return audit.row_counts(_star(inputs), inputs.features)
 
 
 def fan_out(inputs: Inputs) -> DataFrame:
-    return audit.fan_out(inputs.star, inputs.features)
+    return audit.fan_out(_star(inputs), inputs.features)
 
 
 def null_rates(inputs: Inputs) -> DataFrame:
@@ -190,9 +192,7 @@ def factor_correlation(inputs: Inputs) -> DataFrame:
 
 def boosted_forecast(inputs: Inputs) -> DataFrame:
     fit = boosting.fit(stage(model_train(inputs), "model_train"), trees=10, depth=4)
-    return forecast.forecast_errors(fit.forecasts, models=("boosted",)).select(
-        "family", "mae", "n"
-    )
+    return fit.comparison()
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -207,10 +207,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "filter_returns": lambda i: filters.without_returns(i.sales),
     "filter_perishable": lambda i: filters.perishable(i.items),
     "filter_perishable_any": filter_perishable_any,
-    "dim_item": lambda i: i.star.dim_item,
-    "dim_store": lambda i: i.star.dim_store,
+    "dim_item": lambda i: i.dim_item,
+    "dim_store": lambda i: i.dim_store,
     "join_fact_perishable": lambda i: star.of_perishables(i.sales, i.items),
-    "fact_sales": lambda i: i.star.fact_sales,
+    "fact_sales": lambda i: i.fact_sales,
     "join_dim_item": join_dim_item,
     "join_store_city": _with_city,
     "join_date_signals": _with_date_signals,
@@ -227,11 +227,12 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "rows_per_city": lambda i: quality.rows_per(weather_daily(i), "city_norm"),
     "sample_rows": sample_rows,
     "distinct_stores": lambda i: quality.distinct_values(
-        i.star.fact_sales, "store_id", "num_stores"
+        i.fact_sales, "store_id", "num_stores"
     ),
     "stage_row_counts": stage_row_counts,
     "fan_out": fan_out,
     "null_rates": null_rates,
+    "sales_rejects": lambda i: quality.sales_rejects(i.sales),
     "daily_fact": lambda i: i.series,
     "calendar_features": lambda i: i.series.withColumns(calendar_columns(F.col("date"))),
     "lag_features": lambda i: filters.warmed_up(windows.with_lags(i.series)),

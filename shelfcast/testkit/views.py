@@ -17,7 +17,6 @@ from shelfcast.functions import city_key
 from shelfcast.operators import signals, star
 from shelfcast.operators.filters import perishable, without_returns
 from shelfcast.plans.features import FeatureTables, feature_tables
-from shelfcast.plans.ingest import StarSchema, star_schema
 from shelfcast.session import stage_all
 from shelfcast.testkit.tables import TABLES
 
@@ -97,10 +96,12 @@ class Inputs:
 
     @cached_property
     def _orders_by_nation(self) -> DataFrame:
+        city = F.replace("n_name", F.lit("_"), F.lit("%20"))
+        nations = self.table("nation").withColumn("city_norm", city_key(city))
         return (
             self.table("orders")
             .join(self.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
-            .join(self.table("nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+            .join(nations, F.col("n_nationkey") == F.col("c_nationkey"))
         )
 
     @cached_property
@@ -117,7 +118,7 @@ class Inputs:
         """Weather of the sales years, for joins."""
         return self._orders_by_nation.select(
             F.to_date("o_orderdate").alias("date"),
-            city_key(F.replace("n_name", F.lit("_"), F.lit("%20"))).alias("city_norm"),
+            "city_norm",
             (F.col("o_custkey") % 40).cast("double").alias("temp_c"),
             (F.col("o_orderkey") % 7).cast("double").alias("precip_mm"),
             (F.col("o_orderkey") % 3).cast("double").alias("rain_mm"),
@@ -141,8 +142,16 @@ class Inputs:
     # Tables built from them.
 
     @cached_property
-    def star(self) -> StarSchema:
-        return star_schema(self.items, self.stores, self.sales)
+    def dim_item(self) -> DataFrame:
+        return star.item_dimension(self.items)
+
+    @cached_property
+    def dim_store(self) -> DataFrame:
+        return star.store_dimension(self.stores)
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return star.sales_fact(self.sales, self.items)
 
     @cached_property
     def features(self) -> FeatureTables:
@@ -153,7 +162,7 @@ class Inputs:
     def stored(self, *names: str) -> tuple[dict[str, DataFrame], FeatureTables]:
         """The named star tables and all feature tables, stored side by side."""
         features = self.features.tables()
-        stored = stage_all({**{name: getattr(self.star, name) for name in names}, **features})
+        stored = stage_all({**{name: getattr(self, name) for name in names}, **features})
         return (
             {name: stored[name] for name in names},
             FeatureTables(**{name: stored[name] for name in features}),

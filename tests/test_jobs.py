@@ -52,7 +52,7 @@ def test_jobs_end_to_end(spark, folders, capsys):
     main(["ingest", "--raw", raw, "--out", out])
     main(["weather", "--raw", f"{raw}/weather", "--out", out])
     main(["features", "--raw", raw, "--out", out])
-    for job in ("enrich", "base", "train", "check-weather", "audit"):
+    for job in ("enrich", "base", "train", "forecast", "check-weather", "audit"):
         main([job, "--out", out])
 
     tables, signals = ingest.read_star(spark, out), features.read_features(spark, out)
@@ -78,6 +78,7 @@ def test_jobs_end_to_end(spark, folders, capsys):
     assert table.count() == sum(max(0, row["count"] - 28) for row in lengths)
 
     shown = capsys.readouterr().out
+    assert "moving_average" in shown and "boosted" in shown and "lag_1" in shown
     assert "el carmen" in shown and "fact_sales" in shown and "temp_avg_c: double" in shown
 
     counts = dict(rows(audit.row_counts(tables, signals, enriched=enriched)))
@@ -91,6 +92,9 @@ def test_boosted_forecast(spark, folders):
     assert sum(fit.importances().values()) == pytest.approx(1.0)
     cut = boosting.split_date(table)
     assert fit.forecasts.count() == table.filter(table.date > cut).count() > 0
+    overall = {r.model: r.n for r in fit.comparison().collect() if r.family == "(all)"}
+    assert set(overall) == {"naive", "seasonal_naive", "moving_average", "boosted"}
+    assert set(overall.values()) == {fit.forecasts.count()}
 
 
 def test_train_refuses_signals_that_multiply_sales(spark, folders, tmp_path):
@@ -105,5 +109,6 @@ def test_train_refuses_signals_that_multiply_sales(spark, folders, tmp_path):
 
 
 def test_job_arguments():
-    with pytest.raises(SystemExit):
-        main(["ingest", "--out", "x"])
+    for arguments in (["ingest", "--out", "x"], ["train"], ["nothing", "--out", "x"]):
+        with pytest.raises(SystemExit):
+            main(arguments)

@@ -13,6 +13,7 @@ def test_returns_filter(spark):
         [(-1.0,), (0.0,), (2.5,), (None,), (float("nan"),)], "unit_sales double"
     )
     assert rows(filters.without_returns(sales)) == [(0.0,), (2.5,)]
+    assert rows(quality.sales_rejects(sales)) == [(1, 1, 1)]
 
 
 @pytest.mark.parametrize(

@@ -60,6 +60,9 @@ def test_csv_glob_and_missing_columns(spark, tmp_path):
     assert rows(found) == [(day("2013-01-01"), 1.0), (day("2013-01-02"), 2.0)]
     with pytest.raises(ValueError, match="store_nbr"):
         read_csv(spark, f"{tmp_path}/*.csv", schemas.TRANSACTIONS)
+    _csv(tmp_path, "oil3.csv", "dcoilwtico,date\n3,2013-01-03\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, f"{tmp_path}/*.csv", schemas.OIL).collect()
 
 
 def _weather(folder):
@@ -213,12 +216,40 @@ def test_database_reads():
     assert "dbtable" not in by_range["properties"]
 
 
-def test_database_writes():
+def test_database_writes(spark, monkeypatch):
     database = Database.from_env(env=ENV)
     plain, bulk = Recorder(), Recorder()
     database.overwrite(plain, "dim_item")
-    database.overwrite(bulk, "fact_sales_enriched", bulk=True)
+    database.overwrite(bulk, "fact_sales_enriched", transactions=False)
     assert (plain.asked["mode"], plain.asked["format"]) == ("overwrite", "jdbc")
+    assert {"batchsize": "5000", "numPartitions": "8"}.items() <= plain.asked.items()
     assert "isolationLevel" not in plain.asked
-    wanted = {"batchsize": "5000", "numPartitions": "8", "isolationLevel": "NONE"}
-    assert wanted.items() <= bulk.asked.items()
+    assert bulk.asked["isolationLevel"] == "NONE"
+
+    written = []
+    monkeypatch.setattr(Database, "overwrite", lambda self, df, name: written.append((df, name)))
+    database.check(spark)
+    assert [(rows(df), name) for df, name in written] == [([("shelfcast", 1)], "connection_check")]
+
+
+def test_database_tables_for_the_jobs(spark, monkeypatch):
+    """Large tables are read in ranges, small ones over one connection."""
+    from shelfcast.plans import features, ingest
+
+    asked = {}
+
+    def reader(kind):
+        def read(self, session, name):
+            asked[name] = kind
+            return session.range(1)
+
+        return read
+
+    monkeypatch.setattr(Database, "read", reader("whole"))
+    monkeypatch.setattr(Database, "read_split", reader("ranges"))
+    database = Database.from_env(env=ENV)
+    ingest.load_star(spark, database)
+    assert features.load_features(spark, database).oil.count() == 1
+    split = {name for name, kind in asked.items() if kind == "ranges"}
+    assert split == {"fact_sales", "feat_transactions_daily"}
+    assert len(asked) == 7
