@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from shelfcast.operators import quality
 from shelfcast.plans import audit, boosting, features, ingest, training
+from shelfcast.session import apply_conf
 from shelfcast.sinks import read_table
 from shelfcast.sources import Database
 
@@ -36,6 +37,7 @@ def main(arguments: list[str] | None = None) -> None:
     )
     parser.add_argument("--daily", action="store_true", help="sales hold one row per item and day")
     parser.add_argument("--partitions", type=int, help="shuffle partitions for the history")
+    parser.add_argument("--shuffle-gb", type=float, help="size of the largest shuffle, for settings")
     options = parser.parse_args(arguments)
     if options.job in ("ingest", "weather", "features") and not options.raw:
         parser.error(f"{options.job} needs --raw")
@@ -43,6 +45,8 @@ def main(arguments: list[str] | None = None) -> None:
         parser.error(f"{options.job} needs --out")
 
     spark = SparkSession.builder.appName(f"shelfcast-{options.job}").getOrCreate()
+    if options.shuffle_gb:
+        apply_conf(spark, int(options.shuffle_gb * 1024**3))
     wants_database = options.database or options.job == "check-database"
     database = Database.from_env(env=os.environ) if wants_database else None
     raw, out = options.raw, options.out

@@ -32,6 +32,13 @@ def recommended_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def apply_conf(spark: SparkSession, shuffle_bytes: int) -> None:
+    """``recommended_conf`` for a running session and the cores it has."""
+    settings = recommended_conf(shuffle_bytes, spark.sparkContext.defaultParallelism)
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
@@ -61,7 +68,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     The reader's size is the size of its files, so the planner's broadcast
     threshold decides on a measured size instead of on an estimate inherited
     from the tables ``df`` was aggregated from. Losing an executor afterwards
-    costs nothing: the table is on shared storage.
+    costs nothing: the table is on shared storage. Clearing that folder is left to
+    whoever runs the cluster, as a lazy plan may still read from it.
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -8,8 +8,14 @@ from pyspark.sql import types as T
 MONTH_KEYS = ("year", "month")
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replace a parquet table."""
+def write_table(df: DataFrame, path: str, rebalance: bool = False) -> None:
+    """Replace a parquet table.
+
+    ``rebalance`` evens out the file sizes, at the price of a shuffle. It is for
+    tables that keep little of each input split and are read many times.
+    """
+    if rebalance:
+        df = df.hint("rebalance")
     df.write.mode("overwrite").parquet(path)
 
 

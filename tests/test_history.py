@@ -5,6 +5,9 @@ import random
 
 import pytest
 from conftest import day, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast import schemas
@@ -12,6 +15,7 @@ from shelfcast.functions import calendar_columns
 from shelfcast.operators import filters, joins, star, windows
 from shelfcast.plans import training
 from shelfcast.plans.features import FeatureTables
+from shelfcast.plans.ingest import StarSchema
 
 START = day("2024-01-01")
 
@@ -88,6 +92,38 @@ def test_means_skip_nulls_and_take_other_lengths(spark):
     ]
 
 
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(
+        st.tuples(
+            st.integers(1, 3),
+            st.integers(0, 80),
+            st.one_of(st.none(), st.floats(-1e6, 1e6, allow_nan=False)),
+        ),
+        min_size=1,
+        max_size=120,
+        unique_by=lambda row: row[:2],
+    )
+)
+def test_history_of_any_series(spark, points):
+    """Any gaps, NULLs and magnitudes, against Spark's own sliding averages."""
+    fact = spark.createDataFrame(
+        [(START + dt.timedelta(days=d), s, 1, u, None) for s, d, u in points], FACT
+    )
+    rows_before = Window.partitionBy("store_id", "item_id").orderBy("date")
+    direct = {
+        f"direct_{n}": F.avg("unit_sales").over(rows_before.rowsBetween(-n, -1))
+        for n in schemas.TRAILING_DAYS
+    }
+    for row in windows.with_trailing_means(fact).withColumns(direct).collect():
+        for n in schemas.TRAILING_DAYS:
+            found, expected = row[f"roll_mean_{n}"], row[f"direct_{n}"]
+            assert (found is None) == (expected is None)
+            assert found is None or found == pytest.approx(expected, rel=1e-9, abs=1e-6)
+
+
 def test_warm_up_drops_28_rows_of_each_series(spark):
     data = _sales({(1, 1): 28, (1, 2): 29, (2, 1): 40})
     kept = filters.warmed_up(windows.with_lags(spark.createDataFrame(data, FACT)))
@@ -180,8 +216,6 @@ def test_no_feature_sees_the_current_or_later_days(inputs, spark):
 
 
 def test_enriched_sales_and_model_base(inputs):
-    from shelfcast.plans.ingest import StarSchema
-
     data, fact, dim_item, dim_store, features = inputs
     enriched = training.enriched_sales(fact, dim_store, features)
     assert enriched.columns == schemas.ENRICHED_SALES

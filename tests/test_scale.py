@@ -12,6 +12,7 @@ from shelfcast.plans import training
 from shelfcast.plans.features import FeatureTables
 from shelfcast.session import (
     PARTITION_BYTES,
+    apply_conf,
     fresh_path,
     recommended_conf,
     shared_folder,
@@ -251,6 +252,23 @@ def test_recommended_conf():
     assert recommended_conf(1, cores=16)["spark.sql.shuffle.partitions"] == "16"
 
 
+def test_apply_conf(spark, conf):
+    for name in recommended_conf(1, 1):
+        conf(name, spark.conf.get(name))
+    apply_conf(spark, 50 * PARTITION_BYTES)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+
+
+def test_even_files_for_a_table_that_keeps_little(spark, tmp_path):
+    from shelfcast.sinks import write_table
+
+    kept = spark.range(0, 40_000, 1, 40).filter("id % 100 = 0")
+    for name, rebalance, files in (("plain", False, 40), ("even", True, 1)):
+        write_table(kept, str(tmp_path / name), rebalance)
+        assert len(list((tmp_path / name).glob("*.parquet"))) == files
+        assert spark.read.parquet(str(tmp_path / name)).count() == 400
+
+
 def test_month_with_most_rows_is_split_on_write(spark, conf, tmp_path):
     from shelfcast.sinks import write_by_month
 
