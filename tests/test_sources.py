@@ -93,6 +93,18 @@ def test_weather_files(spark, tmp_path):
     assert profile["El%20Carmen.csv"].header == HEADER
 
 
+def test_weather_times_have_one_format(spark, tmp_path):
+    accepted = ["2013-01-01 0:00", "2013-01-01 09:05", " 2013-01-01 23:59"]
+    refused = [
+        "2013", "2013-01-01", "2013-01-01 24:00", "2013-13-01 1:00", "2013-02-30 1:00",
+        "2013-01-01 1:0", "2013-01-01 10:20:30", "2013-01-01T10:20", "2013-01-01 1:00Z", "10:00",
+    ]
+    lines = [f"{time},1,2,3,4,5" for time in (*refused, *accepted)]
+    path = _csv(tmp_path, "Loja.csv", "\n".join([HEADER, *lines]) + "\n")
+    found = [str(row.ts) for row in read_weather(spark, path).orderBy("ts").collect()]
+    assert found == ["2013-01-01 00:00:00", "2013-01-01 09:05:00", "2013-01-01 23:59:00"]
+
+
 def test_weather_dates_do_not_depend_on_the_time_zone(spark, tmp_path, conf):
     path = _weather(tmp_path)
     expected = rows(read_weather(spark, path).select("ts", "date"))
