@@ -67,14 +67,14 @@ def with_trailing_means(
             for i in blocks[1:]
         }
     )
-    means = {
-        f"roll_mean_{n}": F.try_divide(
+    means = [
+        F.try_divide(
             sum((F.col(c) for c in reversed(sums[: n // block])), F.lit(0.0)),
             sum((F.col(c) for c in counts[: n // block]), F.lit(0)),
-        )
+        ).alias(f"roll_mean_{n}")
         for n in lengths
-    }
-    return result.withColumns(means).drop(*sums, *counts)
+    ]
+    return result.select(*fact.columns, *means)
 
 
 def with_history(
