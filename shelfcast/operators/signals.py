@@ -55,6 +55,11 @@ def weather_daily(hourly: DataFrame) -> DataFrame:
     )
 
 
+def with_date(table: DataFrame) -> DataFrame:
+    """A table whose date may be stored as a timestamp or text."""
+    return table.withColumn("date", F.to_date("date"))
+
+
 def with_city_key(weather: DataFrame) -> DataFrame:
     """Daily weather whose city names may still need normalising."""
     return weather.withColumn("city_norm", city_key(F.col("city_norm")))

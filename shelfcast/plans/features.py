@@ -58,7 +58,7 @@ def load_features(spark: SparkSession, database: Database) -> FeatureTables:
     """From a database, stored once on the way so that joins know the sizes."""
     read = {field: database.read for field in TABLES} | {"transactions": database.read_split}
     return FeatureTables(
-        **{field: read[field](spark, name) for field, name in TABLES.items()}
+        **{field: signals.with_date(read[field](spark, name)) for field, name in TABLES.items()}
     ).staged()
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast import schemas
 from shelfcast.operators import star
+from shelfcast.operators.signals import with_date
 from shelfcast.sinks import read_table, write_table
 from shelfcast.sources import Database, read_csv
 
@@ -38,7 +39,7 @@ def load_star(spark: SparkSession, database: Database) -> StarSchema:
     return StarSchema(
         dim_item=database.read(spark, "dim_item"),
         dim_store=database.read(spark, "dim_store"),
-        fact_sales=database.read_split(spark, "fact_sales"),
+        fact_sales=with_date(database.read_split(spark, "fact_sales")),
     )
 
 

@@ -21,7 +21,7 @@ def _signals(dim_store: DataFrame, features: FeatureTables, holidays: DataFrame)
         "oil": features.oil,
         "transactions": features.transactions,
         "holidays": holidays,
-        "weather": features.weather,
+        "weather": signals.with_city_key(features.weather),
     }
 
 

@@ -157,7 +157,7 @@ def inputs(spark):
             "date date, holiday_type string, locale string, locale_name string",
         ),
         weather=spark.createDataFrame(
-            [(d, "el carmen", *[d.day / 2] * 7) for d in dates],
+            [(d, "El%20Carmen", *[d.day / 2] * 7) for d in dates],
             f"date date, city_norm string, {weather}",
         ),
     )
@@ -174,7 +174,7 @@ def _joined_first(fact, dim_item, dim_store, features):
             features.oil,
             features.transactions,
             features.holidays.select("date", F.lit(1).alias("is_holiday")),
-            features.weather,
+            features.weather.withColumn("city_norm", F.lit("el carmen")),
         )
     ).withColumns(calendar_columns(F.col("date")))
     history = filters.warmed_up(windows.with_history(joined))
@@ -221,6 +221,7 @@ def test_enriched_sales_and_model_base(inputs):
     assert enriched.columns == schemas.ENRICHED_SALES
     assert len(enriched.columns) == 16
     assert enriched.count() == len(data)
+    assert enriched.filter("temp_avg_c IS NULL").count() == enriched.filter("store_id <> 1").count()
     base = training.model_base(StarSchema(dim_item, dim_store, fact), features)
     assert base.columns == schemas.MODEL_BASE
     assert len(base.columns) == 21

@@ -106,6 +106,14 @@ def test_training_plan_on_daily_sales_has_one_shuffle(tables):
     assert len(re.findall(r"\+- Sort \[", text)) == 1
 
 
+def test_enriching_does_not_move_the_sales(tables):
+    sales, _, dim_store, features = tables
+    text = plan(training.enriched_sales(sales, dim_store, features))
+    # The one shuffle is the holidays' own, to make their dates distinct.
+    assert [shuffle.split("#")[0] for shuffle in _shuffles(text)] == ["date"]
+    assert text.count("BroadcastHashJoin") == 5 and "Sort [" not in text
+
+
 def test_scans_read_only_what_they_need(tables, spark):
     text = plan(_training(tables))
     assert "ReadSchema: struct<item_id:int,family:string,perishable:boolean>" in text
