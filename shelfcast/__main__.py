@@ -1,4 +1,4 @@
-"""Batch jobs: ``spark-submit ... -m shelfcast JOB --raw FOLDER --out FOLDER``."""
+"""Batch jobs: ``python -m shelfcast JOB --raw FOLDER --out FOLDER``."""
 
 from __future__ import annotations
 
@@ -37,6 +37,7 @@ def main(arguments: list[str] | None = None) -> None:
     )
     parser.add_argument("--daily", action="store_true", help="sales hold one row per item and day")
     parser.add_argument("--partitions", type=int, help="shuffle partitions for the history")
+    parser.add_argument("--columns", help="weather columns in file order, to skip looking for them")
     parser.add_argument("--shuffle-gb", type=float, help="size of the largest shuffle, for settings")
     options = parser.parse_args(arguments)
     if options.job in ("ingest", "weather", "features") and not options.raw:
@@ -56,7 +57,8 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.job == "ingest":
         ingest.run(spark, raw, out, database)
     elif options.job == "weather":
-        features.run_weather(spark, raw, out)
+        columns = options.columns.split(",") if options.columns else None
+        features.run_weather(spark, raw, out, columns)
     elif options.job == "features":
         features.run(spark, raw, out, database)
     elif options.job == "check-weather":

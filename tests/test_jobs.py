@@ -85,6 +85,15 @@ def test_jobs_end_to_end(spark, folders, capsys):
     assert counts["enriched"] == counts["fact_sales"]
 
 
+def test_weather_with_known_columns(spark, folders, tmp_path):
+    raw, out = folders
+    columns = ",".join([schemas.WEATHER_TIME, *schemas.WEATHER_MEASURES])
+    main(["weather", "--raw", f"{raw}/weather", "--out", str(tmp_path), "--columns", columns])
+    assert rows(read_table(spark, f"{tmp_path}/weather_daily")) == rows(
+        read_table(spark, f"{out}/weather_daily")
+    )
+
+
 def test_boosted_forecast(spark, folders):
     table = read_table(spark, f"{folders[1]}/model_train")
     fit = boosting.fit(table, trees=3, depth=2)
