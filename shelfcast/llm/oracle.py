@@ -26,8 +26,8 @@ WITH words AS (
 ), hits AS (
   SELECT doc_id, item_id, i, size FROM places JOIN windows USING (size, pattern)
 ), covered AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit
-  FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM hits) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id
 ), items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id

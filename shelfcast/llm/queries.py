@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate
+from shelfcast.llm import decontaminate, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +27,14 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_token_planes(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokens.fresh_folder(spark)
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    tokens.write(_table(spark, folder, "documents"), path, tokenizer)
+    return tokens.digests(tokens.read(spark, path))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op4_token_planes": op4_token_planes,
 }

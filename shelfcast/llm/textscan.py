@@ -99,6 +99,17 @@ class Words:
         after = np.zeros(len(data), bool)
         after[:-1] = mask[1:]
         self.ends = np.flatnonzero(mask & (~after | edge[1:])) + 1
+        self._bind(offsets)
+
+    @classmethod
+    def at(cls, data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Words at given byte ranges, none of which reaches into the next text."""
+        words = cls.__new__(cls)
+        words.data, words.starts, words.ends = data, starts, ends
+        words._bind(offsets)
+        return words
+
+    def _bind(self, offsets: np.ndarray) -> None:
         self.first = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.first)
 
