@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, tokens
+from shelfcast.llm import decontaminate, neardup, quality, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,7 +34,18 @@ def op4_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.digests(tokens.read(spark, path))
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return judged.select("doc_id", *quality.BASE, "base_failed", "kept")
+
+
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.find(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_token_planes": op4_token_planes,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_near_duplicates": op6_near_duplicates,
 }
