@@ -64,16 +64,20 @@ class Condition:
 Rule = tuple[Condition, ...]
 
 
+def _both(left: Column, right: Column) -> Column:
+    return F.xxhash64(left, right)
+
+
 def _repeated_words(hashes: Column) -> list[tuple[str, Column]]:
     """Columns that lead from word hashes to the words in windows of three that occur twice.
 
     Windows are sorted by their hash, with their place; equal neighbours give the places.
     """
     size = F.greatest(F.size(hashes) - 2, F.lit(0))
-    pair = F.zip_with(F.slice(hashes, 1, size), F.slice(hashes, 2, size), F.xxhash64)
+    pair = F.zip_with(F.slice(hashes, 1, size), F.slice(hashes, 2, size), _both)
     ordered = F.sort_array(
         F.transform(
-            F.zip_with(pair, F.slice(hashes, 3, size), F.xxhash64),
+            F.zip_with(pair, F.slice(hashes, 3, size), _both),
             lambda window, place: F.struct(window.alias("w"), place.alias("at")),
         )
     )
@@ -227,12 +231,33 @@ class _Learner:
             rule, good = self._pruned(left, rule)
             if not good:
                 break
-            found.append(tuple(self._named(*one) for one in rule))
+            found.append(self._settled(left, rule))
             left = left.where(~self._inside(rule))
         return found
 
-    def _named(self, feature: int, above: bool, bin_: int) -> Condition:
-        return Condition(FEATURES[feature], above, self.thresholds[feature][bin_])
+    def _settled(self, rows: DataFrame, rule: list) -> Rule:
+        """The rule with its lower bounds half-way to the bad rows (all but 2 %) inside it.
+
+        A quantile bin begins where the good rows end; that close to them, the next good
+        row would fall on the wrong side.
+        """
+        names = [FEATURES[feature] for feature, _, _ in rule]
+        edges = rows.where(F.col("bad") & self._inside(rule)).agg(
+            *[
+                F.percentile_approx(f"features.{name}", 0.02 if above else 0.98, 1000)
+                for name, (_, above, _) in zip(names, rule)
+            ]
+        )
+        found = []
+        for name, (feature, above, bin_), edge in zip(names, rule, edges.first()):
+            cut = self.thresholds[feature][bin_]
+            found.append(Condition(name, above, (cut + edge) / 2 if above else cut))
+        return tuple(found)
+
+
+def _bin(value: Column, cuts: list[float]) -> Column:
+    """How many cuts lie below the value."""
+    return F.size(F.filter(F.array(*[F.lit(float(cut)) for cut in cuts]), lambda cut: cut < value))
 
 
 def learn(measured: DataFrame, labels: DataFrame, quality: str = "quality") -> list[Rule]:
@@ -251,17 +276,10 @@ def learn(measured: DataFrame, labels: DataFrame, quality: str = "quality") -> l
     if not cuts["_bad"] or not cuts["_good"]:
         return []
     thresholds = [sorted(set(cuts[name])) for name in FEATURES]
-    bins = [
-        F.size(
-            F.filter(
-                F.array(*[F.lit(float(cut)) for cut in cut_list]),
-                lambda cut, name=name: cut < F.col(f"features.{name}"),
-            )
-        )
-        for name, cut_list in zip(FEATURES, thresholds)
-    ]
+    bins = [_bin(F.col(f"features.{name}"), cuts) for name, cuts in zip(FEATURES, thresholds)]
     growing = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(3)) > 0
-    binned = stage(rows.select("bad", growing.alias("growing"), F.array(*bins).alias("bins")), "bins")
+    binned = rows.select("bad", growing.alias("growing"), "features", F.array(*bins).alias("bins"))
+    binned = stage(binned, "bins")
     return _Learner(binned, thresholds).rules()
 
 
