@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, neardup, quality, tokens
+from shelfcast.llm import decontaminate, langid, neardup, quality, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,15 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, folder, "documents")
+    docs = docs.select("doc_id", "text", "lang", langid.held_out().alias("held_out"))
+    model = langid.learn(docs.where("doc_id is not null and not held_out"), pieces)
+    texts = docs.select("doc_id", "held_out", "text")
+    return langid.predict(texts, model, pieces).drop("text")
+
+
 def op4_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     path = tokens.fresh_folder(spark)
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -45,6 +54,7 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_language": op3_language,
     "op4_token_planes": op4_token_planes,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
