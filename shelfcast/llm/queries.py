@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, langid, neardup, quality, tokens
+from shelfcast.llm import decontaminate, langid, neardup, quality, secrets, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,10 +52,37 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.find(_table(spark, folder, "documents"))
 
 
+def _span_text(span: Column) -> Column:
+    """``kind:start:end``"""
+    places = (span[name].cast("string") for name in ("start", "end"))
+    return F.concat_ws(":", span["kind"], *places)
+
+
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(_table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, _span_text), ",")
+
+    counts = [
+        F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in secrets.BASE_KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_language": op3_language,
     "op4_token_planes": op4_token_planes,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_secrets": op7_secrets,
 }
