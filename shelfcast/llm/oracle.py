@@ -38,6 +38,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP2 = r"""
+WITH parts AS (
+  SELECT page_id, html,
+    translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), rules(rule_host, rule_path, rule_verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), fitting AS (
+  SELECT page_id, rule_host || rule_path AS rule, rule_verdict, row_number() OVER (
+    PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS place
+  FROM parts JOIN rules
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+), origins AS (
+  SELECT page_id, host || path AS key,
+    html IS NOT NULL AND page_id > min(page_id) OVER (PARTITION BY html) AS copied
+  FROM parts
+), mirrors AS (
+  SELECT key FROM origins GROUP BY key HAVING bool_and(copied)
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict,
+  CASE WHEN host || path IN (SELECT key FROM mirrors) THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fitting WHERE place = 1) USING (page_id)
+"""
+
 _OP6 = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
@@ -69,5 +96,6 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached USING (doc
 
 ORACLES = {
     "op1_decontaminate": _OP1,
+    "op2_url_filter": _OP2,
     "op6_near_duplicates": _OP6,
 }

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, langid, neardup, quality, secrets, tokens
+from shelfcast.llm import decontaminate, langid, neardup, quality, secrets, tokens, urlfilter
+from shelfcast.llm.urlfilter import Rule
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +28,22 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    Rule("org", "/", False),
+    Rule("example.org", "/es/", True),
+    Rule("example.org", "/en/1", True),
+    Rule("com", "/fr/", False),
+    Rule("com", "/de/", True),
+]
+
+
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Where no rule fits, addresses that only mirror earlier pages are blocked."""
+    pages = _table(spark, folder, "pages")
+    listed = urlfilter.mirrors(pages)
+    return urlfilter.judge(pages.select("page_id", "url"), URL_RULES, listed).drop("url")
+
+
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     pieces = public_tokenizers.path("piece_bpe_32k.model")
     docs = _table(spark, folder, "documents")
@@ -80,6 +97,7 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_url_filter": op2_url_filter,
     "op3_language": op3_language,
     "op4_token_planes": op4_token_planes,
     "op5_quality_rules": op5_quality_rules,
