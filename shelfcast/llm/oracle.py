@@ -94,8 +94,29 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached USING (doc_id)
 """
 
+# a turn costs 24 characters besides role and text, and one for each escaped string
+_OP10 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT unnest([-1, -1]), unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, 24 + length(role) + length(text) + len(regexp_extract_all(role || text,
+    '\\|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 ORACLES = {
     "op1_decontaminate": _OP1,
     "op2_url_filter": _OP2,
     "op6_near_duplicates": _OP6,
+    "op10_chat_format": _OP10,
 }
