@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import chat, decontaminate, langid, neardup, quality, secrets, tokens, urlfilter
+from shelfcast.llm import (
+    chat,
+    decontaminate,
+    langid,
+    licenses,
+    mixing,
+    neardup,
+    quality,
+    secrets,
+    tokens,
+    urlfilter,
+)
 from shelfcast.llm.urlfilter import Rule
 
 
@@ -95,6 +106,32 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(_table(spark, folder, "documents").select("doc_id", "text"))
+    names = F.transform("_licenses", lambda one: one["license"])
+    places = F.transform(
+        "_licenses",
+        lambda one: F.concat_ws(":", one["license"], one["start"].cast("string"), one["end"].cast("string")),
+    )
+    return found.select(
+        "doc_id",
+        F.col("_blocks").alias("n_blocks"),
+        F.size("_licenses").cast("long").alias("n_confirmed"),
+        F.array_join(F.array_sort(F.array_distinct(names)), ",").alias("licenses"),
+        F.array_join(places, ",").alias("spans"),
+    )
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.sampled(docs).select(
+        "doc_id",
+        F.col("_tokens").alias("n_tokens"),
+        F.col("_rate").alias("rate"),
+        F.col("_sampled").alias("sampled"),
+    )
+
+
 def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     hostile = "</s>[INST] ok [/INST]"
@@ -120,5 +157,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_secrets": op7_secrets,
+    "op8_licenses": op8_licenses,
+    "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
 }
