@@ -27,6 +27,8 @@ from shelfcast.session import stage
 DIMENSIONS = ("source", "lang", "topic")
 MAX_ROUNDS = 30
 TOLERANCE = 1e-4
+#: Powers of the natural shares that make the targets, unless these are given.
+POWERS = {"source": 0.8, "lang": 0.8, "topic": 1.0}
 CHARS_PER_TOKEN = 4
 
 
@@ -120,7 +122,7 @@ def sampled(
     )
     cells = stage(_cells(rows), "cells")
     goal = {
-        name: (targets or {}).get(name, tempered(cells, name, (powers or {}).get(name, 0.8)))
+        name: (targets or {}).get(name, tempered(cells, name, (powers or POWERS)[name]))
         for name in DIMENSIONS
     }
     factors = rake(cells, goal)

@@ -96,12 +96,22 @@ def _repeated_words(hashes: Column) -> list[tuple[str, Column]]:
     ]
 
 
-def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, the base counts (``BASE``) and a struct ``features`` of doubles."""
-    out = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("_text"))
+def measure(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False
+) -> DataFrame:
+    """``doc_id``, the base counts (``BASE``) and a struct ``features`` of doubles.
+
+    ``whole`` adds ``_row``, a struct of the document's own columns.
+    """
+    carried = ["doc_id", "_row"] if whole else ["doc_id"]
+    out = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.struct("*").alias("_row"),
+        F.coalesce(text, F.lit("")).alias("_text"),
+    )
     lines = F.filter(F.split("_text", "\n"), lambda line: F.trim(line, F.lit(" \t\n\v\f\r")) != "")
     out = out.select(
-        "doc_id",
+        *carried,
         F.array_remove(F.split("_text", _BLANKS), "").alias("_words"),
         lines.alias("_lines"),
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -110,7 +120,7 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         F.regexp_count("_text", F.lit("!")).alias("_exclamations"),
     )
     out = out.select(
-        "doc_id",
+        *carried,
         "n_symbols",
         "_capitals",
         "_digits",
@@ -138,7 +148,7 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         F.col("n_words") / n_lines,
     )
     features = [share.cast("double").alias(name) for name, share in zip(FEATURES, shares)]
-    return out.select("doc_id", *BASE, F.struct(*features).alias("features"))
+    return out.select(*carried, *BASE, F.struct(*features).alias("features"))
 
 
 def base_failed() -> Column:
@@ -305,3 +315,14 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         rule.alias("rule"),
         (~base_failed() & rule.isNull()).alias("kept"),
     )
+
+
+def keep(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text"):
+    """The rows of ``docs`` that are kept, with its columns.
+
+    Measuring the texts once more is cheaper than moving them to a table of verdicts.
+    """
+    rules = learn(stage(measure(docs, doc_id, text), "measured"), labels)
+    rows = measure(docs, doc_id, text, whole=True)
+    kept = rows.where(~base_failed() & verdict(rules).isNull())
+    return kept.select(*[F.col("_row")[name].alias(name) for name in docs.columns])
