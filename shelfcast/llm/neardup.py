@@ -8,8 +8,9 @@
    around one of them, never all pairs.
 4. Edges are confirmed on the full shingle sets; confirmed links make components.
 5. A star can miss a link between two of its leaves. So buckets that still hold several
-   components are searched for pairs of different components that share a second band,
-   in blocks of ``BLOCK`` classes, inside the tasks; these pairs are confirmed as well.
+   components are searched again, in blocks of bounded size: first by bands, for classes
+   that may be linked to another component, then among these by their full sets. Only
+   classes and links leave a task, never candidate pairs.
 
 With 50 bands of four bins, a pair of similarity 0.75 shares no band with a probability
 of 6e-9 and fewer than two with 1e-7.
@@ -34,7 +35,8 @@ SHINGLE = 5
 PERCENT = 75
 BANDS = 50
 ROWS = 4
-BLOCK = 512
+BLOCK = 768
+BLOCK_SHINGLES = 1_000_000
 #: Ids up to this many are broadcast to pick texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
@@ -142,74 +144,127 @@ def _sets(batches):
             )
 
 
-def _confirm(edges: DataFrame, docs: DataFrame) -> DataFrame:
-    """The edges ``a, b`` whose full shingle sets are similar enough."""
-    nodes = stage(edges.select("a").union(edges.select("b")).distinct().toDF("doc_id"), "nodes")
+def _sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``doc_id, shingles`` of the documents whose id is in ``nodes``."""
+    nodes = stage(nodes, "nodes")
     if nodes.count() <= BROADCAST_IDS:
         nodes = F.broadcast(nodes)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.join(nodes, "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets, f"doc_id {kind}, shingles array<long>")
-    sets = stage(sets, "shingles")
+    return stage(texts.mapInArrow(_sets, "doc_id long, shingles array<long>"), "shingles")
+
+
+def _confirm(edges: DataFrame, docs: DataFrame) -> DataFrame:
+    """The edges ``a, b`` whose full shingle sets are similar enough."""
+    sets = _sets_of(edges.select("a").union(edges.select("b")).distinct().toDF("doc_id"), docs)
     pairs = edges.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
+    sizes = pairs.withColumn("common", F.size(F.array_intersect("set_a", "set_b")))
     union = F.size("set_a") + F.size("set_b") - F.col("common")
-    sizes = pairs.withColumn("common", common)
     return sizes.where(100 * F.col("common") >= PERCENT * union).select("a", "b")
 
 
-def _cross_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of different components that share another band than this bucket's."""
+def _outsiders(table: pa.Table):
+    """Of a group of classes: those outside its largest component, and whom each must meet.
+
+    Every pair of different components has a member outside the largest one. In a group
+    of two blocks, pairs inside a block are left to the group of that block alone.
+    """
+    _, number = np.unique(table["component"].to_numpy(), return_inverse=True)
+    largest, own = np.argmax(np.bincount(number)), table["own"][0].as_py()
+    lead = table["lead"].to_numpy()
+    place = np.arange(len(number))
+    for one in np.flatnonzero(number != largest):
+        other = (number != number[one]) & ((number == largest) | (place > one))
+        yield one, other if own else other & (lead != lead[one])
+
+
+def _open_members(table: pa.Table) -> pa.Table:
+    """``bucket, rep`` of classes that may have a link to another component.
+
+    Such a pair is like in size and shares a second band. It is looked at in the bucket of
+    the first band that it shares.
+    """
     table = table.combine_chunks()
     keys = table["bands"].chunk(0).flatten().to_numpy().reshape(-1, BANDS)
-    group, ids = table["component"].to_numpy(), table["rep"].to_numpy()
-    lead, own = table["lead"].to_numpy(zero_copy_only=False), table["own"][0].as_py()
-    names, number = np.unique(group, return_inverse=True)
-    largest = np.argmax(np.bincount(number))
-    left, right = [], []
-    # every pair of components has a member outside the largest one
-    for one in np.flatnonzero(number != largest):
-        other = (number != number[one]) & ((number == largest) | (np.arange(len(ids)) > one))
-        if not own:  # two blocks: each pair inside one of them has its own group
-            other &= lead != lead[one]
-        other = np.flatnonzero(other)
-        other = other[(keys[other] == keys[one]).sum(axis=1) >= 2]
-        left.append(np.full(len(other), ids[one]))
-        right.append(ids[other])
-    a = np.concatenate([*left, ids[:0]])
-    b = np.concatenate([*right, ids[:0]])
+    size, bucket = table["n_shingles"].to_numpy(), table["bucket"][0].as_py()
+    band = int(np.argmax(keys[0] == bucket))
+    wanted = np.zeros(len(keys), bool)
+    for one, other in _outsiders(table):
+        low, high = np.minimum(size, size[one]), np.maximum(size, size[one])
+        other = np.flatnonzero(other & (100 * low >= PERCENT * high))
+        same = keys[other] == keys[one]
+        other = other[(same.sum(axis=1) >= 2) & ~same[:, :band].any(axis=1)]
+        wanted[other] = True
+        wanted[one] |= len(other) > 0
+    return table.select(["bucket", "rep"]).filter(pa.array(wanted))
+
+
+def _links_between(table: pa.Table) -> pa.Table:
+    """Links between components of a group, by the full shingle sets."""
+    table = table.combine_chunks()
+    sets, ids = table["shingles"].chunk(0), table["rep"].to_numpy()
+    _, number = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+    size = sets.value_lengths().to_numpy().astype(np.int64)
+    first = np.cumsum(size) - size
+    inside, left, right = np.zeros(len(number), np.int32), [ids[:0]], [ids[:0]]
+    for one, other in _outsiders(table):
+        mine = number[first[one] : first[one] + size[one]]
+        inside[mine] = 1
+        common = np.add.reduceat(inside[number], first)
+        inside[mine] = 0
+        linked = other & (100 * common >= PERCENT * (size[one] + size - common))
+        right.append(ids[linked])
+        left.append(np.full(len(right[-1]), ids[one]))
+    a, b = np.concatenate(left), np.concatenate(right)
     return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
 
-def _missed(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
-    """Edges between components that still share a bucket."""
-    labels = found.withColumnRenamed("node", "rep")
-    placed = members.join(labels, "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component")
-    )
-    placed = stage(placed, "placed")
-    spread = placed.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-    )
-    split = spread.where("low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    open_ = placed.join(split, "bucket").join(
-        reps.select("rep", F.col("bands").cast("array<long>")), "rep"
+def _blocks(members: DataFrame, columns: list[str]) -> DataFrame:
+    """Members of every bucket with several components, dealt to groups of two blocks at most.
+
+    A block has about ``BLOCK`` classes or ``BLOCK_SHINGLES`` shingles, and meets itself and
+    every other block of its bucket once.
+    """
+    spread = members.groupBy("bucket").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.greatest(
+            F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+        ).alias("blocks"),
     )
-    # a block meets itself and every other block once
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = open_.withColumn("mine", mine).withColumn("other", other)
-    dealt = dealt.select(
+    dealt = members.join(spread.where("low <> high").select("bucket", "blocks"), "bucket")
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    return dealt.withColumn("other", F.explode(every)).select(
         "bucket",
         F.least("mine", "other").alias("i"),
         F.greatest("mine", "other").alias("j"),
         "rep",
         "component",
-        "bands",
-        (F.col("mine") == F.least("mine", "other")).alias("lead"),
+        *columns,
+        (F.col("mine") <= F.col("other")).alias("lead"),
         (F.col("mine") == F.col("other")).alias("own"),
     )
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(_cross_pairs, "a long, b long").distinct()
+
+
+def _missed(members: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``a, b`` between components that still share a bucket."""
+    labels = found.withColumnRenamed("node", "rep")
+    placed = members.join(labels, "rep", "left").join(reps.select("rep", "n_shingles"), "rep")
+    placed = stage(
+        placed.select(
+            "bucket", "rep", F.coalesce("component", "rep").alias("component"), "n_shingles"
+        ),
+        "placed",
+    )
+    groups = _blocks(placed, ["n_shingles"]).join(reps.select("rep", "bands"), "rep")
+    wanted = groups.groupBy("bucket", "i", "j").applyInArrow(
+        _open_members, "bucket long, rep long"
+    )
+    wanted = stage(placed.join(wanted.distinct(), ["bucket", "rep"]), "open")
+    sets = _sets_of(wanted.select(F.col("rep").alias("doc_id")).distinct(), docs)
+    groups = _blocks(wanted, []).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    links = groups.groupBy("bucket", "i", "j").applyInArrow(_links_between, "a long, b long")
+    return links.distinct()
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -229,7 +284,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     named = signed.where("n_shingles > 0 and doc_id is not null")
     classes = named.groupBy(*key).agg(F.min(F.struct("doc_id", "bands")).alias("first"))
     classes = stage(classes.select(*key, "first.*").withColumnRenamed("doc_id", "rep"), "classes")
-    reps = classes.select("rep", "bands")
+    reps = classes.select("rep", "n_shingles", "bands")
 
     each = reps.select("rep", F.explode("bands").alias("bucket"))
     shared = each.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
@@ -238,10 +293,9 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     star = members.where("rep <> center").select(F.col("rep").alias("a"), F.col("center").alias("b"))
     links = stage(_confirm(stage(star.distinct(), "edges"), docs), "confirmed")
 
-    missed = stage(_missed(members.select("bucket", "rep"), reps, components(links)), "missed")
-    if not missed.isEmpty():
-        links = links.union(_confirm(missed, docs))
-    labels = components(links).withColumnRenamed("node", "rep")
+    members = members.select("bucket", "rep")
+    missed = stage(_missed(members, reps, components(links), docs), "missed")
+    labels = components(links.union(missed)).withColumnRenamed("node", "rep")
 
     assigned = signed.select("doc_id", *key).join(classes.select(*key, "rep"), key, "left")
     assigned = assigned.join(labels, "rep", "left")
@@ -252,3 +306,21 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component; rows with a null id stay.
+
+    Of rows that share an id one stays.
+    """
+    found = stage(find(docs, doc_id, text).where("doc_id is not null"), "components")
+    name = found["doc_id"].alias(doc_id)
+    dropped = stage(found.where("not kept").select(name).distinct(), "dropped")
+    repeated = found.where("kept").groupBy(name).count().where("count > 1").select(doc_id)
+    repeated = stage(repeated, "repeated")
+    small = dropped.count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(dropped) if small else dropped, doc_id, "left_anti")
+    if repeated.isEmpty():
+        return kept.select(docs.columns)
+    single = kept.join(repeated, doc_id, "left_anti")
+    return single.unionByName(kept.join(repeated, doc_id, "left_semi").dropDuplicates([doc_id]))
