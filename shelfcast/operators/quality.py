@@ -49,6 +49,7 @@ def sales_rejects(sales: DataFrame, measure: str = "unit_sales") -> DataFrame:
         F.count_if(amount < 0).alias("returns"),
         F.count_if(amount.isNull()).alias("unknown"),
         F.count_if(F.isnan(amount)).alias("not_a_number"),
+        F.count_if(F.col("date").isNull()).alias("undated"),
     )
 
 

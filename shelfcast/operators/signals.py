@@ -56,8 +56,8 @@ def weather_daily(hourly: DataFrame) -> DataFrame:
 
 
 def with_date(table: DataFrame) -> DataFrame:
-    """A table whose date may be stored as a timestamp or text."""
-    return table.withColumn("date", F.to_date("date"))
+    """A table whose date may be stored as a timestamp or text; other text gives NULL."""
+    return table.withColumn("date", F.col("date").try_cast("date"))
 
 
 def with_city_key(weather: DataFrame) -> DataFrame:

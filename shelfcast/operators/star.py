@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast import schemas
 from shelfcast.functions import city_key
-from shelfcast.operators.filters import perishable, without_returns
+from shelfcast.operators.filters import is_set, perishable, without_returns
 
 
 def item_dimension(items: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def item_dimension(items: DataFrame) -> DataFrame:
             F.col("item_nbr").alias("item_id"),
             "family",
             "class",
-            F.col("perishable").cast("boolean"),
+            is_set(items, "perishable").alias("perishable"),
         )
         .distinct()
     )
@@ -45,9 +45,12 @@ def of_perishables(sales: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def sales_fact(sales: DataFrame, items: DataFrame) -> DataFrame:
-    """Sold quantities of perishable items, one row per sales record."""
+    """Sold quantities of perishable items, one row per sales record with a date.
+
+    Without a date a record belongs to no place in its series.
+    """
     return (
-        of_perishables(without_returns(sales), items)
+        of_perishables(without_returns(sales).where("date IS NOT NULL"), items)
         .withColumnsRenamed({"store_nbr": "store_id", "item_nbr": "item_id"})
         .withColumn("onpromotion", F.col("onpromotion").try_cast("boolean"))
         .select(schemas.FACT_SALES)

@@ -18,7 +18,7 @@ ITEMS = _schema(
     item_nbr=T.IntegerType(),
     family=T.StringType(),
     **{"class": T.IntegerType()},
-    perishable=T.IntegerType(),
+    perishable=T.StringType(),
 )
 STORES = _schema(
     store_nbr=T.IntegerType(),

@@ -1,5 +1,21 @@
-from shelfcast.sources.csv import count_rejects, read_csv, read_csv_text, typed
+from shelfcast.sources.csv import (
+    RejectCounts,
+    check_rejects,
+    count_rejects,
+    read_csv,
+    read_csv_text,
+    typed,
+)
 from shelfcast.sources.jdbc import Database
 from shelfcast.sources.weather import read_weather
 
-__all__ = ["Database", "count_rejects", "read_csv", "read_csv_text", "read_weather", "typed"]
+__all__ = [
+    "Database",
+    "RejectCounts",
+    "check_rejects",
+    "count_rejects",
+    "read_csv",
+    "read_csv_text",
+    "read_weather",
+    "typed",
+]

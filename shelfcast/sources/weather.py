@@ -6,55 +6,74 @@ import csv
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfcast import schemas
 from shelfcast.functions import city_from_path, city_key
+from shelfcast.session import stage
 
-
-def _file() -> Column:
-    return F.col("_metadata.file_path")
+_PLACE = ("block", "line")
 
 
 def _time(text: Column) -> Column:
-    """Wall-clock time in the files' format, or NULL.
+    """Wall-clock time, or NULL for anything that is no date with an hour part.
 
-    A cast is several times cheaper than a parse with a pattern, and free of the
-    session's time zone, but takes other shapes too, such as a bare year. So the
-    shape is tested first: a date of ten characters, then ``H:mm`` or ``HH:mm``.
+    A cast takes ISO dates and times in all their lengths, and is several times cheaper
+    than a parse with a pattern. A zone is ignored.
     """
     time = F.trim(text)
-    shaped = (
-        F.length(time).between(15, 16)
-        & (F.substring(time, 11, 1) == " ")
-        & (F.substring(time, -3, 1) == ":")
-    )
-    return F.when(shaped, time.try_cast("timestamp_ntz"))
+    return F.when(F.contains(time, F.lit(":")), time.try_cast("timestamp_ntz"))
+
+
+def _line_time() -> Column:
+    return _time(F.replace(F.split("value", ",", 2)[0], F.lit('"')))
 
 
-def file_profile(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Per file: its header line (NULL if none), its lines and its data lines."""
-    line = F.trim("value")
-    header = F.when(F.lower(line).startswith(schemas.WEATHER_TIME), line)
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Non-blank lines: ``file``, the place in it (``block, line``) and the text ``value``.
+
+    Lines of one block are numbered in order.
+    """
     return (
         spark.read.text(path)
-        .groupBy(_file().alias("file"))
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+            F.rtrim("value", F.lit("\r")).alias("value"),
+        )
+        .where(F.trim("value") != "")
+    )
+
+
+def file_profile(lines: DataFrame) -> DataFrame:
+    """Per file: its header line (NULL if none), and how many lines are what.
+
+    ``lost_lines`` stand below the header and are not data. Only one small row per file
+    is kept from the first pass to the second.
+    """
+    text = F.trim("value")
+    header = F.lower(text).startswith(schemas.WEATHER_TIME) & _line_time().isNull()
+    place = F.struct(*_PLACE)
+    heads = lines.groupBy("file").agg(F.min(F.when(header, F.struct(place, text))).alias("head"))
+    heads = stage(heads.select("file", "head.*").toDF("file", "at", "header"), "headers")
+    return (
+        lines.join(heads, "file")
+        .groupBy("file", "header")
         .agg(
-            F.min(header).alias("header"),
             F.count("*").alias("lines"),
-            F.count(_time(F.split("value", ",", 2)[0])).alias("data_lines"),
+            F.count(_line_time()).alias("data_lines"),
+            F.count_if(_line_time().isNull() & (place > F.col("at"))).alias("lost_lines"),
         )
     )
 
 
-def header_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
+def header_columns(profile: DataFrame) -> list[str]:
     """Column names in file order. Every file must have a header, and the same.
 
-    Needs one text scan. No more than two distinct headers reach the driver.
+    No more than two distinct headers reach the driver.
     """
     layouts = (
-        file_profile(spark, path)
-        .groupBy("header")
+        profile.groupBy("header")
         .agg(F.min("file").alias("file"))
         .orderBy(F.col("header").asc_nulls_first())
         .take(2)
@@ -73,28 +92,29 @@ def header_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
     return names
 
 
-def read_weather(
-    spark: SparkSession, path: str | list[str], columns: list[str] | None = None
-) -> DataFrame:
-    """Hourly rows: ``ts, date, city_norm`` and the five measures.
+def check_lost(profile: DataFrame, share: float = 0.0) -> None:
+    """Fail if a file loses more than ``share`` of the lines below its header."""
+    below = F.col("lost_lines") + F.col("data_lines")
+    worst = profile.where(F.col("lost_lines") > share * below).orderBy("file").take(3)
+    if worst:
+        found = [f"{row.file}: {row.lost_lines} of {row.lines}" for row in worst]
+        raise ValueError(f"lines below the header without a time: {found}")
 
-    A line is data when its first column is a time, which drops metadata, blank
-    and header lines in the scan that reads the data, on the executors and
-    whatever the file sizes. ``columns`` is the column order; left out, it is
-    taken from the files' header lines.
+
+def hourly(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Hourly rows of the lines that start with a time.
+
+    That drops metadata, blank and header lines on the executors, whatever the file sizes.
     """
-    names = columns or header_columns(spark, path)
-    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    text = ", ".join(f"`{name}` string" for name in columns)
     measures = [
-        F.col(f"`{name}`").try_cast("double").alias(short)
+        F.trim(F.col("row")[name]).try_cast("double").alias(short)
         for name, short in schemas.WEATHER_MEASURES.items()
     ]
-    ts = _time(F.col(schemas.WEATHER_TIME))
     return (
-        spark.read.schema(text)
-        .csv(path)
-        .withColumns({"ts": ts, "file": _file()})
-        .filter(F.col("ts").isNotNull())
+        lines.withColumn("ts", _line_time())
+        .where(F.col("ts").isNotNull())
+        .withColumn("row", F.from_csv("value", text))
         .select(
             "ts",
             F.to_date("ts").alias("date"),
@@ -102,3 +122,24 @@ def read_weather(
             *measures,
         )
     )
+
+
+def read_weather(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: list[str] | None = None,
+    lost_share: float = 0.0,
+) -> DataFrame:
+    """Hourly rows: ``ts, date, city_norm`` and the five measures.
+
+    The text is read once and stored as a table; headers and lost lines are checked and
+    rows are parsed from there. Giving ``columns``, the column order, saves that: then
+    nothing is checked and the rows come straight from the files.
+    """
+    if columns:
+        return hourly(read_lines(spark, path), columns)
+    lines = stage(read_lines(spark, path), "weather-lines")
+    profile = stage(file_profile(lines), "weather-profile")
+    names = header_columns(profile)
+    check_lost(profile, lost_share)
+    return hourly(lines, names)

@@ -1,5 +1,6 @@
 from conftest import day, rows
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 import pytest
 
 from shelfcast import schemas
@@ -13,7 +14,8 @@ def test_returns_filter(spark):
         [(-1.0,), (0.0,), (2.5,), (None,), (float("nan"),)], "unit_sales double"
     )
     assert rows(filters.without_returns(sales)) == [(0.0,), (2.5,)]
-    assert rows(quality.sales_rejects(sales)) == [(1, 1, 1)]
+    undated = sales.withColumn("date", F.when(F.col("unit_sales") > 1, F.current_date()))
+    assert rows(quality.sales_rejects(undated)) == [(1, 1, 1, 3)]
 
 
 @pytest.mark.parametrize(

@@ -5,10 +5,18 @@ from conftest import day, rows
 from pyspark.errors import AnalysisException
 
 from shelfcast import schemas
-from shelfcast.operators import signals
+from shelfcast.operators import signals, star
 from shelfcast.sinks import read_table, write_by_month, write_table
-from shelfcast.sources import Database, count_rejects, read_csv, read_csv_text, read_weather
-from shelfcast.sources.weather import file_profile
+from shelfcast.sources import (
+    Database,
+    RejectCounts,
+    check_rejects,
+    count_rejects,
+    read_csv,
+    read_csv_text,
+    read_weather,
+)
+from shelfcast.sources.weather import file_profile, read_lines
 
 HEADER = ",".join([schemas.WEATHER_TIME, *schemas.WEATHER_MEASURES])
 TOP = "latitude,longitude,timezone\n-0.18,-78.5,GMT-5\n\n"
@@ -72,7 +80,7 @@ def _weather(folder):
         f"{TOP}{HEADER}\n2013-01-01 0:00,10,0.5,0.25,80,9\n2013-01-01 13:00,20,,0,60,21\n"
         "2013-01-02 0:00,5,0,0,90,4\n",
     )
-    _csv(folder, "Quito.csv", f"{HEADER}\n2013-01-01 9:00,1,2,3,4,bad\nnoon,1,2,3,4,5\n")
+    _csv(folder, "Quito.csv", f"{HEADER}\n2013-01-01 9:00,1,2,3,4,bad\n")
     return str(folder / "*.csv")
 
 
@@ -88,21 +96,59 @@ def test_weather_files(spark, tmp_path):
     daily = {(r.city_norm, str(r.date)): r for r in signals.weather_daily(hourly).collect()}
     assert daily["el carmen", "2013-01-01"].temp_avg_c == 15.0
     assert daily["el carmen", "2013-01-01"].precip_total_mm == 0.5
-    profile = {r.file.rsplit("/", 1)[1]: r for r in file_profile(spark, _weather(tmp_path)).collect()}
-    assert (profile["Quito.csv"].lines, profile["Quito.csv"].data_lines) == (3, 1)
+    lines = read_lines(spark, _weather(tmp_path))
+    profile = {r.file.rsplit("/", 1)[1]: r for r in file_profile(lines).collect()}
+    assert (profile["Quito.csv"].lines, profile["Quito.csv"].data_lines) == (2, 1)
     assert profile["El%20Carmen.csv"].header == HEADER
-
-
-def test_weather_times_have_one_format(spark, tmp_path):
-    accepted = ["2013-01-01 0:00", "2013-01-01 09:05", " 2013-01-01 23:59"]
+    assert {r.lost_lines for r in profile.values()} == {0}
+
+
+def test_weather_times_of_any_shape_are_read_and_others_counted(spark, tmp_path):
+    accepted = {
+        "2013-01-01 0:00": "2013-01-01 00:00:00",
+        "2013-01-01 09:05": "2013-01-01 09:05:00",
+        " 2013-01-01 23:59": "2013-01-01 23:59:00",
+        "2013-01-02 10:20:30": "2013-01-02 10:20:30",
+        "2013-01-03T10:20": "2013-01-03 10:20:00",
+        "2013-01-04T10:20:30.5": "2013-01-04 10:20:30.500000",
+        '"2013-01-05 1:00"': "2013-01-05 01:00:00",
+    }
     refused = [
-        "2013", "2013-01-01", "2013-01-01 24:00", "2013-13-01 1:00", "2013-02-30 1:00",
-        "2013-01-01 1:0", "2013-01-01 10:20:30", "2013-01-01T10:20", "2013-01-01 1:00Z", "10:00",
+        "2013", "2013-01-01", "2013-01-01 24:00", "2013-13-01 1:00", "2013-02-30 1:00", "10:00", "noon",
     ]
     lines = [f"{time},1,2,3,4,5" for time in (*refused, *accepted)]
-    path = _csv(tmp_path, "Loja.csv", "\n".join([HEADER, *lines]) + "\n")
-    found = [str(row.ts) for row in read_weather(spark, path).orderBy("ts").collect()]
-    assert found == ["2013-01-01 00:00:00", "2013-01-01 09:05:00", "2013-01-01 23:59:00"]
+    path = _csv(tmp_path, "Loja.csv", "\n".join([TOP, HEADER, *lines, "", " "]) + "\n")
+    found = sorted(str(row.ts) for row in read_weather(spark, path, lost_share=0.5).collect())
+    assert found == sorted(accepted.values())
+    with pytest.raises(ValueError, match="Loja.csv: 7 of 17"):
+        read_weather(spark, path)
+
+
+def test_weather_file_without_a_readable_time_fails(spark, tmp_path):
+    lost = _csv(tmp_path, "Loja.csv", f"{TOP}{HEADER}\n01/02/2013 1:00,1,2,3,4,5\n")
+    with pytest.raises(ValueError, match="without a time"):
+        read_weather(spark, lost)
+
+
+def test_items_keep_their_spelling_of_yes(spark, tmp_path):
+    for yes, no in (("1.0", "0.0"), ("True", "False"), ("1", "0")):
+        path = _csv(
+            tmp_path, f"items{yes}.csv",
+            f"item_nbr,family,class,perishable\n7.0,A,10,{yes}\n8,B,20,{no}\n",
+        )
+        items = read_csv(spark, path, schemas.ITEMS)
+        assert rows(star.item_dimension(items)) == [(7, "A", 10, True)]
+
+
+def test_rejects_are_counted_while_writing_and_fail_above_a_share(spark, tmp_path):
+    path = _csv(tmp_path, "oil.csv", "date,dcoilwtico\n2013-01-01,1\nsomeday,x\n,2\n")
+    counts = RejectCounts()
+    write_table(counts.read_csv(spark, path, schemas.OIL, "oil"), str(tmp_path / "oil"))
+    rejects = counts.table(spark)
+    assert rows(rejects) == [("oil", "date", 1, 3), ("oil", "dcoilwtico", 1, 3)]
+    check_rejects(rejects, 0.34)
+    with pytest.raises(ValueError, match="dcoilwtico"):
+        check_rejects(rejects, 0.3)
 
 
 def test_weather_dates_do_not_depend_on_the_time_zone(spark, tmp_path, conf):
@@ -222,6 +268,18 @@ def test_database_reads():
         "partitionColumn": "store_id", "lowerBound": "1", "upperBound": "54", "numPartitions": "8",
     }
     assert wanted.items() <= split.items()
+    other = Database.from_env(
+        env=ENV, fact_key="id", fact_bounds=(5, 900), fact_partitions=70, write_connections=3
+    )
+    wanted = {
+        "partitionColumn": "id", "lowerBound": "5", "upperBound": "900", "numPartitions": "70",
+    }
+    assert wanted.items() <= other.read_fact(Recorder(), "fact_sales").items()
+    written = Recorder()
+    other.overwrite(written, "dim_item")
+    assert written.asked["numPartitions"] == "3"
+    parts = Database.from_env(env=ENV, fact_predicates=("a", "b"))
+    assert parts.read_fact(Recorder(), "fact_sales")["predicates"] == ["a", "b"]
     ranges = ["store_id < 9", "store_id >= 9 OR store_id IS NULL"]
     by_range = database.read_where(Recorder(), "fact_sales", ranges)
     assert (by_range["table"], by_range["predicates"]) == ("retail.fact_sales", ranges)
@@ -253,15 +311,22 @@ def test_database_tables_for_the_jobs(spark, monkeypatch):
     def reader(kind):
         def read(self, session, name):
             asked[name] = kind
-            return session.createDataFrame([("2024-01-01 10:00:00",)], "date string")
+            return session.createDataFrame([("2024-01-01 10:00:00", "Quito ")], "date string, city_norm string")
 
         return read
 
     monkeypatch.setattr(Database, "read", reader("whole"))
-    monkeypatch.setattr(Database, "read_split", reader("ranges"))
+    monkeypatch.setattr(Database, "read_fact", reader("ranges"))
     database = Database.from_env(env=ENV)
-    assert rows(ingest.load_star(spark, database).fact_sales) == [(day("2024-01-01"),)]
-    assert rows(features.load_features(spark, database).oil) == [(day("2024-01-01"),)]
+    loaded = ingest.load_star(spark, database)
+    assert rows(loaded.fact_sales.select("date")) == [(day("2024-01-01"),)]
+    found = features.load_features(spark, database)
+    assert rows(found.oil.select("date")) == [(day("2024-01-01"),)]
+    assert rows(found.weather) == [(day("2024-01-01"), "quito")]
+    # stored on the way, so joins with them are planned by their size
+    for table in (loaded.dim_item, loaded.dim_store, found.weather):
+        size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        assert int(str(size)) < 10_000
     split = {name for name, kind in asked.items() if kind == "ranges"}
     assert split == {"fact_sales", "feat_transactions_daily"}
     assert len(asked) == 7
