@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import argparse
-import os
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from shelfcast.operators import quality
 from shelfcast.plans import audit, boosting, features, ingest, training
-from shelfcast.session import apply_conf
-from shelfcast.sinks import read_table
+from shelfcast.session import apply_conf, clean, stage
+from shelfcast.sinks import read_table, write_table
 from shelfcast.sources import Database
 
 JOBS = (
@@ -37,7 +37,15 @@ def main(arguments: list[str] | None = None) -> None:
     )
     parser.add_argument("--daily", action="store_true", help="sales hold one row per item and day")
     parser.add_argument("--partitions", type=int, help="shuffle partitions for the history")
-    parser.add_argument("--columns", help="weather columns in file order, to skip looking for them")
+    parser.add_argument("--columns", help="weather columns in file order, for files without a header")
+    parser.add_argument("--reject-share", type=float, help="share of values that may fail to parse")
+    parser.add_argument("--db-key", help="whole-number column that splits large tables")
+    parser.add_argument("--db-bounds", type=int, nargs=2, help="first and last key")
+    parser.add_argument("--db-partitions", type=int, help="parts to read large tables in")
+    parser.add_argument(
+        "--db-predicate", action="append", help="condition of one part; repeat to cover the table"
+    )
+    parser.add_argument("--db-connections", type=int, help="connections to write over")
     parser.add_argument("--shuffle-gb", type=float, help="size of the largest shuffle, for settings")
     options = parser.parse_args(arguments)
     if options.job in ("ingest", "weather", "features") and not options.raw:
@@ -46,31 +54,50 @@ def main(arguments: list[str] | None = None) -> None:
         parser.error(f"{options.job} needs --out")
 
     spark = SparkSession.builder.appName(f"shelfcast-{options.job}").getOrCreate()
-    if options.shuffle_gb:
-        apply_conf(spark, int(options.shuffle_gb * 1024**3))
+    apply_conf(spark, int((options.shuffle_gb or 0) * 1024**3))
     wants_database = options.database or options.job == "check-database"
-    database = Database.from_env(env=os.environ) if wants_database else None
+    database = Database.from_env(**_database_options(options)) if wants_database else None
+    try:
+        _run(options, spark, database)
+    finally:
+        clean(spark)
+
+
+def _database_options(options: argparse.Namespace) -> dict:
+    given = {
+        "fact_key": options.db_key,
+        "fact_bounds": options.db_bounds and tuple(options.db_bounds),
+        "fact_partitions": options.db_partitions,
+        "fact_predicates": options.db_predicate and tuple(options.db_predicate),
+        "write_connections": options.db_connections,
+    }
+    return {name: value for name, value in given.items() if value is not None}
+
+
+def _run(options: argparse.Namespace, spark: SparkSession, database: Database | None) -> None:
     raw, out = options.raw, options.out
+    share = {} if options.reject_share is None else {"reject_share": options.reject_share}
 
     if options.job == "check-database":
         database.check(spark)
     elif options.job == "ingest":
-        ingest.run(spark, raw, out, database)
+        ingest.run(spark, raw, out, database, **share)
     elif options.job == "weather":
         columns = options.columns.split(",") if options.columns else None
-        features.run_weather(spark, raw, out, columns)
+        features.run_weather(spark, raw, out, columns, options.reject_share or 0.0)
     elif options.job == "features":
-        features.run(spark, raw, out, database)
+        features.run(spark, raw, out, database, **share)
     elif options.job == "check-weather":
         weather = read_table(spark, f"{out}/weather_daily")
         weather.printSchema()
         quality.weather_profile(weather).show(truncate=False)
-        quality.rows_per(weather, "city_norm").show(50, truncate=False)
+        write_table(quality.rows_per(weather, "city_norm"), f"{out}/weather_rows_per_city")
+        read_table(spark, f"{out}/weather_rows_per_city").show(50, truncate=False)
     elif options.job == "forecast":
-        fit = boosting.fit(read_table(spark, f"{out}/model_train"))
-        fit.comparison().orderBy("family", "mae").show(100, truncate=False)
-        for name, share in sorted(fit.importances().items(), key=lambda item: -item[1]):
-            print(f"{share:.4f} {name}")
+        for name in boosting.run(spark, out):
+            table = read_table(spark, f"{out}/{name}")
+            print(f"{name}, {table.count()} rows stored, the first of them:")
+            table.show(100, truncate=False)
     else:
         tables = ingest.load_star(spark, database) if database else ingest.read_star(spark, out)
         signals = (
@@ -78,10 +105,14 @@ def main(arguments: list[str] | None = None) -> None:
             if database
             else features.read_features(spark, out)
         )
+        if options.job == "audit":
+            if database:  # counted, joined and sampled: read it from the database once
+                tables = replace(tables, fact_sales=stage(tables.fact_sales, "fact"))
+        else:
+            audit.check_unique(tables, signals)
         if options.job == "enrich":
             training.run_enrich(spark, tables, signals, out, database)
         elif options.job == "train":
-            audit.check_unique(tables, signals)
             training.run_training(
                 spark, tables, signals, out, options.daily, options.partitions
             )
@@ -92,8 +123,8 @@ def main(arguments: list[str] | None = None) -> None:
             audit.row_counts(tables, signals, enriched=enriched).show(truncate=False)
             audit.fan_out(tables, signals).show(truncate=False)
             quality.distinct_values(tables.fact_sales, "store_id", "num_stores").show()
-            for stage in (*audit.stages(tables, signals).values(), enriched):
-                stage.show(5, truncate=False)
+            for table in (*audit.stages(tables, signals).values(), enriched):
+                table.show(5, truncate=False)
 
 
 if __name__ == "__main__":

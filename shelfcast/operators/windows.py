@@ -9,7 +9,6 @@ than the calendar.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -46,11 +45,15 @@ def with_trailing_means(
     Spark recomputes a sliding frame for every row, 49 additions for these three.
     So only one week is summed that way, and the longer means add up the sums
     found 7, 14 and 21 rows back. Nothing is ever subtracted, so the sums are as
-    accurate as those of the full frames.
+    accurate as those of the full frames. Lengths that are no multiple of the
+    shortest one get a sliding frame of their own.
     """
     rows = _history(series)
-    block = math.gcd(*lengths)
-    blocks = range(max(lengths) // block)
+    block = min(lengths)
+    others = [n for n in lengths if n % block]
+    plain = {f"roll_mean_{n}": F.avg(measure).over(rows.rowsBetween(-n, -1)) for n in others}
+    multiples = [n for n in lengths if n % block == 0]
+    blocks = range(max(multiples) // block)
     week = rows.rowsBetween(-block, -1)
     sums, counts = [f"_sum_{i}" for i in blocks], [f"_count_{i}" for i in blocks]
 
@@ -72,9 +75,10 @@ def with_trailing_means(
             sum((F.col(c) for c in reversed(sums[: n // block])), F.lit(0.0)),
             sum((F.col(c) for c in counts[: n // block]), F.lit(0)),
         ).alias(f"roll_mean_{n}")
-        for n in lengths
+        for n in multiples
     ]
-    return result.select(*fact.columns, *means)
+    result = result.withColumns(plain).select("*", *means)
+    return result.select(*fact.columns, *[f"roll_mean_{n}" for n in lengths])
 
 
 def with_history(
@@ -82,12 +86,22 @@ def with_history(
     series: Sequence[str] = ITEM_SERIES,
     measure: str = "unit_sales",
     partitions: int | None = None,
+    verify: bool = False,
 ) -> DataFrame:
     """Lags and trailing means.
 
     ``partitions`` fixes the number of shuffle partitions by series. Left out,
-    adaptive execution sizes them.
+    adaptive execution sizes them. ``verify`` fails on a series that repeats a
+    date; it looks at the row before, which costs no shuffle.
     """
     if partitions:
         fact = fact.repartition(partitions, *series)
-    return with_trailing_means(with_lags(fact, series, measure), series, measure)
+    history = with_trailing_means(with_lags(fact, series, measure), series, measure)
+    if not verify:
+        return history
+    again = F.lag("date").over(_history(series)) == F.col("date")
+    fail = F.raise_error(F.lit("a series repeats a date")).cast("boolean")
+    checked = history.withColumn("_again", again)
+    # not deterministic, so that no later filter is tried first
+    sound = F.when(F.col("_again"), fail).otherwise(F.spark_partition_id() >= 0)
+    return checked.where(sound).drop("_again")

@@ -6,12 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast import schemas
 from shelfcast.functions.calendar import flag
 from shelfcast.operators.forecast import BASELINES, forecast_errors
+from shelfcast.sinks import read_table, write_table
 
 TRAIN_SHARE = 0.8
 _NOT_FEATURES = {"date", "store_id", "item_id", "y", "family", "onpromotion"}
@@ -32,6 +33,25 @@ class Fit:
         return dict(zip(FEATURES, self.model.featureImportances.toArray().tolist()))
 
 
+def importance_table(spark: SparkSession, found: Fit) -> DataFrame:
+    """``feature, importance``, one row per feature."""
+    return spark.createDataFrame([*found.importances().items()], "feature string, importance double")
+
+
+def run(spark: SparkSession, out: str) -> list[str]:
+    """Fit on the stored training table; store forecasts, their errors and the importances."""
+    found = fit(read_table(spark, f"{out}/model_train"))
+    write_table(found.forecasts, f"{out}/forecasts")
+    stored = Fit(found.model, read_table(spark, f"{out}/forecasts"))
+    errors = stored.comparison().coalesce(1).sortWithinPartitions("family", "mae")
+    write_table(errors, f"{out}/forecast_errors")
+    importances = importance_table(spark, found).coalesce(1)
+    write_table(
+        importances.sortWithinPartitions(F.desc("importance")), f"{out}/feature_importance"
+    )
+    return ["forecast_errors", "feature_importance"]
+
+
 def _assembled(training: DataFrame) -> DataFrame:
     """Feature vectors. Unknown weather is 0, told apart by ``has_weather``."""
     known = training.withColumns(

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast import schemas
 from shelfcast.operators import signals
-from shelfcast.session import stage_all
+from shelfcast.session import stage, stage_all
 from shelfcast.sinks import read_table, write_table
-from shelfcast.sources import Database, read_csv, read_weather
+from shelfcast.sources import Database, RejectCounts, check_rejects, weather
 
 # Stored table names, by field of ``FeatureTables``.
 TABLES = {
@@ -19,6 +19,7 @@ TABLES = {
     "holidays": "feat_holidays_daily",
     "weather": "feat_weather_daily_city",
 }
+REJECT_SHARE = 0.01
 
 
 @dataclass(frozen=True)
@@ -49,46 +50,73 @@ def feature_tables(
 
 
 def read_features(spark: SparkSession, folder: str) -> FeatureTables:
-    return FeatureTables(
-        **{field: read_table(spark, f"{folder}/{name}") for field, name in TABLES.items()}
+    return _normalised(
+        {field: read_table(spark, f"{folder}/{name}") for field, name in TABLES.items()}
     )
 
 
+def _normalised(tables: dict[str, DataFrame]) -> FeatureTables:
+    """With city keys as the joins need them, so that checks see those too."""
+    return FeatureTables(**tables | {"weather": signals.with_city_key(tables["weather"])})
+
+
 def load_features(spark: SparkSession, database: Database) -> FeatureTables:
     """From a database, stored once on the way so that joins know the sizes."""
-    read = {field: database.read for field in TABLES} | {"transactions": database.read_split}
-    return FeatureTables(
-        **{field: signals.with_date(read[field](spark, name)) for field, name in TABLES.items()}
+    read = {field: database.read for field in TABLES} | {"transactions": database.read_fact}
+    return _normalised(
+        {field: signals.with_date(read[field](spark, name)) for field, name in TABLES.items()}
     ).staged()
 
 
 def run_weather(
-    spark: SparkSession, raw: str, out: str, columns: list[str] | None = None
+    spark: SparkSession,
+    raw: str,
+    out: str,
+    columns: list[str] | None = None,
+    lost_share: float = 0.0,
 ) -> DataFrame:
     """Hourly weather files to a daily table by city.
 
-    Giving the files' ``columns`` saves the scan that looks for header lines.
+    What each file holds, lost lines included, is stored as ``weather_files``; a file that
+    loses more than ``lost_share`` of its lines fails the job. The files' ``columns`` need
+    only be given if they have no header.
     """
     path = f"{out}/weather_daily"
-    write_table(signals.weather_daily(read_weather(spark, f"{raw}/*.csv", columns)), path)
+    lines = stage(weather.read_lines(spark, f"{raw}/*.csv"), "weather-lines")
+    write_table(weather.file_profile(lines).coalesce(1), f"{out}/weather_files")
+    profile = read_table(spark, f"{out}/weather_files")
+    names = columns or weather.header_columns(profile)
+    weather.check_lost(profile, lost_share)
+    write_table(signals.weather_daily(weather.hourly(lines, names)), path)
     return read_table(spark, path)
 
 
 def run(
-    spark: SparkSession, raw: str, out: str, database: Database | None = None
+    spark: SparkSession,
+    raw: str,
+    out: str,
+    database: Database | None = None,
+    reject_share: float = REJECT_SHARE,
 ) -> FeatureTables:
     """Write the four tables as parquet, then copy those to the database.
 
-    The daily weather must be in ``out`` already, from ``run_weather``.
+    The daily weather must be in ``out`` already, from ``run_weather``. Values that do not
+    parse are stored as ``feature_rejects`` and fail the job above ``reject_share``.
     """
+    counts = RejectCounts()
+    inputs = {
+        "oil": (f"{raw}/oil.csv", schemas.OIL),
+        "transactions": (f"{raw}/transactions.csv", schemas.TRANSACTIONS),
+        "holidays": (f"{raw}/holidays_events.csv", schemas.HOLIDAYS),
+    }
     built = feature_tables(
-        oil=read_csv(spark, f"{raw}/oil.csv", schemas.OIL),
-        transactions=read_csv(spark, f"{raw}/transactions.csv", schemas.TRANSACTIONS),
-        holidays=read_csv(spark, f"{raw}/holidays_events.csv", schemas.HOLIDAYS),
+        **{name: counts.read_csv(spark, *where, name) for name, where in inputs.items()},
         weather=read_table(spark, f"{out}/weather_daily"),
     )
     for field, name in TABLES.items():
         write_table(getattr(built, field), f"{out}/{name}")
+    write_table(counts.table(spark), f"{out}/feature_rejects")
+    check_rejects(read_table(spark, f"{out}/feature_rejects"), reject_share)
     stored = read_features(spark, out)
     if database:
         for field, name in TABLES.items():

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast import schemas
 from shelfcast.operators import star
 from shelfcast.operators.signals import with_date
+from shelfcast.session import stage_all
 from shelfcast.sinks import read_table, write_table
-from shelfcast.sources import Database, read_csv
+from shelfcast.sources import Database, RejectCounts, check_rejects, read_csv
 
 TABLES = ("dim_item", "dim_store", "fact_sales")
+REJECT_SHARE = 0.01
 
 
 @dataclass(frozen=True)
@@ -35,29 +37,40 @@ def read_star(spark: SparkSession, folder: str) -> StarSchema:
 
 
 def load_star(spark: SparkSession, database: Database) -> StarSchema:
-    """The star schema from a database, the fact read in ranges of stores."""
-    return StarSchema(
-        dim_item=database.read(spark, "dim_item"),
-        dim_store=database.read(spark, "dim_store"),
-        fact_sales=with_date(database.read_split(spark, "fact_sales")),
-    )
+    """The star schema from a database: the fact in parts, the dimensions stored on the way.
+
+    A database tells no sizes; stored, the dimensions have one, and joins with them move
+    no sales while they are small.
+    """
+    dimensions = {name: database.read(spark, name) for name in ("dim_item", "dim_store")}
+    fact = with_date(database.read_fact(spark, "fact_sales"))
+    return StarSchema(**stage_all(dimensions), fact_sales=fact)
 
 
 def run(
-    spark: SparkSession, raw: str, out: str, database: Database | None = None
+    spark: SparkSession,
+    raw: str,
+    out: str,
+    database: Database | None = None,
+    reject_share: float = REJECT_SHARE,
 ) -> StarSchema:
     """Write the three tables as parquet, then copy those to the database.
 
     The fact keeps a fraction of each CSV split, so its files are evened out for
-    the jobs that read it.
+    the jobs that read it. Values that do not parse are counted in the runs that
+    write, stored as ``ingest_rejects``, and fail the job above ``reject_share``.
     """
-    built = star_schema(
-        items=read_csv(spark, f"{raw}/items.csv", schemas.ITEMS),
-        stores=read_csv(spark, f"{raw}/stores.csv", schemas.STORES),
-        sales=read_csv(spark, f"{raw}/train.csv", schemas.SALES),
-    )
-    for name in TABLES:
-        write_table(getattr(built, name), f"{out}/{name}", rebalance=name == "fact_sales")
+    counts = RejectCounts()
+    items = counts.read_csv(spark, f"{raw}/items.csv", schemas.ITEMS, "items")
+    stores = counts.read_csv(spark, f"{raw}/stores.csv", schemas.STORES, "stores")
+    sales = counts.read_csv(spark, f"{raw}/train.csv", schemas.SALES, "sales")
+    write_table(star.item_dimension(items), f"{out}/dim_item")
+    write_table(star.store_dimension(stores), f"{out}/dim_store")
+    # the fact reads the items once more, without counting them again
+    again = read_csv(spark, f"{raw}/items.csv", schemas.ITEMS)
+    write_table(star.sales_fact(sales, again), f"{out}/fact_sales", rebalance=True)
+    write_table(counts.table(spark), f"{out}/ingest_rejects")
+    check_rejects(read_table(spark, f"{out}/ingest_rejects"), reject_share)
     stored = read_star(spark, out)
     if database:
         for name in TABLES:

@@ -21,7 +21,7 @@ def _signals(dim_store: DataFrame, features: FeatureTables, holidays: DataFrame)
         "oil": features.oil,
         "transactions": features.transactions,
         "holidays": holidays,
-        "weather": signals.with_city_key(features.weather),
+        "weather": features.weather,
     }
 
 
@@ -46,7 +46,7 @@ def perishable_series(
     """Sales of perishable items with their family, one row per series and date.
 
     ``daily`` says that the fact has one row per series and date already, which
-    saves the shuffle that makes sure of it.
+    saves the shuffle that makes sure of it; the history should then verify it.
     """
     items = dim_item.select("item_id", "family", "perishable")
     sales = joins.with_item(fact, items).drop("perishable")
@@ -58,16 +58,19 @@ def training_table(
     dim_store: DataFrame,
     features: FeatureTables,
     partitions: int | None = None,
+    verify: bool = False,
 ) -> DataFrame:
     """Series with history, signals and calendar, 30 columns.
 
+    ``verify`` fails on a series that repeats a date.
+
     The history needs only the sales, so it comes first: its shuffle and sort
     carry six narrow columns instead of the joined row, and the signals are
     looked up only for the rows that outlive the warm-up. With signals unique
     by key, as ``quality.assert_unique`` checks, the result is that of joining
     first.
     """
-    history = warmed_up(windows.with_history(series, partitions=partitions))
+    history = warmed_up(windows.with_history(series, partitions=partitions, verify=verify))
     flagged = features.holidays.select("date", F.lit(1).alias("is_holiday"))
     parts = _signals(dim_store, features, flagged)
     joined = joins.fill_signals(joins.with_signals(history, **parts))
@@ -112,5 +115,6 @@ def run_training(
     """Write the training table by year and month; both come last on read-back."""
     path = f"{out}/model_train"
     series = perishable_series(tables.fact_sales, tables.dim_item, daily)
-    write_by_month(training_table(series, tables.dim_store, features, partitions), path)
+    table = training_table(series, tables.dim_store, features, partitions, verify=daily)
+    write_by_month(table, path)
     return read_table(spark, path)

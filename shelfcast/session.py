@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 PARTITION_BYTES = 128 * 1024**2
 
+# Settings that help at any size.
+ALWAYS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
 
 def recommended_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a job whose largest shuffle moves ``shuffle_bytes``.
@@ -20,46 +27,42 @@ def recommended_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
     from, so it is sized for the data with the cluster's core count as a floor.
     """
     partitions = max(cores, math.ceil(shuffle_bytes / PARTITION_BYTES))
-    return {
-        "spark.sql.session.timeZone": "UTC",
+    return ALWAYS | {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
     }
 
 
-def apply_conf(spark: SparkSession, shuffle_bytes: int) -> None:
-    """``recommended_conf`` for a running session and the cores it has."""
-    settings = recommended_conf(shuffle_bytes, spark.sparkContext.defaultParallelism)
+def apply_conf(spark: SparkSession, shuffle_bytes: int | None = None) -> None:
+    """``ALWAYS``, or ``recommended_conf`` for a running session and the cores it has."""
+    settings = ALWAYS
+    if shuffle_bytes:
+        settings = recommended_conf(shuffle_bytes, spark.sparkContext.defaultParallelism)
     for name, value in settings.items():
         spark.conf.set(name, value)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local session may do without the setting; it gets a temporary folder.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or else in the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder(spark.sparkContext.applicationId)
-    return base.rstrip("/")
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_folder(spark)}/shelfcast-{spark.sparkContext.applicationId}"
 
 
-@lru_cache(maxsize=None)
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"shelfcast-{application_id}-")
+def clean(spark: SparkSession) -> None:
+    """Remove all that this application stored on the way. No lazy plan may need it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing has written to yet."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path under the run folder that nothing has written to yet."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -68,8 +71,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     The reader's size is the size of its files, so the planner's broadcast
     threshold decides on a measured size instead of on an estimate inherited
     from the tables ``df`` was aggregated from. Losing an executor afterwards
-    costs nothing: the table is on shared storage. Clearing that folder is left to
-    whoever runs the cluster, as a lazy plan may still read from it.
+    costs nothing: the table is on shared storage, where it stays until ``clean``,
+    as a lazy plan may still read from it.
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -30,9 +30,16 @@ class Database:
     password: str = field(default="", repr=False)
     schema: str | None = None
     fetch_size: int = 10_000
+    fact_key: str = FACT_KEY
+    fact_bounds: tuple[int, int] = (FACT_FIRST, FACT_LAST)
+    fact_partitions: int = FACT_PARTITIONS
+    fact_predicates: tuple[str, ...] = ()
+    write_connections: int = WRITE_CONNECTIONS
 
     @classmethod
-    def from_env(cls, prefix: str = "SHELFCAST_JDBC_", env: Mapping[str, str] = os.environ):
+    def from_env(
+        cls, prefix: str = "SHELFCAST_JDBC_", env: Mapping[str, str] = os.environ, **more
+    ) -> Database:
         """Settings from ``<prefix>URL``, ``DRIVER``, ``USER``, ``PASSWORD``, ``SCHEMA``."""
         return cls(
             url=env[prefix + "URL"],
@@ -40,6 +47,7 @@ class Database:
             user=env.get(prefix + "USER", ""),
             password=env.get(prefix + "PASSWORD", ""),
             schema=env.get(prefix + "SCHEMA"),
+            **more,
         )
 
     def table(self, name: str) -> str:
@@ -59,28 +67,28 @@ class Database:
         """A small table, over one connection."""
         return spark.read.format("jdbc").options(**self._reading(name)).load()
 
-    def read_split(
-        self,
-        spark: SparkSession,
-        name: str,
-        column: str = FACT_KEY,
-        lower: int = FACT_FIRST,
-        upper: int = FACT_LAST,
-        partitions: int = FACT_PARTITIONS,
-    ) -> DataFrame:
+    def read_fact(self, spark: SparkSession, name: str) -> DataFrame:
+        """A large table, by ``fact_predicates`` if there are any, or else by ranges."""
+        if self.fact_predicates:
+            return self.read_where(spark, name, list(self.fact_predicates))
+        return self.read_split(spark, name)
+
+    def read_split(self, spark: SparkSession, name: str) -> DataFrame:
         """A large table, split by ranges of an integer column.
 
-        The bounds only set the strides: values outside them are still read, and
-        NULLs go to the first range.
+        The bounds only set the strides: values outside them are still read, by the
+        first and last range, and NULLs go to the first. So they should span the keys
+        there are; where rows crowd on a few keys, predicates split better.
         """
+        lower, upper = self.fact_bounds
         return (
             spark.read.format("jdbc")
             .options(**self._reading(name))
             .options(
-                partitionColumn=column,
+                partitionColumn=self.fact_key,
                 lowerBound=str(lower),
                 upperBound=str(upper),
-                numPartitions=str(partitions),
+                numPartitions=str(self.fact_partitions),
             )
             .load()
         )
@@ -106,7 +114,7 @@ class Database:
         df.write.format("jdbc").options(
             **self.options(name),
             batchsize=str(BATCH_SIZE),
-            numPartitions=str(WRITE_CONNECTIONS),
+            numPartitions=str(self.write_connections),
             **isolation,
         ).mode("overwrite").save()
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfcast import schemas
 from shelfcast.functions import calendar_columns
-from shelfcast.operators import filters, joins, star, windows
+from shelfcast.operators import filters, joins, signals, star, windows
 from shelfcast.plans import training
 from shelfcast.plans.features import FeatureTables
 from shelfcast.plans.ingest import StarSchema
@@ -156,9 +156,11 @@ def inputs(spark):
             [(d, "Holiday", "National", "Ecuador") for d in dates[::5]],
             "date date, holiday_type string, locale string, locale_name string",
         ),
-        weather=spark.createDataFrame(
-            [(d, "El%20Carmen", *[d.day / 2] * 7) for d in dates],
-            f"date date, city_norm string, {weather}",
+        weather=signals.with_city_key(
+            spark.createDataFrame(
+                [(d, "El%20Carmen", *[d.day / 2] * 7) for d in dates],
+                f"date date, city_norm string, {weather}",
+            )
         ),
     )
     return data, spark.createDataFrame(data, FACT), dim_item, dim_store, features

@@ -1,15 +1,19 @@
 """The batch jobs, from raw files to the training table."""
 
 import datetime as dt
+import os
 import random
+from dataclasses import replace
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from shelfcast import schemas
 from shelfcast.__main__ import main
-from shelfcast.plans import audit, boosting, features, ingest
-from shelfcast.sinks import read_table
+from shelfcast.plans import audit, boosting, features, ingest, training
+from shelfcast.session import run_folder
+from shelfcast.sinks import read_table, write_table
 
 START = dt.date(2016, 1, 1)
 DAYS = 60
@@ -77,6 +81,18 @@ def test_jobs_end_to_end(spark, folders, capsys):
     lengths = fact.groupBy("store_id", "item_id").count().collect()
     assert table.count() == sum(max(0, row["count"] - 28) for row in lengths)
 
+    for name in ("forecasts", "forecast_errors", "feature_importance", "weather_rows_per_city"):
+        assert read_table(spark, f"{out}/{name}").count()
+    rejects = read_table(spark, f"{out}/ingest_rejects").unionAll(
+        read_table(spark, f"{out}/feature_rejects")
+    )
+    assert {r.rejected for r in rejects.collect()} == {0}
+    assert {r.input for r in rejects.collect()} == {
+        "items", "stores", "sales", "oil", "transactions", "holidays",
+    }
+    assert {r.lost_lines for r in read_table(spark, f"{out}/weather_files").collect()} == {0}
+    assert not os.path.exists(run_folder(spark).removeprefix("file:"))
+
     shown = capsys.readouterr().out
     assert "moving_average" in shown and "boosted" in shown and "lag_1" in shown
     assert "el carmen" in shown and "fact_sales" in shown and "temp_avg_c: double" in shown
@@ -117,6 +133,40 @@ def test_train_refuses_signals_that_multiply_sales(spark, folders, tmp_path):
         audit.check_unique(tables, twice)
 
 
+def test_two_spellings_of_a_city_are_found_by_the_key_check(spark, folders, tmp_path):
+    raw, out = folders
+    signals = features.read_features(spark, out)
+    for field, name in features.TABLES.items():
+        table = getattr(signals, field)
+        if field == "weather":
+            again = table.withColumn("city_norm", F.initcap("city_norm"))
+            table = table.unionAll(again.where("city_norm = 'Quito'"))
+        write_table(table, f"{tmp_path}/{name}")
+    twice = features.read_features(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="'weather', 'repeated_keys': 60"):
+        audit.check_unique(ingest.read_star(spark, out), twice)
+
+
+def test_daily_sales_that_repeat_a_date_fail(spark, folders, tmp_path):
+    tables = ingest.read_star(spark, folders[1])
+    signals = features.read_features(spark, folders[1])
+    training.run_training(spark, tables, signals, str(tmp_path), daily=True)
+    first = tables.fact_sales.where("store_id = 1 AND item_id = 1").orderBy("date").limit(1)
+    twice = replace(tables, fact_sales=tables.fact_sales.unionAll(first))
+    with pytest.raises(Exception, match="a series repeats a date"):
+        training.run_training(spark, twice, signals, str(tmp_path), daily=True)
+
+
+def test_values_that_do_not_parse_fail_the_job(spark, folders, tmp_path):
+    raw, out = folders
+    for name in ("items.csv", "stores.csv", "train.csv"):
+        text = open(f"{raw}/{name}", encoding="utf-8").read()
+        (tmp_path / name).write_text(text.replace("True", "maybe"), encoding="utf-8")
+    with pytest.raises(ValueError, match="onpromotion"):
+        ingest.run(spark, str(tmp_path), str(tmp_path / "out"))
+    ingest.run(spark, str(tmp_path), str(tmp_path / "out"), reject_share=0.6)
+
+
 def test_job_arguments():
     for arguments in (["ingest", "--out", "x"], ["train"], ["nothing", "--out", "x"]):
         with pytest.raises(SystemExit):

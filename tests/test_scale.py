@@ -1,5 +1,6 @@
 """The plans, and what they do with hot keys and large lookups."""
 
+import os
 import re
 
 import pytest
@@ -15,6 +16,8 @@ from shelfcast.session import (
     apply_conf,
     fresh_path,
     recommended_conf,
+    clean,
+    run_folder,
     shared_folder,
     stage,
     stage_all,
@@ -239,19 +242,26 @@ def test_stage_reports_its_own_size(spark):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     first, second = fresh_path(spark, "x"), fresh_path(spark, "x")
-    assert first.startswith(shared_folder(spark) + "/x-") and first != second
+    assert first.startswith(run_folder(spark) + "/x-") and first != second
+    assert run_folder(spark).startswith(shared_folder(spark) + "/")
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
+def test_shared_folder_is_in_the_warehouse_unless_named():
     class Session:
         class conf:
-            get = staticmethod(lambda name, default: default)
+            settings = {"spark.sql.warehouse.dir": "hdfs://name/warehouse"}
+            get = classmethod(lambda cls, name, default=None: cls.settings.get(name, default))
 
-        class sparkContext:
-            master = "yarn"
+    assert shared_folder(Session) == "hdfs://name/warehouse/_work"
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Session)
+
+def test_stored_tables_go_when_the_application_cleans_up(spark):
+    stage(spark.range(3), "left")
+    folder = run_folder(spark).removeprefix("file:")
+    assert os.listdir(folder)
+    clean(spark)
+    assert not os.path.exists(folder)
+    clean(spark)
 
 
 def test_recommended_conf():
