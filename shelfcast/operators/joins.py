@@ -58,4 +58,4 @@ def with_signals(
 
 def fill_signals(df: DataFrame) -> DataFrame:
     """Zero for a signal that is missing; weather and promotions stay unknown."""
-    return df.fillna(schemas.SIGNAL_DEFAULTS)
+    return df.fillna({n: zero for n, zero in schemas.SIGNAL_DEFAULTS.items() if n in df.columns})

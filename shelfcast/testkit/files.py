@@ -12,7 +12,9 @@ HEADER = ",".join([schemas.WEATHER_TIME, *schemas.WEATHER_MEASURES])
 TOP = f"latitude,longitude,elevation\n-0.2,-78.5,2850.0\n\n{HEADER}"
 
 
-def write_weather_files(hourly: DataFrame, folder: str) -> None:
+def write_weather_files(
+    hourly: DataFrame, folder: str, time_format: str = schemas.WEATHER_TIME_FORMAT
+) -> None:
     """A folder per city, with metadata lines and a header above the readings.
 
     A city's readings are spread over as many files as they need, so a city with
@@ -23,7 +25,7 @@ def write_weather_files(hourly: DataFrame, folder: str) -> None:
         F.coalesce(F.col(short).cast("string"), F.lit(""))
         for short in schemas.WEATHER_MEASURES.values()
     ]
-    time = F.date_format("ts", schemas.WEATHER_TIME_FORMAT)
+    time = F.date_format("ts", time_format)
     readings = hourly.select(
         F.replace("city", F.lit("%20"), F.lit(" ")).alias("city"),
         F.pmod(F.xxhash64("ts"), F.lit(slices)).alias("slice"),

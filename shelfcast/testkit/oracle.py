@@ -26,19 +26,18 @@ TABLES = {
         SELECT CAST(o_orderdate AS DATE) AS date,
                CASE WHEN day(CAST(o_orderdate AS DATE)) = 1 THEN NULL
                     ELSE max(o_totalprice) END AS dcoilwtico
-        FROM orders WHERE isodow(o_orderdate) <= 5
+        FROM orders
         GROUP BY CAST(o_orderdate AS DATE)""",
     "transactions_raw": """
-        SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS store_nbr,
+        SELECT CAST(o_orderdate AS DATE) AS date, l_suppkey AS store_nbr,
                CAST(count(DISTINCT l_orderkey) AS INTEGER) AS transactions
-        FROM lineitem WHERE l_linestatus = 'F'
-        GROUP BY CAST(l_shipdate AS DATE), l_suppkey""",
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+        GROUP BY CAST(o_orderdate AS DATE), l_suppkey""",
     "holidays_raw": """
-        SELECT CAST(o_orderdate AS DATE) AS date, o_orderstatus AS type,
+        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, o_orderstatus AS type,
                c_mktsegment AS locale, n_name AS locale_name
         FROM orders JOIN customer ON c_custkey = o_custkey
-                    JOIN nation ON n_nationkey = c_nationkey
-        WHERE day(o_orderdate) IN (1, 15)""",
+                    JOIN nation ON n_nationkey = c_nationkey""",
     "weather_raw": """
         SELECT CAST(o_orderdate AS DATE) AS date, lower(replace(n_name, '_', ' ')) AS city_norm,
                CAST(o_custkey % 40 AS DOUBLE) AS temp_c, CAST(o_orderkey % 7 AS DOUBLE) AS precip_mm,
@@ -65,7 +64,7 @@ TABLES = {
         SELECT date, store_nbr AS store_id, item_nbr AS item_id, unit_sales,
                CAST(onpromotion AS BOOLEAN) AS onpromotion
         FROM train_raw JOIN (SELECT item_nbr FROM items_raw WHERE perishable = 1) USING (item_nbr)
-        WHERE unit_sales >= 0""",
+        WHERE unit_sales >= 0 AND date IS NOT NULL""",
     "daily_fact": """
         SELECT date, store_id, family, family AS item_id, sum(unit_sales) AS unit_sales,
                bool_or(onpromotion) AS onpromotion
@@ -88,10 +87,10 @@ TABLES = {
                avg(apparent_c) AS apparent_avg_c
         FROM weather_raw GROUP BY date, city_norm""",
     "weather_month": """
-        SELECT CAST(ts AS DATE) AS date, city_norm, avg(round(temp_c * 100)) AS temp_avg_c,
-               min(round(temp_c * 100)) AS temp_min_c, max(round(temp_c * 100)) AS temp_max_c,
+        SELECT CAST(ts AS DATE) AS date, city_norm, round(avg(temp_c), 6) AS temp_avg_c,
+               min(temp_c) AS temp_min_c, max(temp_c) AS temp_max_c,
                sum(precip_mm) AS precip_total_mm, sum(rain_mm) AS rain_total_mm,
-               avg(rh_pct) AS humidity_avg_pct, avg(round(apparent_c * 100)) AS apparent_avg_c
+               round(avg(rh_pct), 6) AS humidity_avg_pct, round(avg(apparent_c), 6) AS apparent_avg_c
         FROM weather_hourly_raw GROUP BY CAST(ts AS DATE), city_norm""",
     "history": """
         SELECT *, lag(unit_sales, 1) OVER w AS lag_1, lag(unit_sales, 7) OVER w AS lag_7,
@@ -129,6 +128,15 @@ TABLES = {
         FROM (SELECT family, y, 'naive' AS model, lag_1 AS yhat FROM model_train
               UNION ALL SELECT family, y, 'seasonal_naive', lag_7 FROM model_train
               UNION ALL SELECT family, y, 'moving_average', roll_mean_7 FROM model_train)""",
+    "late": """
+        SELECT * FROM model_train
+        WHERE date > (SELECT min(date) + CAST(floor((max(date) - min(date)) * 0.8) AS INTEGER)
+                      FROM model_train)""",
+    "late_errors": """
+        SELECT model, family, yhat - y AS error
+        FROM (SELECT family, y, 'naive' AS model, lag_1 AS yhat FROM late
+              UNION ALL SELECT family, y, 'seasonal_naive', lag_7 FROM late
+              UNION ALL SELECT family, y, 'moving_average', roll_mean_7 FROM late)""",
     "levels": """
         SELECT 'is_holiday' AS factor, is_holiday AS level, y FROM model_train
         UNION ALL SELECT 'is_weekend', is_weekend, y FROM model_train
@@ -190,6 +198,27 @@ ORACLES = {
     "feat_transactions_daily": "SELECT * FROM trx",
     "feat_weather_daily_city": "SELECT * FROM weather",
     "weather_daily": "SELECT * FROM weather_month",
+    "weather_files_daily": "SELECT * FROM weather_month",
+    "weather_time_shapes": """
+        SELECT shape, CAST(CASE shape WHEN 'seconds' THEN date_trunc('second', ts)
+                                      ELSE date_trunc('minute', ts) END AS TIMESTAMP) AS ts,
+               * EXCLUDE (ts, shape)
+        FROM (SELECT unnest(['blank', 'letter', 'seconds']) AS shape, * FROM weather_hourly_raw)""",
+    "csv_perishable_spellings": """
+        SELECT spelling, dim_item.*
+        FROM dim_item, (SELECT unnest(['number', 'fraction', 'word']) AS spelling)""",
+    "csv_rejects": """
+        SELECT 'sales' AS input, column_name AS "column", rejected,
+               (SELECT count(*) FROM train_raw) AS rows
+        FROM (SELECT unnest(['date', 'store_nbr', 'item_nbr', 'unit_sales', 'onpromotion']) AS column_name,
+                     unnest([0, 0, (SELECT count(*) FROM train_raw WHERE item_nbr % 10 = 0),
+                             0, (SELECT count(*) FROM train_raw WHERE store_nbr % 4 = 0)]) AS rejected)""",
+    "holdout_errors": """
+        SELECT model, family, round(avg(abs(error)), 6) AS mae,
+               round(sqrt(avg(error * error)), 6) AS rmse, round(avg(error), 6) AS bias,
+               count(error) AS n
+        FROM (SELECT * FROM late_errors UNION ALL SELECT model, '(all)', error FROM late_errors)
+        GROUP BY model, family""",
     "weather_profile": """
         SELECT min(date) AS min_date, max(date) AS max_date,
                count(DISTINCT city_norm) AS num_cities
@@ -230,7 +259,8 @@ ORACLES = {
     "sales_rejects": """
         SELECT count(*) FILTER (WHERE unit_sales < 0) AS returns,
                count(*) FILTER (WHERE unit_sales IS NULL) AS unknown,
-               count(*) FILTER (WHERE isnan(unit_sales)) AS not_a_number
+               count(*) FILTER (WHERE isnan(unit_sales)) AS not_a_number,
+               count(*) FILTER (WHERE date IS NULL) AS undated
         FROM train_raw""",
     "daily_fact": "SELECT * FROM daily_fact",
     "calendar_features": """
@@ -248,10 +278,14 @@ ORACLES = {
             FROM daily_fact WINDOW w AS (PARTITION BY store_id, item_id ORDER BY date))
         WHERE lag_28 IS NOT NULL""",
     "rolling_means": """
-        SELECT *, avg(unit_sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll_mean_7,
-               avg(unit_sales) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS roll_mean_14,
-               avg(unit_sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS roll_mean_28
-        FROM daily_fact WINDOW w AS (PARTITION BY store_id, item_id ORDER BY date)""",
+        SELECT * REPLACE (round(unit_sales, 6) AS unit_sales),
+               round(avg(unit_sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS roll_mean_7,
+               round(avg(unit_sales) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING), 6) AS roll_mean_14,
+               round(avg(unit_sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), 6) AS roll_mean_28
+        FROM (SELECT * REPLACE (
+                  unit_sales * (day(date) / 31.0::DOUBLE + (store_id % 7) / 7.0::DOUBLE) AS unit_sales)
+              FROM daily_fact)
+        WINDOW w AS (PARTITION BY store_id, item_id ORDER BY date)""",
     "enrich_sales": """
         SELECT date, city_norm, store_id, item_id, unit_sales, onpromotion,
                coalesce(oil_price, 0.0) AS oil_price, coalesce(transactions, 0) AS transactions,

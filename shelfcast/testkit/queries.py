@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast import schemas
 from shelfcast.functions import calendar_columns, city_key
@@ -15,10 +16,18 @@ from shelfcast.plans import audit, boosting, training
 from shelfcast.plans.ingest import StarSchema, star_schema
 from shelfcast.session import fresh_path, stage, stage_all
 from shelfcast.sinks import read_table, write_by_month, write_table
-from shelfcast.sources import read_csv, read_weather, typed
+from shelfcast.sources import RejectCounts, read_csv, read_weather, typed
 from shelfcast.testkit.files import write_weather_files
 from shelfcast.testkit.views import Inputs
 
+# As in the contract, with the 64-bit keys of the test tables.
+ITEMS = T.StructType(
+    [
+        T.StructField(f.name, T.LongType() if f.name == "item_nbr" else f.dataType)
+        for f in schemas.ITEMS
+    ]
+)
+AVERAGES = ("temp_avg_c", "humidity_avg_pct", "apparent_avg_c")
 CORRELATED = ("oil_price", "transactions", "temp_avg_c", "precip_total_mm")
 
 
@@ -62,6 +71,60 @@ def _weather_files(inputs: Inputs) -> DataFrame:
     return read_weather(inputs.spark, path)
 
 
+#: Shapes of a time that a weather file may use, by name.
+TIME_SHAPES = {
+    "blank": schemas.WEATHER_TIME_FORMAT,
+    "letter": "yyyy-MM-dd'T'HH:mm",
+    "seconds": "yyyy-MM-dd HH:mm:ss",
+}
+
+
+def weather_time_shapes(inputs: Inputs) -> DataFrame:
+    """All readings, written in each shape and read back."""
+    read = []
+    for shape, pattern in TIME_SHAPES.items():
+        path = fresh_path(inputs.spark, f"weather_{shape}")
+        write_weather_files(inputs.weather_hourly, path, pattern)
+        hourly = read_weather(inputs.spark, path).drop("date")
+        read.append(hourly.select(F.lit(shape).alias("shape"), "*"))
+    return reduce(DataFrame.unionAll, read)
+
+
+def weather_files_daily(inputs: Inputs) -> DataFrame:
+    return _rounded(signals.weather_daily(_weather_files(inputs)), *AVERAGES)
+
+
+def csv_perishable_spellings(inputs: Inputs) -> DataFrame:
+    """The item dimension from files that spell yes and no in different ways."""
+    marked, built = F.col("perishable") == 1, []
+    for spelling, yes, no in (("number", "1", "0"), ("fraction", "1.0", "0.0"), ("word", "True", "False")):
+        path = fresh_path(inputs.spark, f"items_{spelling}")
+        spelled = inputs.items.withColumn("perishable", F.when(marked, yes).otherwise(no))
+        spelled.write.option("header", True).csv(path)
+        items = star.item_dimension(read_csv(inputs.spark, path, ITEMS))
+        built.append(items.select(F.lit(spelling).alias("spelling"), "*"))
+    return reduce(DataFrame.unionAll, built)
+
+
+def csv_rejects(inputs: Inputs) -> DataFrame:
+    """Sales with item numbers and promotions that do not parse, counted while written."""
+    path, counts = fresh_path(inputs.spark, "train_rejects"), RejectCounts()
+    spoilt = inputs.sales.withColumns(
+        {
+            "item_nbr": F.when(F.col("item_nbr") % 10 == 0, "none").otherwise(
+                F.col("item_nbr").cast("string")
+            ),
+            "onpromotion": F.when(F.col("store_nbr") % 4 == 0, "maybe").otherwise(
+                F.col("onpromotion")
+            ),
+        }
+    )
+    spoilt.write.option("header", True).csv(path)
+    sales = counts.read_csv(inputs.spark, path, schemas.SALES, "sales")
+    write_table(sales, fresh_path(inputs.spark, "train_typed"))
+    return counts.table(inputs.spark)
+
+
 def weather_preamble_strip(inputs: Inputs) -> DataFrame:
     return _weather_files(inputs).drop("date")
 
@@ -124,8 +187,7 @@ def _with_city(inputs: Inputs) -> DataFrame:
 
 
 def join_dim_item(inputs: Inputs) -> DataFrame:
-    stored = stage_all({"fact_sales": inputs.fact_sales, "dim_item": inputs.dim_item})
-    return joins.with_item(stored["fact_sales"], stored["dim_item"])
+    return joins.with_item(inputs.fact_sales, stage(inputs.dim_item, "dim_item"))
 
 
 def join_city_day(inputs: Inputs) -> DataFrame:
@@ -136,7 +198,12 @@ def join_city_day(inputs: Inputs) -> DataFrame:
 
 
 def weather_daily(inputs: Inputs) -> DataFrame:
-    return signals.weather_daily(inputs.rollup_hourly)
+    return _rounded(signals.weather_daily(inputs.rollup_hourly), *AVERAGES)
+
+
+def rolling_means(inputs: Inputs) -> DataFrame:
+    means = windows.with_trailing_means(inputs.fractional_series)
+    return _rounded(means, "unit_sales", *[f"roll_mean_{n}" for n in schemas.TRAILING_DAYS])
 
 
 def sample_rows(inputs: Inputs) -> DataFrame:
@@ -169,8 +236,9 @@ def enrich_sales(inputs: Inputs) -> DataFrame:
 
 
 def model_base(inputs: Inputs) -> DataFrame:
-    star_tables, features = inputs.stored("dim_item", "dim_store", "fact_sales")
-    return training.model_base(StarSchema(**star_tables), features)
+    star_tables, features = inputs.stored("dim_item", "dim_store")
+    tables = StarSchema(**star_tables, fact_sales=inputs.fact_sales)
+    return training.model_base(tables, features)
 
 
 def model_train(inputs: Inputs) -> DataFrame:
@@ -181,18 +249,56 @@ def model_train(inputs: Inputs) -> DataFrame:
 # Forecasts.
 
 
+def _history(inputs: Inputs) -> DataFrame:
+    """The training table's rows with their history, which needs no signal."""
+    history = filters.warmed_up(windows.with_history(inputs.series))
+    return history.withColumnRenamed("unit_sales", "y")
+
+
+def baseline_forecast(inputs: Inputs) -> DataFrame:
+    return forecast.baseline_forecasts(_history(inputs))
+
+
 def forecast_error(inputs: Inputs) -> DataFrame:
-    errors = forecast.forecast_errors(forecast.baseline_forecasts(model_train(inputs)))
+    errors = forecast.forecast_errors(baseline_forecast(inputs))
+    return _rounded(errors, "mae", "rmse", "bias")
+
+
+def holdout_errors(inputs: Inputs) -> DataFrame:
+    """Errors on the later dates, those that the boosted trees are judged by."""
+    history = stage(_history(inputs), "history")
+    later = history.where(F.col("date") > F.lit(boosting.split_date(history)))
+    errors = forecast.forecast_errors(forecast.baseline_forecasts(later))
     return _rounded(errors, "mae", "rmse", "bias")
 
 
+def factor_effect(inputs: Inputs) -> DataFrame:
+    holidays = stage(signals.holiday_dates(inputs.holidays), "holiday_dates")
+    rows = joins.fill_signals(joins.with_national(_history(inputs), holidays))
+    weekend = calendar_columns(F.col("date"))["is_weekend"]
+    return forecast.factor_effect(rows.withColumn("is_weekend", weekend))
+
+
 def factor_correlation(inputs: Inputs) -> DataFrame:
-    return _rounded(forecast.factor_correlation(model_train(inputs), CORRELATED), "correlation")
+    lookups = {name: getattr(inputs.features, name) for name in ("oil", "transactions", "weather")}
+    stored = stage_all({**lookups, "dim_store": inputs.dim_store})
+    rows = joins.with_transactions(_history(inputs), stored["transactions"])
+    rows = joins.with_city(rows, star.store_cities(stored["dim_store"]))
+    rows = joins.with_weather(joins.with_national(rows, stored["oil"]), stored["weather"])
+    found = forecast.factor_correlation(joins.fill_signals(rows), CORRELATED)
+    return _rounded(found, "correlation")
+
+
+def _fit(inputs: Inputs) -> boosting.Fit:
+    return boosting.fit(stage(model_train(inputs), "model_train"))
 
 
 def boosted_forecast(inputs: Inputs) -> DataFrame:
-    fit = boosting.fit(stage(model_train(inputs), "model_train"), trees=10, depth=4)
-    return fit.comparison()
+    return _fit(inputs).comparison()
+
+
+def feature_importance(inputs: Inputs) -> DataFrame:
+    return boosting.importance_table(inputs.spark, _fit(inputs))
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -200,7 +306,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "csv_glob_scan": csv_glob_scan,
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_parquet": partitioned_parquet,
+    "csv_perishable_spellings": csv_perishable_spellings,
+    "csv_rejects": csv_rejects,
     "weather_preamble_strip": weather_preamble_strip,
+    "weather_time_shapes": weather_time_shapes,
     "file_city_key": file_city_key,
     "project_rename_cast": project_rename_cast,
     "normalize_city": normalize_city,
@@ -223,6 +332,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "feat_transactions_daily": lambda i: i.features.transactions,
     "feat_weather_daily_city": lambda i: i.features.weather,
     "weather_daily": weather_daily,
+    "weather_files_daily": weather_files_daily,
     "weather_profile": lambda i: quality.weather_profile(weather_daily(i)),
     "rows_per_city": lambda i: quality.rows_per(weather_daily(i), "city_norm"),
     "sample_rows": sample_rows,
@@ -236,18 +346,20 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "daily_fact": lambda i: i.series,
     "calendar_features": lambda i: i.series.withColumns(calendar_columns(F.col("date"))),
     "lag_features": lambda i: filters.warmed_up(windows.with_lags(i.series)),
-    "rolling_means": lambda i: windows.with_trailing_means(i.series),
+    "rolling_means": rolling_means,
     "enrich_sales": enrich_sales,
     "model_base": model_base,
     "model_train": model_train,
-    "baseline_forecast": lambda i: forecast.baseline_forecasts(model_train(i)),
+    "baseline_forecast": baseline_forecast,
     "forecast_error": forecast_error,
-    "factor_effect": lambda i: forecast.factor_effect(model_train(i)),
+    "holdout_errors": holdout_errors,
+    "factor_effect": factor_effect,
     "factor_correlation": factor_correlation,
     "sales_by_family_month": lambda i: forecast.sales_by_family_month(i.series),
     "daily_totals": lambda i: forecast.daily_totals(i.series),
     "store_totals": lambda i: forecast.store_totals(i.series),
     "boosted_forecast": boosted_forecast,
+    "feature_importance": feature_importance,
 }
 
 

@@ -1,9 +1,9 @@
 """The raw inputs, derived from the driver's tables.
 
-Keys keep their 64-bit type and every view reads its tables whole. The views
-leave gaps the way the real inputs do: oil is quoted on working days and not on
-the first of a month, checkouts are known for closed lines, and the 1st and 15th
-of a month are holidays.
+Keys keep their 64-bit type and every view reads its tables whole. Gaps are
+there by nature: oil has the dates of orders, not of shipments, and no quote on
+the first of a month; checkouts have the dates of orders too; and the holidays
+of a month fall on its first day.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from shelfcast.plans.features import FeatureTables, feature_tables
 from shelfcast.session import stage_all
 from shelfcast.testkit.tables import TABLES
 
-HOLIDAY_DAYS = (1, 15)
 PERISHABLE_TYPES = ("SMALL", "MEDIUM")
 
 
@@ -79,7 +78,6 @@ class Inputs:
         return (
             self.table("orders")
             .select(F.to_date("o_orderdate").alias("date"), "o_totalprice")
-            .filter(F.dayofweek("date").between(2, 6))
             .groupBy("date")
             .agg(F.max("o_totalprice").alias("price"))
             .select("date", quoted.alias("dcoilwtico"))
@@ -89,8 +87,8 @@ class Inputs:
     def transactions(self) -> DataFrame:
         return (
             self.table("lineitem")
-            .filter(F.col("l_linestatus") == "F")
-            .groupBy(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("store_nbr"))
+            .join(self.table("orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+            .groupBy(F.to_date("o_orderdate").alias("date"), F.col("l_suppkey").alias("store_nbr"))
             .agg(F.countDistinct("l_orderkey").cast("int").alias("transactions"))
         )
 
@@ -107,11 +105,11 @@ class Inputs:
     @cached_property
     def holidays(self) -> DataFrame:
         return self._orders_by_nation.select(
-            F.to_date("o_orderdate").alias("date"),
+            F.to_date(F.date_trunc("month", "o_orderdate")).alias("date"),
             F.col("o_orderstatus").alias("type"),
             F.col("c_mktsegment").alias("locale"),
             F.col("n_name").alias("locale_name"),
-        ).filter(F.dayofmonth("date").isin(*HOLIDAY_DAYS))
+        )
 
     @cached_property
     def weather(self) -> DataFrame:
@@ -182,13 +180,14 @@ class Inputs:
         return daily.withColumn("item_id", F.col("family"))
 
     @cached_property
-    def rollup_hourly(self) -> DataFrame:
-        """Hourly readings with date and city key.
+    def fractional_series(self) -> DataFrame:
+        """The series with sales in fractions, as goods sold by weight have."""
+        share = F.dayofmonth("date") / 31 + F.pmod("store_id", F.lit(7)) / 7
+        return self.series.withColumn("unit_sales", F.col("unit_sales") * share)
 
-        Temperatures are in hundredths of a degree: whole numbers, whose sums do
-        not depend on their order.
-        """
-        hundredths = {name: F.round(F.col(name) * 100) for name in ("temp_c", "apparent_c")}
+    @cached_property
+    def rollup_hourly(self) -> DataFrame:
+        """Hourly readings with date and city key."""
         return self.weather_hourly.withColumns(
-            {"date": F.to_date("ts"), "city_norm": city_key(F.col("city")), **hundredths}
+            {"date": F.to_date("ts"), "city_norm": city_key(F.col("city"))}
         )
