@@ -15,6 +15,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from shelfcast.session import clean
 from shelfcast.testkit.queries import run
 
 HEADLINE = (
@@ -55,6 +56,7 @@ def main() -> None:
     for name in HEADLINE:
         seconds[name] = round(statistics.median(timed(name) for _ in range(runs)), 3)
         print(name, seconds[name], file=sys.stderr)
+    clean(spark)
     spark.stop()
     print(
         json.dumps(
