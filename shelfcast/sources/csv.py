@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,24 +65,31 @@ class RejectCounts:
     """What the scans of a job could not parse, counted while the job writes its tables."""
 
     def __init__(self) -> None:
-        self._observed: dict[str, Observation] = {}
+        self._observed: dict[str, tuple[Observation, DataFrame, list[Column]]] = {}
 
     def read_csv(
         self, spark: SparkSession, path: str | list[str], schema: T.StructType, name: str
     ) -> DataFrame:
         """``read_csv``, whose first run also counts."""
-        raw = read_csv_text(spark, path)
+        raw, seen = read_csv_text(spark, path), Observation(name)
         typed(raw, schema)
-        self._observed[name] = Observation(name)
-        rows = F.count("*").alias("_rows")
-        return typed(raw.observe(self._observed[name], rows, *_rejected(schema)), schema)
+        counts = [F.count("*").alias("_rows"), *_rejected(schema)]
+        self._observed[name] = (seen, raw, counts)
+        return typed(raw.observe(seen, *counts), schema)
+
+    @staticmethod
+    def _counts(seen: Observation, raw: DataFrame, counts: list[Column]) -> dict[str, int]:
+        try:
+            return seen.get
+        except Py4JJavaError:  # nothing could join these rows, so Spark did not read them
+            return raw.agg(*counts).first().asDict()
 
     def table(self, spark: SparkSession) -> DataFrame:
         """``input, column, rejected, rows``, once everything has run."""
         found = [
             (name, column, count, counts["_rows"])
-            for name, observation in self._observed.items()
-            for counts in [observation.get]
+            for name, observed in self._observed.items()
+            for counts in [self._counts(*observed)]
             for column, count in counts.items()
             if column != "_rows"
         ]

@@ -24,8 +24,12 @@ def _time(text: Column) -> Column:
     return F.when(F.contains(time, F.lit(":")), time.try_cast("timestamp_ntz"))
 
 
+def _first_column() -> Column:
+    return F.trim(F.replace(F.split("value", ",", 2)[0], F.lit('"')))
+
+
 def _line_time() -> Column:
-    return _time(F.replace(F.split("value", ",", 2)[0], F.lit('"')))
+    return _time(_first_column())
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -52,7 +56,7 @@ def file_profile(lines: DataFrame) -> DataFrame:
     is kept from the first pass to the second.
     """
     text = F.trim("value")
-    header = F.lower(text).startswith(schemas.WEATHER_TIME) & _line_time().isNull()
+    header = F.lower(_first_column()) == schemas.WEATHER_TIME
     place = F.struct(*_PLACE)
     heads = lines.groupBy("file").agg(F.min(F.when(header, F.struct(place, text))).alias("head"))
     heads = stage(heads.select("file", "head.*").toDF("file", "at", "header"), "headers")

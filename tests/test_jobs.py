@@ -167,6 +167,19 @@ def test_values_that_do_not_parse_fail_the_job(spark, folders, tmp_path):
     ingest.run(spark, str(tmp_path), str(tmp_path / "out"), reject_share=0.6)
 
 
+def test_rejects_of_sales_that_nothing_joins(spark, tmp_path):
+    for name, text in {
+        "items.csv": "item_nbr,family,class,perishable\n1,A,1,0\n",
+        "stores.csv": "store_nbr,city,state,type,cluster\n1,Q,P,A,1\n",
+        "train.csv": "date,store_nbr,item_nbr,unit_sales,onpromotion\n2013-01-01,1,x,2,\n",
+    }.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    built = ingest.run(spark, str(tmp_path), str(tmp_path / "out"), reject_share=1)
+    assert built.fact_sales.count() == 0
+    rejects = read_table(spark, str(tmp_path / "out" / "ingest_rejects"))
+    assert rows(rejects.where("rejected > 0")) == [("sales", "item_nbr", 1, 1)]
+
+
 def test_job_arguments():
     for arguments in (["ingest", "--out", "x"], ["train"], ["nothing", "--out", "x"]):
         with pytest.raises(SystemExit):
