@@ -14,15 +14,17 @@ from shelfcast.plans.features import FeatureTables
 from shelfcast.session import (
     PARTITION_BYTES,
     apply_conf,
+    clean,
     fresh_path,
     recommended_conf,
-    clean,
     run_folder,
     shared_folder,
     stage,
     stage_all,
 )
+from shelfcast.testkit.queries import run
 
+TABLES_FOLDER = os.environ.get("SHELFCAST_TEST_TABLES", "/root/testdata/sf0.001")
 HOT_SHARE = 3  # one key holds a third of all rows
 ROWS = 60_000
 
@@ -301,3 +303,14 @@ def test_month_with_most_rows_is_split_on_write(spark, conf, tmp_path):
     files = {m: len(list((path / "year=2024" / f"month={m}").glob("*.parquet"))) for m in (1, 2)}
     assert files[1] > files[2] >= 1
     assert spark.read.parquet(str(path)).count() == 20_000
+
+
+def test_baseline_forecasts_join_no_signal(spark):
+    """Their plan joins the items alone; the training table looks up five signals more."""
+    if not os.path.isdir(TABLES_FOLDER):
+        pytest.skip("no test tables")
+    joins_of = [
+        len(re.findall(r"\w+Join ", plan(run(name, spark, TABLES_FOLDER))))
+        for name in ("baseline_forecast", "model_train")
+    ]
+    assert joins_of[0] <= 2 and joins_of[1] >= joins_of[0] + 5
