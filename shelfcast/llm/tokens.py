@@ -40,6 +40,8 @@ END_ID = 1
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 19
 PART_BYTES = 24 * 1024**2
+#: Of a larger corpus the parts grow; a part is sorted by Spark and written in segments.
+MAX_PARTS = 20_000
 CACHED_WORDS = 1 << 20
 
 SEGMENT = (
@@ -216,7 +218,7 @@ def _encoder(path: str) -> Encoder:
 def _bounds(docs: DataFrame, doc_id: str, text: str, part_bytes: int) -> np.ndarray:
     """Ids that cut the corpus into parts of about ``part_bytes`` of text."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    count = max(1, math.ceil(size / part_bytes))
+    count = min(max(1, math.ceil(size / part_bytes)), MAX_PARTS)
     if count == 1:
         return np.zeros(0, np.int64)
     shares = [number / count for number in range(1, count)]
