@@ -324,5 +324,10 @@ def keep(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """
     rules = learn(stage(measure(docs, doc_id, text), "measured"), labels)
     rows = measure(docs, doc_id, text, whole=True)
-    kept = rows.where(~base_failed() & verdict(rules).isNull())
+    passes = ~base_failed() & verdict(rules).isNull()
+    # the number keeps the optimizer from moving the filter below the projections, where
+    # it would repeat every expression that the counts are built of
+    number = F.monotonically_increasing_id()
+    marked = rows.select("_row", passes.alias("_passes"), number.alias("_at"))
+    kept = marked.where("_passes AND _at >= 0")
     return kept.select(*[F.col("_row")[name].alias(name) for name in docs.columns])
