@@ -60,7 +60,8 @@ class Layout:
 
     def paths(self) -> set[str]:
         if self.items:
-            return {f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"} | {*self.optional}
+            inner = {f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"}
+            return inner | {*self.optional}
         return {name for _, names in self.parts for name in names} | {*self.optional}
 
     def turns(self, record: dict) -> list[tuple[str, str]]:
@@ -84,7 +85,12 @@ LAYOUTS = (
     Layout("turns", items="turns", role="role", text="text"),
     Layout("messages", items="messages", role="role", text="content", optional=("system",)),
     Layout(
-        "shared", items="conversations", role="from", text="value", optional=("system",), roles=_SHARED
+        "shared",
+        items="conversations",
+        role="from",
+        text="value",
+        optional=("system",),
+        roles=_SHARED,
     ),
     Layout(
         "instruction",
@@ -116,8 +122,8 @@ def _text(value) -> str:
 def field_paths(value, path: str = "") -> set[str]:
     """Paths of all leaves; list items share one path. An empty list has the path of the list."""
     if isinstance(value, dict) and value:
-        inner = (field_paths(one, f"{path}.{name}" if path else name) for name, one in value.items())
-        return set().union(*inner)
+        start = f"{path}." if path else ""
+        return set().union(*(field_paths(one, start + name) for name, one in value.items()))
     if isinstance(value, list) and value:
         return set().union(*(field_paths(one, f"{path}[]") for one in value))
     return {path}
@@ -201,11 +207,13 @@ def records(rows: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     )
     grouped = rows.groupBy(F.col(conv_id).alias("conv_id"))
     grouped = grouped.agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    turns = F.transform("turns", lambda one: F.struct(one["role"], one["text"]))
-    return grouped.select("conv_id", F.to_json(F.struct(turns.cast(TURNS).alias("turns"))).alias("record"))
+    turns = F.transform("turns", lambda one: F.struct(one["role"], one["text"])).cast(TURNS)
+    return grouped.select("conv_id", F.to_json(F.struct(turns.alias("turns"))).alias("record"))
 
 
-_FORMATTED = "formatted string, mask array<struct<start:int,end:int>>, fingerprint string, layout string"
+_FORMATTED = (
+    "formatted string, mask array<struct<start:int,end:int>>, fingerprint string, layout string"
+)
 _MASK = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 

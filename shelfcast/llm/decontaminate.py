@@ -313,7 +313,9 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options)
     column) is counted anew, and a text without a word left goes altogether. The other
     rows stay as they are.
     """
-    found = find(docs, benchmark, text, **options)
+    # columns of the names that are used below step aside
+    aside = {name: f"own{name}" for name in ("_words", "_spans", "_items", "_cut")}
+    found = find(docs.withColumnsRenamed(aside), benchmark, text, **options)
     hit = F.size("_spans") > 0
     starts = F.concat(F.array(F.lit(0)), F.col("_spans.end"))
     ends = F.concat(F.col("_spans.start"), F.array(F.char_length(text)))
@@ -326,4 +328,5 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options)
         kind = docs.schema["n_chars"].dataType
         fresh = F.char_length("_cut").cast(kind)
         renewed["n_chars"] = F.when(hit, fresh).otherwise(F.col("n_chars"))
-    return cut.select(*[renewed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    own = {name: F.col(aside.get(name, name)) for name in docs.columns}
+    return cut.select(*[renewed.get(name, own[name]).alias(name) for name in docs.columns])

@@ -175,7 +175,8 @@ def savings(block: str, templates=TEMPLATES) -> list[tuple[float, int]]:
     plain = _plain(block).encode()
     alone = len(_compressor(None).compress(plain))
     shares = [1 - len(t.compressor.compress(plain)) / alone for t in _templates(templates)]
-    return sorted(((share, place) for place, share in enumerate(shares)), key=lambda s: (-s[0], s[1]))
+    ranked = sorted(enumerate(shares), key=lambda one: (-one[1], one[0]))
+    return [(share, place) for place, share in ranked]
 
 
 def differences(words: list[str], block: list[str]) -> tuple[list[str], list[str]]:
@@ -183,7 +184,8 @@ def differences(words: list[str], block: list[str]) -> tuple[list[str], list[str
 
     What stands before the first common word and after the last belongs to other prose.
     """
-    same = [m for m in SequenceMatcher(None, words, block, autojunk=False).get_matching_blocks() if m.size]
+    matcher = SequenceMatcher(None, words, block, autojunk=False)
+    same = [match for match in matcher.get_matching_blocks() if match.size]
     if not same:
         return list(words), []
     lacking, extra, a, b = [], [], 0, same[0].b
@@ -202,8 +204,8 @@ def identify(block: str, templates=TEMPLATES) -> tuple[str, float, int] | None:
         if saving < MIN_SAVING:
             break
         lacking, extra = differences(known[place].words, words)
-        changed = len(lacking) + len(extra)
-        if not TELLING.intersection(lacking + extra) and changed <= MAX_CHANGED * len(known[place].words):
+        changed, most = len(lacking) + len(extra), MAX_CHANGED * len(known[place].words)
+        if not TELLING.intersection(lacking + extra) and changed <= most:
             return known[place].license, saving, changed
     return None
 
@@ -235,7 +237,8 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
                 for start, end in ranges:
                     if one := identify(body[start:end], templates):
                         name, saving, changed = one
-                        told.append(dict(license=name, start=start, end=end, saving=saving, changed=changed))
+                        place = {"start": start, "end": end}
+                        told.append(place | dict(license=name, saving=saving, changed=changed))
                 counts[row], found[row] = len(ranges), told
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(counts, pa.int64()), pa.array(found, _FOUND)],

@@ -99,7 +99,7 @@ def _times(rows: DataFrame, dimension: str, factors: DataFrame, into: str = "n")
     return joined.withColumn(into, F.col(into) * F.col("factor")).drop("factor")
 
 
-def sampled(
+def _drawn(
     docs: DataFrame,
     powers: dict[str, float] | None = None,
     targets: dict[str, DataFrame] | None = None,
@@ -108,12 +108,7 @@ def sampled(
     topic: Column | None = None,
     seed: int = 17,
 ) -> DataFrame:
-    """``docs`` with ``_tokens``, ``_rate`` and ``_sampled``.
-
-    Targets are given as tables ``value, share`` by dimension, or else as the power that
-    their natural shares are raised to (0.8 unless said otherwise).
-    """
-    plain = docs.columns
+    """``_row`` (a struct of the document's own columns), ``tokens``, ``rate``, ``drawn``."""
     rows = docs.select(
         F.struct("*").alias("_row"),
         *[F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in DIMENSIONS[:2]],
@@ -134,15 +129,25 @@ def sampled(
     for name in DIMENSIONS:
         rows = _times(rows, name, factors[name], "rate")
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(f"_row.{doc_id}")), F.lit(2**53)) / 2**53
-    return rows.select(
-        *[F.col("_row")[name].alias(name) for name in plain],
-        F.col("tokens").alias("_tokens"),
-        F.col("rate").alias("_rate"),
-        # rounding must not lose the rows whose rate is 1
-        (draw < F.col("rate") * (1 + 1e-9)).alias("_sampled"),
+    # rounding must not lose the rows whose rate is 1
+    drawn = draw < F.col("rate") * (1 + 1e-9)
+    return rows.select("_row", "tokens", "rate", drawn.alias("drawn"))
+
+
+def sampled(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with ``_tokens``, ``_rate`` and ``_sampled``, which replace columns so called.
+
+    Targets are given as tables ``value, share`` by dimension (``targets``), or else as the
+    powers that their natural shares are raised to (``powers``, or ``POWERS``).
+    """
+    added = {"_tokens": "tokens", "_rate": "rate", "_sampled": "drawn"}
+    return _drawn(docs, **options).select(
+        *[F.col("_row")[name].alias(name) for name in docs.columns if name not in added],
+        *[F.col(column).alias(name) for name, column in added.items()],
     )
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The sampled rows of ``docs``, with its columns."""
-    return sampled(docs, **options).where("_sampled").select(docs.columns)
+    """The sampled rows of ``docs``, with its columns. Options as for ``sampled``."""
+    kept = _drawn(docs, **options).where("drawn")
+    return kept.select(*[F.col("_row")[name].alias(name) for name in docs.columns])

@@ -290,8 +290,8 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     shared = each.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
     shared = shared.where("center <> last").select("bucket", "center")
     members = stage(each.join(shared, "bucket"), "members")
-    star = members.where("rep <> center").select(F.col("rep").alias("a"), F.col("center").alias("b"))
-    links = stage(_confirm(stage(star.distinct(), "edges"), docs), "confirmed")
+    star = members.where("rep <> center").select("rep", "center").toDF("a", "b").distinct()
+    links = stage(_confirm(stage(star, "edges"), docs), "confirmed")
 
     members = members.select("bucket", "rep")
     missed = stage(_missed(members, reps, components(links), docs), "missed")

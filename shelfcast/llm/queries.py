@@ -80,10 +80,10 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.find(_table(spark, folder, "documents"))
 
 
-def _span_text(span: Column) -> Column:
+def _span_text(span: Column, kind: str = "kind") -> Column:
     """``kind:start:end``"""
     places = (span[name].cast("string") for name in ("start", "end"))
-    return F.concat_ws(":", span["kind"], *places)
+    return F.concat_ws(":", span[kind], *places)
 
 
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,7 +91,7 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
 
     def listed(spans):
-        return F.array_join(F.transform(spans, _span_text), ",")
+        return F.array_join(F.transform(spans, lambda span: _span_text(span)), ",")
 
     counts = [
         F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -109,10 +109,7 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(_table(spark, folder, "documents").select("doc_id", "text"))
     names = F.transform("_licenses", lambda one: one["license"])
-    places = F.transform(
-        "_licenses",
-        lambda one: F.concat_ws(":", one["license"], one["start"].cast("string"), one["end"].cast("string")),
-    )
+    places = F.transform("_licenses", lambda one: _span_text(one, "license"))
     return found.select(
         "doc_id",
         F.col("_blocks").alias("n_blocks"),

@@ -175,8 +175,9 @@ def build(universe: DataFrame) -> list[Cascade]:
         while n_in:
             number = len(cascade.levels)
             if number and n_in + n_out <= LOCAL_KEYS:
-                sides = (side.toArrow() for side in (inside, outside))
-                arrays = [[s[c].to_numpy().view(np.uint64) for c in ("first", "second")] for s in sides]
+                arrays = []
+                for side in (inside.toArrow(), outside.toArrow()):
+                    arrays.append([side[c].to_numpy().view(_U64) for c in ("first", "second")])
                 _local(cascade, *arrays)
                 break
             if number > MAX_LEVELS:
@@ -257,7 +258,9 @@ def judge(pages: DataFrame, rules: list[Rule], blocked: DataFrame | None = None,
     together, are a ``key`` of ``blocked``.
     """
     spark = pages.sparkSession
-    out = pages.withColumns({"host": host_of(url), "path": path_of(url)})
+    out = pages.select(
+        F.struct("*").alias("_page"), host_of(url).alias("host"), path_of(url).alias("path")
+    )
     out = out.withColumns({"_keys": _candidates(rules), "_own": F.array(F.concat("host", "path"))})
 
     listed = spark.createDataFrame([(r.key, r.block) for r in rules], "key string, block boolean")
@@ -275,9 +278,10 @@ def judge(pages: DataFrame, rules: list[Rule], blocked: DataFrame | None = None,
     universe = seen.union(blocked.select("key", F.lit(True))).groupBy("key")
     out = ask(out, "_own", "_blocked", build(universe.agg(F.max("listed").alias("listed"))))
 
+    told = ("host", "path", "rule", "verdict")
     stops = F.coalesce(F.get("_stops", F.lit(0)), F.get("_blocked", F.lit(0)))
     return out.select(
-        *[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
+        *[F.col("_page")[name].alias(name) for name in pages.columns if name not in told],
         "host",
         "path",
         F.get("_rule", F.lit(0)).alias("rule"),

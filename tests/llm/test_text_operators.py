@@ -109,6 +109,7 @@ def test_decontamination_cuts_the_passages_and_nothing_else(spark, docs):
     assert 4 not in left and 9 not in left
     assert all(left[i] == TEXTS[i] for i in (0, 1, 2, 3, 7, 11))
     assert not any(_contaminated(text, ITEMS)[1] for text in left.values())
+    assert {row._words for row in decontaminate.remove(docs, benchmark).collect()} == {0}
 
 
 def test_decontamination_of_nothing(spark, docs):
