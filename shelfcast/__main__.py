@@ -37,7 +37,7 @@ def main(arguments: list[str] | None = None) -> None:
     )
     parser.add_argument("--daily", action="store_true", help="sales hold one row per item and day")
     parser.add_argument("--partitions", type=int, help="shuffle partitions for the history")
-    parser.add_argument("--columns", help="weather columns in file order, for files without a header")
+    parser.add_argument("--columns", help="weather columns in order, for files without a header")
     parser.add_argument("--reject-share", type=float, help="share of values that may fail to parse")
     parser.add_argument("--db-key", help="whole-number column that splits large tables")
     parser.add_argument("--db-bounds", type=int, nargs=2, help="first and last key")

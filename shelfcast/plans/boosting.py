@@ -35,7 +35,8 @@ class Fit:
 
 def importance_table(spark: SparkSession, found: Fit) -> DataFrame:
     """``feature, importance``, one row per feature."""
-    return spark.createDataFrame([*found.importances().items()], "feature string, importance double")
+    rows = [*found.importances().items()]
+    return spark.createDataFrame(rows, "feature string, importance double")
 
 
 def run(spark: SparkSession, out: str) -> list[str]:

@@ -17,7 +17,7 @@ def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parsed(value: Column, dtype: T.DataType) -> Column:
-    """A value as a type, or NULL. Whole numbers may be written ``1.0``, yes and no ``1.0``, ``0``."""
+    """A value as a type, or NULL. Whole numbers, yes and no may be written ``1.0``."""
     number = value.try_cast("double")
     if isinstance(dtype, T.IntegralType):
         whole = F.when(number == F.floor(number), number).try_cast(dtype)

@@ -97,7 +97,8 @@ def weather_files_daily(inputs: Inputs) -> DataFrame:
 def csv_perishable_spellings(inputs: Inputs) -> DataFrame:
     """The item dimension from files that spell yes and no in different ways."""
     marked, built = F.col("perishable") == 1, []
-    for spelling, yes, no in (("number", "1", "0"), ("fraction", "1.0", "0.0"), ("word", "True", "False")):
+    spellings = (("number", "1", "0"), ("fraction", "1.0", "0.0"), ("word", "True", "False"))
+    for spelling, yes, no in spellings:
         path = fresh_path(inputs.spark, f"items_{spelling}")
         spelled = inputs.items.withColumn("perishable", F.when(marked, yes).otherwise(no))
         spelled.write.option("header", True).csv(path)
