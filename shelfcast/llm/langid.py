@@ -28,11 +28,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfcast.llm.textscan import LETTERS, LOWER, Words, byte_class, mix, shards, spread, utf8, weights
+from shelfcast.llm.textscan import (
+    LETTERS,
+    LOWER,
+    Words,
+    byte_class,
+    mix,
+    shards,
+    spread,
+    utf8,
+    weights,
+)
 
 UNKNOWN = "und"
 WORD_BYTES = 32
 SHARD_BYTES = 4 * 1024**2
+PENDING_WORDS = 400_000
+KEPT_WORDS = 600_000
 UNIFORM = 1e-3  # share of the probability that all pieces get alike
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -171,48 +183,99 @@ def _prior(size: int) -> np.ndarray:
     return np.append(p / p.sum(), 0.0)[:, None]
 
 
-def _expected(words: Words, group: np.ndarray, groups: int, table: Vocabulary) -> np.ndarray:
-    """Expected counts of all pieces in the words of each group."""
-    p = _prior(table.size)
-    _, sample, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+class _Tally:
+    """Words and how often each language has them; expected piece counts once in a while.
+
+    Shards add their distinct words, so a word of several shards is cut up only once.
+    """
+
+    def __init__(self, table: Vocabulary):
+        self.table, self.languages = table, []
+        self.found = np.zeros((table.size + 1, 0))
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hashes, self.texts, self.sizes, self.counts, self.pending = [], [], [], [], 0
+
+    def column(self, name: str) -> int:
+        if name not in self.languages:
+            self.languages.append(name)
+            self.found = np.pad(self.found, ((0, 0), (0, 1)))
+        return self.languages.index(name)
+
+    def add(self, words: Words, group: np.ndarray) -> None:
+        """``group`` is the language's column of each word."""
+        if not len(words):
+            return
+        hashes, sample, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        groups = len(self.languages)
+        count = np.bincount(number * groups + group, minlength=len(sample) * groups)
+        sizes = words.lengths[sample]
+        at, _ = spread(words.starts[sample], sizes)
+        self.hashes.append(hashes)
+        self.texts.append(words.data[at])
+        self.sizes.append(sizes)
+        self.counts.append(count.reshape(len(sample), groups))
+        self.pending += len(sample)
+        if self.pending > PENDING_WORDS:
+            self.flush()
+
+    def flush(self) -> None:
+        if not self.pending:
+            return
+        groups = len(self.languages)
+        ends = np.cumsum(np.concatenate(self.sizes))
+        sizes, text = np.concatenate(self.sizes), np.concatenate(self.texts)
+        counts = [np.pad(one, ((0, 0), (0, groups - one.shape[1]))) for one in self.counts]
+        hashes = np.concatenate(self.hashes)
+        _, sample, number = np.unique(hashes, return_index=True, return_inverse=True)
+        count = np.zeros((len(sample), groups))
+        np.add.at(count, number, np.concatenate(counts))
+        words = Words.at(text, np.array([0, len(text)]), ends - sizes, ends)
+        self.found += _expected(words, sample, count, self.table)
+        self._clear()
+
+
+def _expected(
+    words: Words, sample: np.ndarray, count: np.ndarray, table: Vocabulary
+) -> np.ndarray:
+    """Expected counts of all pieces, by language, of some words counted by language."""
+    p, pieces = _prior(table.size), table.size + 1
     lattice = Lattice(words, sample, table)
     edges = lattice.edge_probabilities(p, table.space)
     ahead, behind = lattice.forward(edges)[:, 0], lattice.backward(edges)[:, 0]
-    count = np.bincount(number * groups + group, minlength=len(sample) * groups)
-    count = count.reshape(len(sample), groups)
     word = np.searchsorted(lattice.first, lattice.source, side="right") - 1
     total = ahead[lattice.first[1:] - 1]
     scale = ahead[lattice.source] * behind[lattice.target] / np.maximum(total[word], 1e-300)
     p = p[:, 0]
     inside = scale * p[lattice.inner] * np.where(lattice.begins, p[table.space], 1.0)
     opening = scale * p[lattice.opening] * lattice.begins
-    found = np.zeros((table.size + 1, groups))
-    for one in range(groups):
+    found = np.zeros((pieces, count.shape[1]))
+    for one in range(count.shape[1]):
         times = count[word, one]
-        found[:, one] += np.bincount(lattice.inner % (table.size + 1), inside * times, table.size + 1)
-        found[:, one] += np.bincount(lattice.opening % (table.size + 1), opening * times, table.size + 1)
+        # a missing piece is -1, which falls on the row for it
+        found[:, one] += np.bincount(lattice.inner % pieces, inside * times, pieces)
+        found[:, one] += np.bincount(lattice.opening % pieces, opening * times, pieces)
         found[table.space, one] += (inside * times)[lattice.begins].sum()
-    return found[:-1]
+    return found
 
 
 def counts(docs: DataFrame, pieces: str, text: str, lang: str) -> DataFrame:
     """``lang, piece, n``: expected counts over all texts with a language."""
 
     def expect(batches):
-        table, sums = vocabulary(pieces), {}
+        tally = _Tally(vocabulary(pieces))
         for batch in batches:
             names = batch.column("lang").dictionary_encode()
-            groups, data_of = len(names.dictionary), utf8(batch.column("text"))
-            number = names.indices.to_numpy()
-            for low, high in shards(data_of[1], SHARD_BYTES):
-                offsets = data_of[1][low : high + 1] - data_of[1][low]
-                words = _words(data_of[0][data_of[1][low] : data_of[1][high]], offsets)
-                if not len(words):
-                    continue
-                found = _expected(words, number[low:high][words.rows()], groups, table)
-                for place, name in enumerate(names.dictionary.to_pylist()):
-                    sums[name] = sums.get(name, 0) + found[:, place]
-        for name, found in sums.items():
+            columns = [tally.column(name) for name in names.dictionary.to_pylist()]
+            group = np.array(columns, np.int64)[names.indices.to_numpy()]
+            data, offsets = utf8(batch.column("text"))
+            for low, high in shards(offsets, SHARD_BYTES):
+                part, inner = data[offsets[low] : offsets[high]], offsets[low : high + 1]
+                words = _words(part, inner - offsets[low])
+                tally.add(words, group[low:high][words.rows()])
+        tally.flush()
+        for name, found in zip(tally.languages, tally.found[:-1].T):
             piece = np.flatnonzero(found)
             columns = [pa.array([name] * len(piece)), pa.array(piece), pa.array(found[piece])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "piece", "n"])
@@ -242,19 +305,36 @@ def learn(docs: DataFrame, pieces: str, text: str = "text", lang: str = "lang")
     return Model(languages, shares)
 
 
-def _likelihoods(words: Words, model: Model, table: Vocabulary) -> np.ndarray:
-    """Log-probability of each text in each language."""
-    texts = len(words.counts)
-    if not len(words):
-        return np.zeros((texts, len(model.languages)))
-    _, sample, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    lattice = Lattice(words, sample, table)
-    sums = lattice.forward(lattice.edge_probabilities(model.p, table.space))
-    logs = np.log(np.maximum(sums[lattice.first[1:] - 1], 1e-300))
-    rows = words.rows()
-    return np.stack(
-        [np.bincount(rows, logs[number, one], texts) for one in range(logs.shape[1])], axis=1
-    )
+class _Scores:
+    """Log-probabilities of words in each language; remembers up to ``KEPT_WORDS`` of them."""
+
+    def __init__(self, model: Model, table: Vocabulary):
+        self.model, self.table = model, table
+        self.hash = np.zeros(0, np.uint64)
+        self.logs = np.zeros((0, len(model.languages)))
+
+    def _learn(self, words: Words, hashes: np.ndarray, sample: np.ndarray) -> None:
+        lattice = Lattice(words, sample, self.table)
+        sums = lattice.forward(lattice.edge_probabilities(self.model.p, self.table.space))
+        logs = np.log(np.maximum(sums[lattice.first[1:] - 1], 1e-300))
+        joined = np.concatenate([self.hash, hashes])
+        order = np.argsort(joined, kind="stable")
+        self.hash, self.logs = joined[order], np.concatenate([self.logs, logs])[order]
+
+    def texts(self, words: Words) -> np.ndarray:
+        """Log-probability of each text in each language."""
+        texts = len(words.counts)
+        if not len(words):
+            return np.zeros((texts, len(self.model.languages)))
+        hashes, sample, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        if len(self.hash) > KEPT_WORDS:
+            self.__init__(self.model, self.table)
+        fresh = np.isin(hashes, self.hash, assume_unique=True, invert=True)
+        if fresh.any():
+            self._learn(words, hashes[fresh], sample[fresh])
+        logs, rows = self.logs[np.searchsorted(self.hash, hashes)], words.rows()
+        sums = [np.bincount(rows, column[number], texts) for column in logs.T]
+        return np.stack(sums, axis=1)
 
 
 def _lettered(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -274,15 +354,17 @@ def predict(docs: DataFrame, model: Model, pieces: str, text: str = "text") -> D
     def score(batches):
         model, table = broadcast.value, vocabulary(pieces)
         names = pa.array([*model.languages, UNKNOWN], pa.string())
+        scores = _Scores(model, table)
         for batch in batches:
             data, offsets = utf8(batch.column(text))
             for low, high in shards(offsets, SHARD_BYTES):
-                part, inner = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+                part = data[offsets[low] : offsets[high]]
+                inner = offsets[low : high + 1] - offsets[low]
                 known = _lettered(part, inner) if model.languages else np.zeros(high - low, bool)
                 best = np.full(high - low, len(model.languages))
                 share = np.zeros(high - low)
                 if model.languages:
-                    logs = _likelihoods(_words(part, inner), model, table)
+                    logs = scores.texts(_words(part, inner))
                     best = np.where(known, np.argmax(logs, axis=1), best)
                     rest = np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
                     share = np.where(known, 1 / rest, 0.0)
