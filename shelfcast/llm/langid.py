@@ -43,8 +43,9 @@ from shelfcast.llm.textscan import (
 UNKNOWN = "und"
 WORD_BYTES = 32
 SHARD_BYTES = 4 * 1024**2
-PENDING_WORDS = 400_000
-KEPT_WORDS = 600_000
+PENDING_WORDS = 300_000
+KEPT_WORDS = 400_000
+LATTICE_WORDS = 50_000  # looked at together; this bounds the memory
 UNIFORM = 1e-3  # share of the probability that all pieces get alike
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -232,7 +233,9 @@ class _Tally:
         count = np.zeros((len(sample), groups))
         np.add.at(count, number, np.concatenate(counts))
         words = Words.at(text, np.array([0, len(text)]), ends - sizes, ends)
-        self.found += _expected(words, sample, count, self.table)
+        for low in range(0, len(sample), LATTICE_WORDS):
+            part = slice(low, low + LATTICE_WORDS)
+            self.found += _expected(words, sample[part], count[part], self.table)
         self._clear()
 
 
@@ -314,12 +317,14 @@ class _Scores:
         self.logs = np.zeros((0, len(model.languages)))
 
     def _learn(self, words: Words, hashes: np.ndarray, sample: np.ndarray) -> None:
-        lattice = Lattice(words, sample, self.table)
-        sums = lattice.forward(lattice.edge_probabilities(self.model.p, self.table.space))
-        logs = np.log(np.maximum(sums[lattice.first[1:] - 1], 1e-300))
+        logs = []
+        for low in range(0, len(sample), LATTICE_WORDS):
+            lattice = Lattice(words, sample[low : low + LATTICE_WORDS], self.table)
+            sums = lattice.forward(lattice.edge_probabilities(self.model.p, self.table.space))
+            logs.append(np.log(np.maximum(sums[lattice.first[1:] - 1], 1e-300)))
         joined = np.concatenate([self.hash, hashes])
         order = np.argsort(joined, kind="stable")
-        self.hash, self.logs = joined[order], np.concatenate([self.logs, logs])[order]
+        self.hash, self.logs = joined[order], np.concatenate([self.logs, *logs])[order]
 
     def texts(self, words: Words) -> np.ndarray:
         """Log-probability of each text in each language."""
