@@ -7,18 +7,25 @@ factors to target over sum. Sums are pre-aggregated, factor tables are stored be
 steps, and joins with them are broadcast or split by their stored size, so neither a hot
 source nor many sources gather in one task. Only one number per round reaches the driver.
 
-A document's rate is the product of its three factors, scaled so that the largest rate is
-1; it is sampled if a hash of its id falls below that. So expected tokens keep all target
-shares, and nothing is repeated. All of it is built of DataFrame functions.
+A document's rate follows from the product of its three factors; it is sampled if a hash of
+its id falls below that. Nothing is repeated. The size of the sample is given as tokens
+(``budget``) or as a share of the corpus' tokens (``share``): rates are then held at 1, and
+what a value or cell cannot give is asked of the others by their shares, so that a rare one
+is taken whole and shrinks no other. With neither, rates are scaled so that the largest is 1:
+all shares are exact, but the rarest cell decides on the size. All of it is built of
+DataFrame functions.
 
 Defined results: null values are the empty string. A value without a target keeps its
 natural share before the shares are scaled to 1; one with target 0 is never sampled. Cells
 that do not exist cannot be filled: then targets are met as nearly as ``MAX_ROUNDS`` allow.
-Rows of one id share their fate. A null text has one token.
+Rows of one id share their fate. A null text has one token. A budget beyond the tokens of all
+values with a target above 0 takes all of those.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +36,8 @@ MAX_ROUNDS = 30
 TOLERANCE = 1e-4
 #: Powers of the natural shares that make the targets, unless these are given.
 POWERS = {"source": 0.8, "lang": 0.8, "topic": 1.0}
+#: The share of the corpus' tokens that ``mix`` samples, unless another size is given.
+SHARE = 0.75
 CHARS_PER_TOKEN = 4
 
 
@@ -93,6 +102,84 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> dict[str, DataFrame
     return factors
 
 
+def rake_held(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> DataFrame:
+    """``cells`` with ``rate``, at most 1, so that ``budget`` tokens are expected.
+
+    Rates are products of factors held at 1. A step for a dimension takes the cells at 1 from
+    its goals and fits the others to what is left; it never overshoots, and ends after few.
+    """
+    goal = {name: _targets(cells, name, targets[name]) for name in DIMENSIONS}
+    live = cells
+    for name in DIMENSIONS:
+        some = goal[name].where("share > 0").select(F.col("value").alias(name))
+        live = live.join(some, name, "left_semi")
+    live = stage(live, "live")
+    budget = min(budget, live.agg(F.sum("n")).first()[0] or 0.0)
+    goal = {name: _within(live, name, goal[name], budget) for name in DIMENSIONS}
+    factors = {
+        name: goal[name].select("value", F.lit(1.0).alias("factor"), F.lit(0.0).alias("off"))
+        for name in DIMENSIONS
+    }
+    for _ in range(MAX_ROUNDS):
+        for name in DIMENSIONS:
+            factors[name] = stage(_held_step(live, name, goal[name], factors), "factors")
+        missed = reduce(DataFrame.union, [factors[name].select("off") for name in DIMENSIONS])
+        if (missed.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE * budget:
+            break
+    rates = live.withColumn("rate", F.lit(1.0))
+    for name in DIMENSIONS:
+        rates = _times(rates, name, factors[name], "rate")
+    rates = rates.select(*DIMENSIONS, F.least("rate", F.lit(1.0)).alias("rate"))
+    return cells.join(rates, list(DIMENSIONS), "left").fillna(0.0, ["rate"])
+
+
+def _within(cells: DataFrame, dimension: str, shares: DataFrame, budget: float) -> DataFrame:
+    """``value, share`` in tokens: ``budget`` by shares, but to no value more than it has."""
+    natural = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("n").alias("n"))
+    both = stage(natural.join(shares, "value"), "within")
+    each = 0.0
+    while True:
+        full = F.col("share") * each >= F.col("n")
+        sums = both.agg(
+            F.sum(F.when(full, F.col("n")).otherwise(0.0)), F.sum(F.when(~full, F.col("share")))
+        ).first()
+        more = (budget - (sums[0] or 0.0)) / sums[1] if sums[1] else each
+        if more <= each * (1 + 1e-12):
+            break
+        each = more
+    most = F.when(full, F.col("n")).otherwise(F.col("share") * each)
+    return stage(both.select("value", most.alias("share")), "targets")
+
+
+def _held_step(
+    cells: DataFrame, name: str, goal: DataFrame, factors: dict[str, DataFrame]
+) -> DataFrame:
+    """The next ``value, factor`` of a dimension, and how many tokens it was ``off`` before.
+
+    ``n * min(1, factor * others)`` is concave in the factor, so its tangent leads to a factor
+    that is not too large; where the cells at 1 already exceed the goal, none is taken as held.
+    """
+    own = factors[name].select(F.col("value").alias(name), F.col("factor").alias("own"))
+    weighted = cells.join(own, name).withColumn("rate", F.lit(1.0))
+    for other in DIMENSIONS:
+        if other != name:
+            weighted = _times(weighted, other, factors[other], "rate")
+    held = F.col("rate") * F.col("own") >= 1
+    fitted = F.col("n") * F.col("rate")
+    sums = weighted.groupBy(F.col(name).alias("value")).agg(
+        F.max("own").alias("own"),
+        F.sum(F.when(held, F.col("n")).otherwise(0.0)).alias("held"),
+        F.sum(F.when(held, 0.0).otherwise(fitted)).alias("free"),
+        F.sum(fitted).alias("all"),
+    )
+    fit = F.when(F.col("share") < F.col("held"), F.try_divide("share", "all")).otherwise(
+        F.try_divide(F.col("share") - F.col("held"), "free")
+    )
+    both = sums.join(goal, "value").withColumn("factor", F.coalesce(fit, "own"))
+    off = F.abs(F.col("held") + F.col("own") * F.col("free") - F.col("share"))
+    return both.select("value", "factor", off.alias("off"))
+
+
 def _times(rows: DataFrame, dimension: str, factors: DataFrame, into: str = "n") -> DataFrame:
     factor = factors.select(F.col("value").alias(dimension), "factor")
     joined = rows.join(factor, dimension)
@@ -107,6 +194,8 @@ def _drawn(
     text: str = "text",
     topic: Column | None = None,
     seed: int = 17,
+    budget: float | None = None,
+    share: float | None = None,
 ) -> DataFrame:
     """``_row`` (a struct of the document's own columns), ``tokens``, ``rate``, ``drawn``."""
     rows = docs.select(
@@ -120,14 +209,20 @@ def _drawn(
         name: (targets or {}).get(name, tempered(cells, name, (powers or POWERS)[name]))
         for name in DIMENSIONS
     }
-    factors = rake(cells, goal)
-    rates = cells.withColumn("rate", F.lit(1.0))
-    for name in DIMENSIONS:
-        rates = _times(rates, name, factors[name], "rate")
-    largest = rates.agg(F.max("rate")).first()[0] or 1.0
-    rows = rows.withColumn("rate", F.lit(1.0 / largest))
-    for name in DIMENSIONS:
-        rows = _times(rows, name, factors[name], "rate")
+    if budget is None and share is not None:
+        budget = share * (cells.agg(F.sum("n")).first()[0] or 0.0)
+    if budget is None:
+        factors = rake(cells, goal)
+        rates = cells.withColumn("rate", F.lit(1.0))
+        for name in DIMENSIONS:
+            rates = _times(rates, name, factors[name], "rate")
+        largest = rates.agg(F.max("rate")).first()[0] or 1.0
+        rows = rows.withColumn("rate", F.lit(1.0 / largest))
+        for name in DIMENSIONS:
+            rows = _times(rows, name, factors[name], "rate")
+    else:
+        rates = stage(rake_held(cells, goal, budget).drop("n"), "rates")
+        rows = rows.join(rates, list(DIMENSIONS))
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(f"_row.{doc_id}")), F.lit(2**53)) / 2**53
     # rounding must not lose the rows whose rate is 1
     drawn = draw < F.col("rate") * (1 + 1e-9)
@@ -138,7 +233,8 @@ def sampled(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with ``_tokens``, ``_rate`` and ``_sampled``, which replace columns so called.
 
     Targets are given as tables ``value, share`` by dimension (``targets``), or else as the
-    powers that their natural shares are raised to (``powers``, or ``POWERS``).
+    powers that their natural shares are raised to (``powers``, or ``POWERS``). The size is
+    given as ``budget`` (tokens) or ``share`` (of the corpus' tokens).
     """
     added = {"_tokens": "tokens", "_rate": "rate", "_sampled": "drawn"}
     return _drawn(docs, **options).select(
@@ -148,6 +244,11 @@ def sampled(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The sampled rows of ``docs``, with its columns. Options as for ``sampled``."""
+    """The sampled rows of ``docs``, with its columns. Options as for ``sampled``.
+
+    Without a size it is ``SHARE`` of the corpus' tokens.
+    """
+    if options.get("budget") is None and options.get("share") is None:
+        options["share"] = SHARE
     kept = _drawn(docs, **options).where("drawn")
     return kept.select(*[F.col("_row")[name].alias(name) for name in docs.columns])

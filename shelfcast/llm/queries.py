@@ -121,7 +121,7 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return mixing.sampled(docs).select(
+    return mixing.sampled(docs, share=mixing.SHARE).select(
         "doc_id",
         F.col("_tokens").alias("n_tokens"),
         F.col("_rate").alias("rate"),

@@ -236,6 +236,66 @@ def test_rates_are_those_of_plain_fitting(spark):
     assert np.allclose([row._rate for row in rows], [rates[place] for place in places], rtol=1e-3)
 
 
+def _held_rates(rows, share):
+    """Rates by solving for each factor by bisection, in turn."""
+    names = {d: sorted({row[d] for row in rows}) for d in mixing.DIMENSIONS}
+    places = [tuple(names[d].index(row[d]) for d in mixing.DIMENSIONS) for row in rows]
+    cells = np.zeros([len(names[d]) for d in mixing.DIMENSIONS])
+    for row, place in zip(rows, places):
+        cells[place] += row._tokens
+    budget, goals, factors = share * cells.sum(), [], []
+    for axis, name in enumerate(mixing.DIMENSIONS):
+        sums = cells.sum(axis=tuple(a for a in range(3) if a != axis))
+        low, high = 0.0, 1e9
+        for _ in range(200):
+            each = (low + high) / 2
+            goal = np.minimum(sums, each * sums ** mixing.POWERS[name])
+            low, high = (each, high) if goal.sum() < budget else (low, each)
+        goals.append(goal)
+        factors.append(np.ones(len(sums)))
+    for _ in range(100):
+        for axis in range(3):
+            others = [f if a != axis else np.ones(len(f)) for a, f in enumerate(factors)]
+            fitted = np.moveaxis(np.einsum("i,j,k->ijk", *others), axis, 0)
+            own = np.moveaxis(cells, axis, 0)
+            for v, goal in enumerate(goals[axis]):
+                low, high = 0.0, 1e6
+                for _ in range(80):
+                    each = (low + high) / 2
+                    got = (own[v] * np.minimum(1, each * fitted[v])).sum()
+                    low, high = (each, high) if got < goal * (1 - 1e-12) else (low, each)
+                factors[axis][v] = high
+    rates = np.minimum(1, np.einsum("i,j,k->ijk", *factors))
+    return [rates[place] for place in places], budget
+
+
+def test_rare_cells_do_not_shrink_the_sample(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = docs.select("doc_id", "text", "lang", "source")
+    rare = [(-1, "x", "xx", "rare"), (-2, "y" * 800, "en", "new"), (-3, "z", None, None)]
+    docs = docs.union(spark.createDataFrame(rare, docs.schema))
+    found = mixing.sampled(docs, share=0.75).withColumn("topic", mixing.topic_of())
+    rows = found.fillna("", ["lang", "source"]).collect()
+    assert len(rows) == docs.count()
+    want, budget = _held_rates(rows, 0.75)
+    assert np.allclose([row._rate for row in rows], want, rtol=2e-2)
+    expected = sum(row._tokens * row._rate for row in rows)
+    assert expected == pytest.approx(budget, rel=1e-3)
+    assert max(row._rate for row in rows) <= 1
+    assert all(row._sampled for row in rows if row.doc_id in (-1, -2, -3))
+    kept = sum(row._tokens for row in rows if row._sampled)
+    assert kept == pytest.approx(budget, rel=0.15)
+
+
+def test_mixing_sizes(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id is not null")
+    none = spark.createDataFrame([("en", 0.0), ("de", 1.0)], "value string, share double")
+    assert all(row._sampled for row in mixing.sampled(docs, share=1.0).collect())
+    rows = mixing.sampled(docs, targets={"lang": none}, budget=1e12).collect()
+    assert all(row._sampled == (row.lang != "en") for row in rows)
+    assert mixing.mix(docs, budget=0).collect() == []
+
+
 def test_mixing_nothing(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("false")
     assert mixing.mix(docs).collect() == []
