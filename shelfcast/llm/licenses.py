@@ -1,9 +1,11 @@
 """License scan by conditional compression.
 
-A block of lines that may state a license is compressed alone, and once more with each
-template as zstandard's raw dictionary. The template that saves most comes closest in
-wording; the best few are then compared word by word, and the first whose differences touch
-no word that tells licenses apart (names, versions, clauses) and are few is confirmed.
+A block is all that stands within reach of a hint: as many words on each side as the longest
+template has, whatever lines, paragraphs and sentences they are in. Every template that
+shares enough word pairs with it to be confirmed at all is aligned with it from the longest
+common run on. A window is confirmed if its differences are few and touch no word that tells
+licenses apart (names, versions, clauses), and if zstandard saves enough of the window with
+the template as raw dictionary. Of windows that overlap, the one that saves most bytes stays.
 
 Defined results: a null or empty text has no blocks. Of templates that save alike the
 first by name comes first. A text may state several licenses, or one repeatedly; all are
@@ -13,6 +15,7 @@ reported in order. Rows may repeat.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -24,10 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 MIN_SAVING = 0.3
-CANDIDATES = 4
 MAX_CHANGED = 0.2
-GAP_LINES = 2
-LONG_LINE = 600
 
 # Wordings of public license statements.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -102,41 +102,30 @@ _HINT = (
 )
 _HINTED = re.compile(_HINT)
 _WORD = re.compile(r"[^\W_]+")
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
+_CLOSING = re.compile(r"[.!?)\"']*")
 
 FOUND = "array<struct<license:string,start:int,end:int,saving:double,changed:int>>"
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """Ranges of lines that may state a license; short gaps between them are bridged.
+def blocks(text: str, templates=TEMPLATES) -> list[tuple[int, int]]:
+    """Ranges of text within reach of a hint; those that meet are one."""
+    return [(words[0][1], words[-1][2]) for words in _placed(text, templates)]
 
-    A long line counts by its sentences.
-    """
-    units, at = [], 0
-    for line in text.split("\n"):
-        if len(line) > LONG_LINE:
-            begin = 0
-            for cut in [*_SENTENCE.finditer(line), None]:
-                end = cut.start() if cut else len(line)
-                units.append((at + begin, at + end))
-                begin = cut.end() if cut else end
-        else:
-            units.append((at, at + len(line)))
-        at += len(line) + 1
-    hinted = [i for i, (a, b) in enumerate(units) if _HINTED.search(text, a, b)]
+
+def _placed(text: str, templates) -> list[list[tuple[str, int, int]]]:
+    """The words of each block, in small letters, with their places."""
+    words = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+    reach = max((len(t.words) for t in _templates(templates)), default=0)
+    starts, ends = [w[1] for w in words], [w[2] for w in words]
     found: list[list[int]] = []
-    for i in hinted:
-        if found and i - found[-1][1] <= GAP_LINES + 1 and _notice(text, units, found[-1][1], i):
-            found[-1][1] = i
+    for hint in _HINTED.finditer(text):
+        low = max(0, bisect_right(ends, hint.start()) - reach)
+        high = min(len(words), bisect_left(starts, hint.end()) + reach)
+        if found and low <= found[-1][1]:
+            found[-1][1] = max(high, found[-1][1])
         else:
-            found.append([i, i])
-    return [(units[a][0], units[b][1]) for a, b in found]
-
-
-def _notice(text: str, units: list[tuple[int, int]], first: int, last: int) -> bool:
-    """Whether one statement runs on: no sentence ends before the next hinted line."""
-    upto = text[units[first][0] : units[last][0]].rstrip()
-    return not upto.endswith((".", "!", "?"))
+            found.append([low, high])
+    return [words[low:high] for low, high in found]
 
 
 @dataclass
@@ -144,6 +133,12 @@ class _Template:
     license: str
     words: list[str]
     compressor: zstandard.ZstdCompressor
+    pairs: frozenset[tuple[str, str]]
+
+    @property
+    def most(self) -> int:
+        """How many words may differ."""
+        return int(MAX_CHANGED * len(self.words))
 
 
 def _compressor(dictionary: str | None) -> zstandard.ZstdCompressor:
@@ -167,16 +162,23 @@ def _words(text: str) -> list[str]:
 @lru_cache(maxsize=4)
 def _templates(templates: tuple[tuple[str, str], ...]) -> list[_Template]:
     ordered = sorted(templates)
-    return [_Template(name, _words(text), _compressor(_plain(text))) for name, text in ordered]
+    known = []
+    for name, text in ordered:
+        words = _words(text)
+        known.append(_Template(name, words, _compressor(_plain(text)), _pairs(words)))
+    return known
+
 
+def _pairs(words: list[str]) -> frozenset[tuple[str, str]]:
+    return frozenset(zip(words, words[1:]))
 
-def savings(block: str, templates=TEMPLATES) -> list[tuple[float, int]]:
-    """The share of bytes that each template saves, the most first, with its place."""
-    plain = _plain(block).encode()
+
+def _saved(window: str, template: _Template) -> tuple[int, float]:
+    """Bytes that the template saves of a window, and their share."""
+    plain = _plain(window).encode()
     alone = len(_compressor(None).compress(plain))
-    shares = [1 - len(t.compressor.compress(plain)) / alone for t in _templates(templates)]
-    ranked = sorted(enumerate(shares), key=lambda one: (-one[1], one[0]))
-    return [(share, place) for place, share in ranked]
+    saved = alone - len(template.compressor.compress(plain))
+    return saved, saved / alone
 
 
 def differences(words: list[str], block: list[str]) -> tuple[list[str], list[str]]:
@@ -184,30 +186,73 @@ def differences(words: list[str], block: list[str]) -> tuple[list[str], list[str
 
     What stands before the first common word and after the last belongs to other prose.
     """
+    return _aligned(words, block)[:2]
+
+
+def _aligned(words: list[str], block: list[str]) -> tuple[list[str], list[str], int, int]:
+    """``differences``, and where the first common word is and the last one ends."""
     matcher = SequenceMatcher(None, words, block, autojunk=False)
     same = [match for match in matcher.get_matching_blocks() if match.size]
     if not same:
-        return list(words), []
+        return list(words), [], 0, 0
     lacking, extra, a, b = [], [], 0, same[0].b
     for match in same:
         lacking += words[a : match.a]
         extra += block[b : match.b]
         a, b = match.a + match.size, match.b + match.size
-    return lacking + words[a:], extra
-
-
-@lru_cache(maxsize=4096)
-def identify(block: str, templates=TEMPLATES) -> tuple[str, float, int] | None:
-    """License, saving and number of changed words of a block, if one is confirmed."""
-    words, known = _words(block), _templates(templates)
-    for saving, place in savings(block, templates)[:CANDIDATES]:
-        if saving < MIN_SAVING:
-            break
-        lacking, extra = differences(known[place].words, words)
-        changed, most = len(lacking) + len(extra), MAX_CHANGED * len(known[place].words)
-        if not TELLING.intersection(lacking + extra) and changed <= most:
-            return known[place].license, saving, changed
-    return None
+    return lacking + words[a:], extra, same[0].b, b
+
+
+def _windows(template: _Template, words: list[str]) -> list[tuple[int, int, int]]:
+    """Ranges of ``words`` that have the template's wording, with the number of changes."""
+    size, most = len(template.words), template.most
+    least = max(1, (size - most) // (most + 1))
+    matcher = SequenceMatcher(None, template.words, words, autojunk=False)
+    found, open_ranges = [], [(0, len(words))]
+    while open_ranges:
+        low, high = open_ranges.pop()
+        match = matcher.find_longest_match(0, size, low, high)
+        if match.size < least:
+            continue
+        begin = max(low, match.b - match.a - most)
+        end = min(high, match.b - match.a + size + most)
+        lacking, extra, first, last = _aligned(template.words, words[begin:end])
+        changed = len(lacking) + len(extra)
+        if changed <= most and not TELLING.intersection(lacking + extra):
+            found.append((begin + first, begin + last, changed))
+            open_ranges += [(low, begin + first), (begin + last, high)]
+        else:
+            open_ranges += [(low, match.b), (match.b + match.size, high)]
+    return found
+
+
+def identify(text: str, templates=TEMPLATES) -> list[tuple[str, int, int, float, int]]:
+    """License, start, end, saving and number of changed words of what is confirmed."""
+    return _identify(text, _placed(text, templates), templates)
+
+
+def _identify(text: str, placed, templates) -> list[tuple[str, int, int, float, int]]:
+    found = []
+    for block in placed:
+        words = [word for word, _, _ in block]
+        pairs, ranked = _pairs(words), []
+        for place, template in enumerate(_templates(templates)):
+            # a changed word spoils two pairs at most
+            if len(template.pairs - pairs) > 2 * template.most:
+                continue
+            for first, last, changed in _windows(template, words):
+                start, end = block[first][1], block[last - 1][2]
+                saved, share = _saved(text[start:end], template)
+                if share >= MIN_SAVING:
+                    end = _CLOSING.match(text, end).end()
+                    one = (template.license, start, end, share, changed)
+                    ranked.append((-saved, place, start, one))
+        taken: list[tuple[str, int, int, float, int]] = []
+        for *_, one in sorted(ranked):
+            if all(one[2] <= other[1] or other[2] <= one[1] for other in taken):
+                taken.append(one)
+        found += sorted(taken, key=lambda one: one[1])
+    return found
 
 
 _FOUND = pa.list_(
@@ -226,6 +271,8 @@ _FOUND = pa.list_(
 def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
     """``docs`` with ``_blocks`` (how many candidates) and ``_licenses`` (those confirmed)."""
 
+    names = ("license", "start", "end", "saving", "changed")
+
     def look(batches):
         for batch in batches:
             column = batch.column(text)
@@ -233,13 +280,9 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
             counts, found = [0] * len(column), [[]] * len(column)
             for row in pc.indices_nonzero(hint).to_pylist():
                 body = column[row].as_py()
-                ranges, told = blocks(body), []
-                for start, end in ranges:
-                    if one := identify(body[start:end], templates):
-                        name, saving, changed = one
-                        place = {"start": start, "end": end}
-                        told.append(place | dict(license=name, saving=saving, changed=changed))
-                counts[row], found[row] = len(ranges), told
+                placed = _placed(body, templates)
+                counts[row] = len(placed)
+                found[row] = [dict(zip(names, one)) for one in _identify(body, placed, templates)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(counts, pa.int64()), pa.array(found, _FOUND)],
                 [*batch.schema.names, "_blocks", "_licenses"],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -320,6 +321,26 @@ def test_licenses(spark):
     assert found == {i: want for i, want in enumerate(texts.values())} | {99: []}
 
 
+def _named(text):
+    return [one[0] for one in licenses.identify(text)]
+
+
+def _template(name, part):
+    return next(t for license, t in licenses.TEMPLATES if license == name and part in t)
+
+
+@pytest.mark.parametrize(
+    "name,part", [("MIT", "hereby"), ("GPL-3.0", "redistribute"), ("Apache-2.0", "AS IS")]
+)
+def test_wrapped_notices_are_one_block(name, part):
+    lines = textwrap.wrap(_template(name, part), 70)
+    for mark, gap in (("", "\n"), ("# ", "\n"), (" * ", "\n\n")):
+        text = "Prose before.\n\n" + gap.join(mark + line for line in lines) + "\n\nProse after."
+        (found,) = licenses.identify(text)
+        assert found[0] == name
+        assert text[found[1] : found[2]].split()[-1] == lines[-1].split()[-1]
+
+
 def test_differences_in_wording():
     lacking, extra = licenses.differences(["a", "b", "c"], ["x", "a", "q", "c", "y"])
     assert (lacking, extra) == (["b"], ["q"])
