@@ -341,6 +341,14 @@ def test_wrapped_notices_are_one_block(name, part):
         assert text[found[1] : found[2]].split()[-1] == lines[-1].split()[-1]
 
 
+@pytest.mark.parametrize("before", [0, 40, 60, 140, 300, 590, 700])
+def test_licenses_after_prose_on_their_line(before):
+    prose = ("Shelves were filled by hand that morning and stock was counted twice " * 12)[:before]
+    for end in ("", " Then came rain and the market closed early."):
+        assert _named(f"{prose} Released under the MIT License.{end}") == ["MIT"]
+        assert _named(f"{prose}. Licensed under CC BY-NC 4.0.{end}") == ["CC-BY-NC-4.0"]
+
+
 def test_differences_in_wording():
     lacking, extra = licenses.differences(["a", "b", "c"], ["x", "a", "q", "c", "y"])
     assert (lacking, extra) == (["b"], ["q"])
