@@ -88,17 +88,152 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ),
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+        'this software and associated documentation files (the "Software"), to deal in '
+        "the Software without restriction, including without limitation the rights to "
+        "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+        "the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this "
+        "permission notice shall be included in all copies or substantial portions of the "
+        'Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, '
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING "
+        "FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+        "THE SOFTWARE.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, "
+        "are permitted provided that the following conditions are met: Redistributions of "
+        "source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution. Neither "
+        "the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior "
+        "written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        'CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, "
+        "OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+        "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING "
+        "IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY "
+        "OF SUCH DAMAGE.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, "
+        "are permitted provided that the following conditions are met: Redistributions of "
+        "source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution. Neither "
+        "the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior "
+        "written permission.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, "
+        "are permitted provided that the following conditions are met: Redistributions of "
+        "source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution. THIS "
+        'SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY '
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR "
+        "ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+        "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+        "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON "
+        "ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+        "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose "
+        "with or without fee is hereby granted, provided that the above copyright notice "
+        "and this permission notice appear in all copies.",
+    ),
+    ("ISC", "Released under the ISC License."),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. "
+        "2.0. If a copy of the MPL was not distributed with this file, You can obtain one "
+        "at https://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. "
+        "2.0.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software: you can redistribute it and/or modify it under "
+        "the terms of the GNU General Public License as published by the Free Software "
+        "Foundation, either version 2 of the License, or (at your option) any later "
+        "version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This program is free software: you can redistribute it and/or modify it under "
+        "the terms of the GNU Lesser General Public License as published by the Free "
+        "Software Foundation, either version 2.1 of the License, or (at your option) any "
+        "later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under "
+        "the terms of the GNU Lesser General Public License as published by the Free "
+        "Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under "
+        "the terms of the GNU Affero General Public License as published by the Free "
+        "Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.",
+    ),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1"),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-only"),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-only"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-only"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
 )
 #: Words that tell one license from another; a difference in one of them rejects a template.
 TELLING = frozenset(
     "0 1 2 3 4 affero agpl apache attribution bsd by cc cc0 clause commons creative domain gnu "
-    "general gpl lesser lgpl mit mozilla mpl nc nd noncommercial noderivatives only permission "
-    "public sa sharealike free foundation version".split()
+    "general gpl isc later lesser lgpl mit mozilla mpl nc nd noncommercial noderivatives only "
+    "permission public sa sharealike free foundation version".split()
 )
 
 _HINT = (
     r"(?i)licen[sc]e|spdx|copyright|public\s+domain|creative\s+commons|\bcc[ -]by|\bcc0\b"
-    r"|permission\s+is\s+hereby|free\s+software"
+    r"|permission\s+is\s+hereby|free\s+software|redistributions?\b|permission\s+to\s+use"
 )
 _HINTED = re.compile(_HINT)
 _WORD = re.compile(r"[^\W_]+")

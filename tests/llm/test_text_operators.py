@@ -349,6 +349,23 @@ def test_licenses_after_prose_on_their_line(before):
         assert _named(f"{prose}. Licensed under CC BY-NC 4.0.{end}") == ["CC-BY-NC-4.0"]
 
 
+@pytest.mark.parametrize("place", range(len(licenses.TEMPLATES)))
+def test_every_template_is_told_from_the_others(place):
+    name, text = licenses.TEMPLATES[place]
+    assert _named("\n".join(textwrap.wrap(text, 60))) == [name]
+
+
+def test_covered_licenses():
+    for name, text in {
+        "GPL-3.0": "SPDX-License-Identifier: GPL-3.0-or-later",
+        "AGPL-3.0": "SPDX-License-Identifier: AGPL-3.0-only",
+        "MPL-2.0": "/* This Source Code Form is subject to the terms of the Mozilla Public\n"
+        " * License, v. 2.0. */",
+    }.items():
+        assert _named(text) == [name]
+    assert _named("SPDX-License-Identifier: EUPL-1.2") == []
+
+
 def test_differences_in_wording():
     lacking, extra = licenses.differences(["a", "b", "c"], ["x", "a", "q", "c", "y"])
     assert (lacking, extra) == (["b"], ["q"])
