@@ -114,9 +114,53 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+# masks: A 1, B 2, C 4, D 8, E 16
+_OP11 = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), masks AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM texts
+), told AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+  FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM masks LEFT JOIN told USING (doc_id) GROUP BY part, mask
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order,
+    [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0)::INTEGER AS before
+  FROM (SELECT *, unnest(range(1, 6))::INTEGER AS step FROM orders)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER ((mask & (before | bit)) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER ((mask & before) = 0 AND (mask & bit) > 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER ((mask & before) > 0 AND (mask & bit) > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER ((mask & before) = 0 AND (mask & bit) > 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(n_toxic) FILTER ((mask & before) = 0 AND (mask & bit) > 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit
+)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM counted
+"""
+
 ORACLES = {
     "op1_decontaminate": _OP1,
     "op2_url_filter": _OP2,
     "op6_near_duplicates": _OP6,
     "op10_chat_format": _OP10,
+    "op11_filter_audit": _OP11,
 }

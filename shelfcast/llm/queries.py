@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import (
     chat,
     decontaminate,
+    filteraudit,
     langid,
     licenses,
     mixing,
@@ -146,6 +147,11 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return filteraudit.audit(filteraudit.marks(docs, _table(spark, folder, "labels")))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_url_filter": op2_url_filter,
@@ -157,4 +163,5 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
+    "op11_filter_audit": op11_filter_audit,
 }

@@ -307,7 +307,7 @@ def test_mixing_nothing(spark):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_matches_its_oracle(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "pages", "conversations"):
+    for table in ("documents", "benchmark", "pages", "conversations", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = queries.QUERIES[name](spark, FOLDER)
     result = duck.execute(ORACLES[name])
