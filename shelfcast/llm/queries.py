@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
+    alignment,
     chat,
     decontaminate,
     filteraudit,
@@ -152,6 +153,14 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filteraudit.audit(filteraudit.marks(docs, _table(spark, folder, "labels")))
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.compare(
+        _table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_url_filter": op2_url_filter,
@@ -164,4 +173,5 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
     "op11_filter_audit": op11_filter_audit,
+    "op13_alignment": op13_alignment,
 }
