@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast import schemas
 from shelfcast.operators import signals
 from shelfcast.session import stage, stage_all
-from shelfcast.sinks import read_table, write_table
-from shelfcast.sources import Database, RejectCounts, check_rejects, weather
+from shelfcast.sinks import Release, read_table
+from shelfcast.sources import Database, Intake, check_rejects, weather
+from shelfcast.sources.csv import fail_on, worst_rejects
 
 # Stored table names, by field of ``FeatureTables``.
 TABLES = {
@@ -77,18 +78,26 @@ def run_weather(
 ) -> DataFrame:
     """Hourly weather files to a daily table by city.
 
-    What each file holds, lost lines included, is stored as ``weather_files``; a file that
-    loses more than ``lost_share`` of its lines fails the job. The files' ``columns`` need
-    only be given if they have no header.
+    What each file holds, lost lines included, is stored as ``weather_files``, lost lines and
+    values that do not parse as ``weather_quarantine``; both describe the last run, whatever
+    came of it. A file that loses more than ``lost_share`` of its lines fails the job, as do
+    more bad values in a column than that and ``REJECT_SHARE``; the stored daily table then
+    stays as it was. The files' ``columns`` need only be given if they have no header.
     """
-    path = f"{out}/weather_daily"
     lines = stage(weather.read_lines(spark, f"{raw}/*.csv"), "weather-lines")
-    write_table(weather.file_profile(lines).coalesce(1), f"{out}/weather_files")
-    profile = read_table(spark, f"{out}/weather_files")
-    names = columns or weather.header_columns(profile)
-    weather.check_lost(profile, lost_share)
-    write_table(signals.weather_daily(weather.hourly(lines, names)), path)
-    return read_table(spark, path)
+    with Release(spark, out) as release:
+        profile = stage(weather.file_profile(lines).coalesce(1), "weather-profile")
+        names = columns or weather.header_columns(profile)
+        bad = stage(weather.bad_values(lines, names), "weather-bad")
+        release.write(profile, "weather_files")
+        release.write(bad, "weather_quarantine")
+        release.publish("weather_files", "weather_quarantine")
+        weather.check_lost(profile, lost_share)
+        counts = weather.reject_counts(bad, profile)
+        check_rejects(counts, max(lost_share, REJECT_SHARE))
+        release.write(signals.weather_daily(weather.hourly(lines, names)), "weather_daily")
+        release.publish("weather_daily")
+    return read_table(spark, f"{out}/weather_daily")
 
 
 def run(
@@ -101,22 +110,28 @@ def run(
     """Write the four tables as parquet, then copy those to the database.
 
     The daily weather must be in ``out`` already, from ``run_weather``. Values that do not
-    parse are stored as ``feature_rejects`` and fail the job above ``reject_share``.
+    parse are kept in ``feature_quarantine``, counted in ``feature_rejects`` and fail the job
+    above ``reject_share``, before any stored table is touched.
     """
-    counts = RejectCounts()
+    intake = Intake()
     inputs = {
         "oil": (f"{raw}/oil.csv", schemas.OIL),
         "transactions": (f"{raw}/transactions.csv", schemas.TRANSACTIONS),
         "holidays": (f"{raw}/holidays_events.csv", schemas.HOLIDAYS),
     }
     built = feature_tables(
-        **{name: counts.read_csv(spark, *where, name) for name, where in inputs.items()},
+        **{name: intake.read_csv(spark, *where, name) for name, where in inputs.items()},
         weather=read_table(spark, f"{out}/weather_daily"),
     )
-    for field, name in TABLES.items():
-        write_table(getattr(built, field), f"{out}/{name}")
-    write_table(counts.table(spark), f"{out}/feature_rejects")
-    check_rejects(read_table(spark, f"{out}/feature_rejects"), reject_share)
+    with Release(spark, out) as release:
+        rejects = release.write(intake.counts().coalesce(1), "feature_rejects")
+        worst = worst_rejects(rejects, reject_share)
+        release.write(intake.bad_values(), "feature_quarantine")
+        release.publish("feature_rejects", "feature_quarantine")
+        fail_on(worst)
+        for field, name in TABLES.items():
+            release.write(getattr(built, field), name)
+        release.publish(*TABLES.values())
     stored = read_features(spark, out)
     if database:
         for field, name in TABLES.items():

@@ -10,8 +10,9 @@ from shelfcast import schemas
 from shelfcast.operators import star
 from shelfcast.operators.signals import with_date
 from shelfcast.session import stage_all
-from shelfcast.sinks import read_table, write_table
-from shelfcast.sources import Database, RejectCounts, check_rejects, read_csv
+from shelfcast.sinks import Release, read_table
+from shelfcast.sources import Database, Intake
+from shelfcast.sources.csv import fail_on, worst_rejects
 
 TABLES = ("dim_item", "dim_store", "fact_sales")
 REJECT_SHARE = 0.01
@@ -56,21 +57,26 @@ def run(
 ) -> StarSchema:
     """Write the three tables as parquet, then copy those to the database.
 
-    The fact keeps a fraction of each CSV split, so its files are evened out for
-    the jobs that read it. Values that do not parse are counted in the runs that
-    write, stored as ``ingest_rejects``, and fail the job above ``reject_share``.
+    Every raw file is scanned once. Values that do not parse are kept in
+    ``ingest_quarantine`` and counted in ``ingest_rejects``, which describe the last run
+    whatever came of it; above ``reject_share`` the job fails and the stored tables stay as
+    they were. The fact keeps a fraction of each CSV split, so its files are evened out for
+    the jobs that read it.
     """
-    counts = RejectCounts()
-    items = counts.read_csv(spark, f"{raw}/items.csv", schemas.ITEMS, "items")
-    stores = counts.read_csv(spark, f"{raw}/stores.csv", schemas.STORES, "stores")
-    sales = counts.read_csv(spark, f"{raw}/train.csv", schemas.SALES, "sales")
-    write_table(star.item_dimension(items), f"{out}/dim_item")
-    write_table(star.store_dimension(stores), f"{out}/dim_store")
-    # the fact reads the items once more, without counting them again
-    again = read_csv(spark, f"{raw}/items.csv", schemas.ITEMS)
-    write_table(star.sales_fact(sales, again), f"{out}/fact_sales", rebalance=True)
-    write_table(counts.table(spark), f"{out}/ingest_rejects")
-    check_rejects(read_table(spark, f"{out}/ingest_rejects"), reject_share)
+    intake = Intake()
+    items = intake.read_csv(spark, f"{raw}/items.csv", schemas.ITEMS, "items")
+    stores = intake.read_csv(spark, f"{raw}/stores.csv", schemas.STORES, "stores")
+    sales = intake.read_csv(spark, f"{raw}/train.csv", schemas.SALES, "sales")
+    with Release(spark, out) as release:
+        rejects = release.write(intake.counts().coalesce(1), "ingest_rejects")
+        worst = worst_rejects(rejects, reject_share)
+        release.write(intake.bad_values(), "ingest_quarantine")
+        release.publish("ingest_rejects", "ingest_quarantine")
+        fail_on(worst)
+        release.write(star.item_dimension(items), "dim_item")
+        release.write(star.store_dimension(stores), "dim_store")
+        release.write(star.sales_fact(sales, items), "fact_sales", rebalance=True)
+        release.publish(*TABLES)
     stored = read_star(spark, out)
     if database:
         for name in TABLES:

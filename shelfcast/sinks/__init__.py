@@ -1,3 +1,4 @@
 from shelfcast.sinks.parquet import read_table, write_by_month, write_table
+from shelfcast.sinks.release import Release
 
-__all__ = ["read_table", "write_by_month", "write_table"]
+__all__ = ["Release", "read_table", "write_by_month", "write_table"]

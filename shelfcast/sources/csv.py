@@ -97,8 +97,17 @@ class RejectCounts:
         return spark.createDataFrame(found, schema).coalesce(1)
 
 
-def check_rejects(rejects: DataFrame, share: float) -> None:
-    """Fail if more than ``share`` of a column's values did not parse."""
+def worst_rejects(rejects: DataFrame, share: float) -> list[dict]:
+    """The columns of which more than ``share`` of the values did not parse."""
     worst = rejects.where(F.col("rejected") > share * F.col("rows")).collect()
+    return [row.asDict() for row in worst]
+
+
+def fail_on(worst: list[dict]) -> None:
     if worst:
-        raise ValueError(f"values that do not parse: {[row.asDict() for row in worst]}")
+        raise ValueError(f"values that do not parse: {worst}")
+
+
+def check_rejects(rejects: DataFrame, share: float) -> None:
+    """Fail if more than ``share`` of a column's values did not parse."""
+    fail_on(worst_rejects(rejects, share))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast import schemas
 from shelfcast.functions import city_from_path, city_key
 from shelfcast.session import stage
+from shelfcast.sources.intake import LINE
 
 _PLACE = ("block", "line")
 
@@ -49,28 +50,64 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def file_profile(lines: DataFrame) -> DataFrame:
-    """Per file: its header line (NULL if none), and how many lines are what.
+def _below_header(lines: DataFrame) -> DataFrame:
+    """Lines with their file's ``header`` and whether they are ``lost``: not data, below it.
 
-    ``lost_lines`` stand below the header and are not data. Only one small row per file
-    is kept from the first pass to the second.
+    Without a header there is nothing that tells metadata from data that went wrong, so any
+    line that is not data counts as lost.
     """
     text = F.trim("value")
     header = F.lower(_first_column()) == schemas.WEATHER_TIME
     place = F.struct(*_PLACE)
     heads = lines.groupBy("file").agg(F.min(F.when(header, F.struct(place, text))).alias("head"))
     heads = stage(heads.select("file", "head.*").toDF("file", "at", "header"), "headers")
+    below = F.col("at").isNull() | (place > F.col("at"))
+    return lines.join(heads, "file").withColumn("lost", _line_time().isNull() & below)
+
+
+def file_profile(lines: DataFrame) -> DataFrame:
+    """Per file: its header line (NULL if none), and how many lines are what.
+
+    ``lost_lines`` stand below the header and are not data; in a file without a header, all
+    that are not data. Only one small row per file is kept from the first pass to the second.
+    """
     return (
-        lines.join(heads, "file")
+        _below_header(lines)
         .groupBy("file", "header")
         .agg(
             F.count("*").alias("lines"),
             F.count(_line_time()).alias("data_lines"),
-            F.count_if(_line_time().isNull() & (place > F.col("at"))).alias("lost_lines"),
+            F.count_if("lost").alias("lost_lines"),
         )
     )
 
 
+def _fields(columns: list[str]) -> Column:
+    return F.from_csv("value", ", ".join(f"`{name}` string" for name in columns))
+
+
+def bad_values(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """``input, file, column, text`` of every lost line and every measure that does not parse."""
+    lost = _below_header(lines).where("lost").select("file", F.lit(LINE).alias("column"), "value")
+    data = lines.where(_line_time().isNotNull()).select("file", _fields(columns).alias("row"))
+    measures = [
+        F.struct(F.lit(name).alias("column"), F.trim(F.col("row")[name]).alias("text"))
+        for name in schemas.WEATHER_MEASURES
+    ]
+    each = data.select("file", F.inline(F.array(*measures)))
+    each = each.where((F.col("text") != "") & F.col("text").try_cast("double").isNull())
+    return lost.toDF("file", "column", "text").unionAll(each).select(
+        F.lit("weather").alias("input"), "file", "column", "text"
+    )
+
+
+def reject_counts(bad: DataFrame, profile: DataFrame) -> DataFrame:
+    """``input, column, rejected, rows`` of the measures that have bad values."""
+    rows = profile.agg(F.sum("data_lines")).first()[0] or 0
+    counts = bad.where(F.col("column") != LINE).groupBy("input", "column")
+    return counts.agg(F.count("*").alias("rejected")).withColumn("rows", F.lit(rows))
+
+
 def header_columns(profile: DataFrame) -> list[str]:
     """Column names in file order. Every file must have a header, and the same.
 
@@ -97,12 +134,12 @@ def header_columns(profile: DataFrame) -> list[str]:
 
 
 def check_lost(profile: DataFrame, share: float = 0.0) -> None:
-    """Fail if a file loses more than ``share`` of the lines below its header."""
+    """Fail if a file loses more than ``share`` of its data and lost lines together."""
     below = F.col("lost_lines") + F.col("data_lines")
     worst = profile.where(F.col("lost_lines") > share * below).orderBy("file").take(3)
     if worst:
         found = [f"{row.file}: {row.lost_lines} of {row.lines}" for row in worst]
-        raise ValueError(f"lines below the header without a time: {found}")
+        raise ValueError(f"data lines without a time: {found}")
 
 
 def hourly(lines: DataFrame, columns: list[str]) -> DataFrame:
@@ -110,7 +147,6 @@ def hourly(lines: DataFrame, columns: list[str]) -> DataFrame:
 
     That drops metadata, blank and header lines on the executors, whatever the file sizes.
     """
-    text = ", ".join(f"`{name}` string" for name in columns)
     measures = [
         F.trim(F.col("row")[name]).try_cast("double").alias(short)
         for name, short in schemas.WEATHER_MEASURES.items()
@@ -118,7 +154,7 @@ def hourly(lines: DataFrame, columns: list[str]) -> DataFrame:
     return (
         lines.withColumn("ts", _line_time())
         .where(F.col("ts").isNotNull())
-        .withColumn("row", F.from_csv("value", text))
+        .withColumn("row", _fields(columns))
         .select(
             "ts",
             F.to_date("ts").alias("date"),
@@ -137,13 +173,10 @@ def read_weather(
     """Hourly rows: ``ts, date, city_norm`` and the five measures.
 
     The text is read once and stored as a table; headers and lost lines are checked and
-    rows are parsed from there. Giving ``columns``, the column order, saves that: then
-    nothing is checked and the rows come straight from the files.
+    rows are parsed from there. ``columns``, the column order, stands in for headers.
     """
-    if columns:
-        return hourly(read_lines(spark, path), columns)
     lines = stage(read_lines(spark, path), "weather-lines")
     profile = stage(file_profile(lines), "weather-profile")
-    names = header_columns(profile)
+    names = columns or header_columns(profile)
     check_lost(profile, lost_share)
     return hourly(lines, names)

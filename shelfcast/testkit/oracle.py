@@ -137,6 +137,13 @@ TABLES = {
         FROM (SELECT family, y, 'naive' AS model, lag_1 AS yhat FROM late
               UNION ALL SELECT family, y, 'seasonal_naive', lag_7 FROM late
               UNION ALL SELECT family, y, 'moving_average', roll_mean_7 FROM late)""",
+    "spoilt": """
+        SELECT CAST(store_nbr % 3 AS INTEGER) AS file,
+               CASE WHEN item_nbr % 10 = 0 THEN 'no ' || item_nbr
+                    ELSE CAST(item_nbr AS VARCHAR) END AS item,
+               CASE WHEN store_nbr % 4 = 0 THEN 'maybe' ELSE coalesce(onpromotion, '') END AS promoted,
+               item_nbr % 15 = 0 AS split, CAST(date AS VARCHAR) AS day, store_nbr
+        FROM train_raw""",
     "levels": """
         SELECT 'is_holiday' AS factor, is_holiday AS level, y FROM model_train
         UNION ALL SELECT 'is_weekend', is_weekend, y FROM model_train
@@ -213,6 +220,14 @@ ORACLES = {
         FROM (SELECT unnest(['date', 'store_nbr', 'item_nbr', 'unit_sales', 'onpromotion']) AS column_name,
                      unnest([0, 0, (SELECT count(*) FROM train_raw WHERE item_nbr % 10 = 0),
                              0, (SELECT count(*) FROM train_raw WHERE store_nbr % 4 = 0)]) AS rejected)""",
+    "csv_quarantine": """
+        SELECT 'sales' AS input, file, 'item_nbr' AS "column", item AS text
+        FROM spoilt WHERE item LIKE 'no %'
+        UNION ALL SELECT 'sales', file, 'onpromotion', CASE WHEN split THEN '5' ELSE promoted END
+        FROM spoilt WHERE split OR promoted = 'maybe'
+        UNION ALL SELECT 'sales', file, '(line)',
+                         concat_ws(',', day, store_nbr, item, '1', '5', promoted)
+        FROM spoilt WHERE split""",
     "holdout_errors": """
         SELECT model, family, round(avg(abs(error)), 6) AS mae,
                round(sqrt(avg(error * error)), 6) AS rmse, round(avg(error), 6) AS bias,

@@ -16,7 +16,7 @@ from shelfcast.plans import audit, boosting, training
 from shelfcast.plans.ingest import StarSchema, star_schema
 from shelfcast.session import fresh_path, stage, stage_all
 from shelfcast.sinks import read_table, write_by_month, write_table
-from shelfcast.sources import RejectCounts, read_csv, read_weather, typed
+from shelfcast.sources import Intake, RejectCounts, read_csv, read_weather, typed
 from shelfcast.testkit.files import write_weather_files
 from shelfcast.testkit.views import Inputs
 
@@ -126,6 +126,29 @@ def csv_rejects(inputs: Inputs) -> DataFrame:
     return counts.table(inputs.spark)
 
 
+def csv_quarantine(inputs: Inputs) -> DataFrame:
+    """Every bad value of sales in several files, some of whose lines also lack a field."""
+    path, intake = fresh_path(inputs.spark, "train_quarantine"), Intake()
+    number, promoted = F.col("item_nbr").cast("string"), F.col("onpromotion")
+    fields = [
+        F.col("date").cast("string"),
+        F.col("store_nbr").cast("string"),
+        F.when(F.col("item_nbr") % 10 == 0, F.concat(F.lit("no "), number)).otherwise(number),
+        F.when(F.col("item_nbr") % 15 == 0, "1,5").otherwise(F.col("unit_sales").cast("string")),
+        F.when(F.col("store_nbr") % 4 == 0, "maybe").otherwise(F.coalesce(promoted, F.lit(""))),
+    ]
+    part = F.pmod("store_nbr", F.lit(3)).cast("int")
+    lines = inputs.sales.select(part.alias("part"), F.concat_ws(",", *fields).alias("value"))
+    header = ",".join(schemas.SALES.names)
+    tops = lines.select("part").distinct().select("part", F.lit(header).alias("value"))
+    files = tops.withColumn("rank", F.lit(0)).unionByName(lines.withColumn("rank", F.lit(1)))
+    files = files.repartition("part").sortWithinPartitions("part", "rank").drop("rank")
+    files.write.partitionBy("part").text(path)
+    intake.read_csv(inputs.spark, f"{path}/*/*.txt", schemas.SALES, "sales")
+    place = F.regexp_extract("file", "part=([0-9])", 1).cast("int")
+    return intake.bad_values().withColumn("file", place)
+
+
 def weather_preamble_strip(inputs: Inputs) -> DataFrame:
     return _weather_files(inputs).drop("date")
 
@@ -309,6 +332,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "partitioned_parquet": partitioned_parquet,
     "csv_perishable_spellings": csv_perishable_spellings,
     "csv_rejects": csv_rejects,
+    "csv_quarantine": csv_quarantine,
     "weather_preamble_strip": weather_preamble_strip,
     "weather_time_shapes": weather_time_shapes,
     "file_city_key": file_city_key,

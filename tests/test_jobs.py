@@ -164,7 +164,42 @@ def test_values_that_do_not_parse_fail_the_job(spark, folders, tmp_path):
         (tmp_path / name).write_text(text.replace("True", "maybe"), encoding="utf-8")
     with pytest.raises(ValueError, match="onpromotion"):
         ingest.run(spark, str(tmp_path), str(tmp_path / "out"))
+    assert sorted(os.listdir(tmp_path / "out")) == ["ingest_quarantine", "ingest_rejects"]
     ingest.run(spark, str(tmp_path), str(tmp_path / "out"), reject_share=0.6)
+    bad = read_table(spark, str(tmp_path / "out" / "ingest_quarantine"))
+    assert {(r.input, r.column, r.text) for r in bad.collect()} == {("sales", "onpromotion", "maybe")}
+
+
+def test_a_failed_job_leaves_the_stored_tables(spark, folders, tmp_path):
+    raw, _ = folders
+    (tmp_path / "raw" / "weather").mkdir(parents=True)
+    for path, _, names in os.walk(raw):
+        for name in names:
+            text = open(f"{path}/{name}", encoding="utf-8").read()
+            target = tmp_path / "raw" / os.path.relpath(path, raw) / name
+            target.write_text(text, encoding="utf-8")
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    jobs = {
+        "train.csv": lambda: ingest.run(spark, raw, out),
+        "weather/Quito.csv": lambda: features.run_weather(spark, f"{raw}/weather", out),
+        "oil.csv": lambda: features.run(spark, raw, out),
+    }
+    for job in jobs.values():
+        job()
+    reports = ("rejects", "quarantine", "files")
+    names = [name for name in os.listdir(out) if not name.endswith(reports)]
+    before = {name: rows(read_table(spark, f"{out}/{name}")) for name in names}
+    files = {name: sorted(os.listdir(f"{out}/{name}")) for name in names}
+    for name, job in jobs.items():
+        path = tmp_path / "raw" / name
+        path.write_text(path.read_text(encoding="utf-8").replace("2016-01-1", "16/1/1"), "utf-8")
+        with pytest.raises(ValueError):
+            job()
+    assert {name: sorted(os.listdir(f"{out}/{name}")) for name in names} == files
+    assert {name: rows(read_table(spark, f"{out}/{name}")) for name in names} == before
+    for name in ("ingest", "feature", "weather"):
+        bad = read_table(spark, f"{out}/{name}_quarantine")
+        assert bad.where("text LIKE '16/1/1%'").count() > 0
 
 
 def test_rejects_of_sales_that_nothing_joins(spark, tmp_path):

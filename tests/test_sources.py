@@ -3,18 +3,21 @@ import datetime as dt
 import pytest
 from conftest import day, rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from shelfcast import schemas
 from shelfcast.operators import signals, star
-from shelfcast.sinks import read_table, write_by_month, write_table
+from shelfcast.sinks import Release, read_table, write_by_month, write_table
 from shelfcast.sources import (
     Database,
+    Intake,
     RejectCounts,
     check_rejects,
     count_rejects,
     read_csv,
     read_csv_text,
     read_weather,
+    weather,
 )
 from shelfcast.sources.weather import file_profile, read_lines
 
@@ -330,3 +333,79 @@ def test_database_tables_for_the_jobs(spark, monkeypatch):
     split = {name for name, kind in asked.items() if kind == "ranges"}
     assert split == {"fact_sales", "feat_transactions_daily"}
     assert len(asked) == 7
+
+
+def test_every_bad_value_is_kept_with_its_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "x,date,store_nbr,item_nbr,unit_sales,onpromotion\n"
+        ",2013-01-01,1,7.0,2,\n"
+        ",2013-13-01,one,7,2,maybe\n"
+        ",2013-01-01,1,7\n"
+        ",2013-01-01,1,7,1,True,9,9\n",
+        encoding="utf-8",
+    )
+    (tmp_path / "b.csv").write_text(
+        "x,date,store_nbr,item_nbr,unit_sales,onpromotion\n,2013-01-01,1,7,1,5\n", encoding="utf-8"
+    )
+    intake = Intake()
+    read = intake.read_csv(spark, f"{tmp_path}/*.csv", schemas.SALES, "sales")
+    assert rows(read) == rows(read_csv(spark, f"{tmp_path}/*.csv", schemas.SALES))
+    bad = intake.bad_values()
+    assert rows(bad.withColumn("file", F.right("file", F.lit(5)))) == sorted(
+        [
+            ("sales", "a.csv", "date", "2013-13-01"),
+            ("sales", "a.csv", "store_nbr", "one"),
+            ("sales", "a.csv", "onpromotion", "maybe"),
+            ("sales", "a.csv", "(line)", ",2013-01-01,1,7"),
+            ("sales", "a.csv", "(line)", ",2013-01-01,1,7,1,True,9,9"),
+            ("sales", "b.csv", "onpromotion", "5"),
+        ],
+        key=repr,
+    )
+    assert {r.column: (r.rejected, r.rows) for r in intake.counts().collect()} == {
+        "date": (1, 5),
+        "store_nbr": (1, 5),
+        "item_nbr": (0, 5),
+        "unit_sales": (0, 5),
+        "onpromotion": (2, 5),
+        "(line)": (2, 5),
+    }
+    (tmp_path / "c.csv").write_text("x,date\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="missing columns"):
+        intake.read_csv(spark, f"{tmp_path}/c.csv", schemas.SALES, "sales")
+
+
+def test_weather_lines_lost_without_a_header(spark, tmp_path):
+    names = [schemas.WEATHER_TIME, *schemas.WEATHER_MEASURES]
+    good = "2016-01-01 1:00,1,2,3,4,5"
+    (tmp_path / "Quito.csv").write_text(f"2016-01-01,1\n{good}\nbroken\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="Quito.csv: 2 of 3"):
+        read_weather(spark, f"{tmp_path}/*.csv", names)
+    assert read_weather(spark, f"{tmp_path}/*.csv", names, lost_share=0.7).count() == 1
+    (tmp_path / "Quito.csv").write_text(f"{good}\n{good.replace('4', 'x')}\n", encoding="utf-8")
+    assert read_weather(spark, f"{tmp_path}/*.csv", names).count() == 2
+    lines = weather.read_lines(spark, f"{tmp_path}/*.csv")
+    assert [r[2:] for r in rows(weather.bad_values(lines, names))] == [(names[4], "x")]
+
+
+def test_tables_are_published_together_or_not_at_all(spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+
+    def stored(name):
+        return read_table(spark, f"{out}/{name}").first()[0]
+
+    for version in (1, 2):
+        with Release(spark, out) as release:
+            for name in ("a", "b"):
+                release.write(spark.createDataFrame([(version,)], "v int"), name)
+            release.publish("a", "b")
+        assert stored("a") == stored("b") == version
+    with pytest.raises(RuntimeError), Release(spark, out) as release:
+        release.write(spark.createDataFrame([(3,)], "v int"), "a")
+        raise RuntimeError("a check failed")
+    assert stored("a") == 2
+    with pytest.raises(OSError, match="cannot move"), Release(spark, out) as release:
+        release.write(spark.createDataFrame([(3,)], "v int"), "a")
+        release.publish("a", "b")  # b was never written
+    assert stored("a") == stored("b") == 2
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
