@@ -15,6 +15,7 @@ from shelfcast.llm import (
     licenses,
     mixing,
     neardup,
+    pii,
     quality,
     secrets,
     tokens,
@@ -153,6 +154,25 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filteraudit.audit(filteraudit.marks(docs, _table(spark, folder, "labels")))
 
 
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(_table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda span: _span_text(span)), ",")
+
+    counts = [
+        F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii.BASE_KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.compare(
         _table(spark, folder, "documents"),
@@ -173,5 +193,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
     "op11_filter_audit": op11_filter_audit,
+    "op12_personal_data": op12_personal_data,
     "op13_alignment": op13_alignment,
 }
