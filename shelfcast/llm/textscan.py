@@ -6,6 +6,8 @@ follows ``SHARD_BYTES`` or the longest single text, whichever is larger.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -57,6 +59,16 @@ def _position_weights(count: int) -> np.ndarray:
 _BYTE_WEIGHTS = weights(256, 7)
 
 
+def release_memory() -> None:
+    """Hand what is free back to the system: workers outlive their tasks, and share machines."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets (one more than rows) of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
