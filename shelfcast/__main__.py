@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from shelfcast.operators import quality
-from shelfcast.plans import audit, boosting, features, ingest, training
+from shelfcast.plans import audit, boosting, features, incremental, ingest, training
 from shelfcast.session import apply_conf, clean, stage
 from shelfcast.sinks import read_table, write_table
 from shelfcast.sources import Database
@@ -36,6 +37,12 @@ def main(arguments: list[str] | None = None) -> None:
         "--database", action="store_true", help="also use the database in SHELFCAST_JDBC_*"
     )
     parser.add_argument("--daily", action="store_true", help="sales hold one row per item and day")
+    parser.add_argument(
+        "--monthly", action="store_true", help="train: also keep what later updates need"
+    )
+    parser.add_argument(
+        "--since", type=dt.date.fromisoformat, help="train: update from this date's month on"
+    )
     parser.add_argument("--partitions", type=int, help="shuffle partitions for the history")
     parser.add_argument("--columns", help="weather columns in order, for files without a header")
     parser.add_argument("--reject-share", type=float, help="share of values that may fail to parse")
@@ -113,9 +120,14 @@ def _run(options: argparse.Namespace, spark: SparkSession, database: Database |
         if options.job == "enrich":
             training.run_enrich(spark, tables, signals, out, database)
         elif options.job == "train":
-            training.run_training(
-                spark, tables, signals, out, options.daily, options.partitions
-            )
+            if options.monthly or options.since:
+                incremental.run(
+                    spark, tables, signals, out, options.since, options.daily, options.partitions
+                )
+            else:
+                training.run_training(
+                    spark, tables, signals, out, options.daily, options.partitions
+                )
         elif options.job == "base":
             training.run_model_base(spark, tables, signals, out)
         else:

@@ -11,7 +11,7 @@ from shelfcast.operators import joins, signals, star, windows
 from shelfcast.operators.filters import warmed_up
 from shelfcast.plans.features import FeatureTables
 from shelfcast.plans.ingest import StarSchema
-from shelfcast.sinks import read_table, write_by_month, write_table
+from shelfcast.sinks import Release, read_table
 from shelfcast.sources import Database
 
 
@@ -71,6 +71,11 @@ def training_table(
     first.
     """
     history = warmed_up(windows.with_history(series, partitions=partitions, verify=verify))
+    return finished(history, dim_store, features)
+
+
+def finished(history: DataFrame, dim_store: DataFrame, features: FeatureTables) -> DataFrame:
+    """Rows with their history as training rows: signals looked up, calendar added."""
     flagged = features.holidays.select("date", F.lit(1).alias("is_holiday"))
     parts = _signals(dim_store, features, flagged)
     joined = joins.fill_signals(joins.with_signals(history, **parts))
@@ -88,9 +93,11 @@ def run_enrich(
     out: str,
     database: Database | None = None,
 ) -> DataFrame:
-    path = f"{out}/fact_sales_enriched"
-    write_table(enriched_sales(tables.fact_sales, tables.dim_store, features), path)
-    stored = read_table(spark, path)
+    with Release(spark, out) as release:
+        table = enriched_sales(tables.fact_sales, tables.dim_store, features)
+        release.write(table, "fact_sales_enriched")
+        release.publish("fact_sales_enriched")
+    stored = read_table(spark, f"{out}/fact_sales_enriched")
     if database:
         database.overwrite(stored, "fact_sales_enriched", transactions=False)
     return stored
@@ -99,9 +106,10 @@ def run_enrich(
 def run_model_base(
     spark: SparkSession, tables: StarSchema, features: FeatureTables, out: str
 ) -> DataFrame:
-    path = f"{out}/model_base"
-    write_table(model_base(tables, features), path)
-    return read_table(spark, path)
+    with Release(spark, out) as release:
+        release.write(model_base(tables, features), "model_base")
+        release.publish("model_base")
+    return read_table(spark, f"{out}/model_base")
 
 
 def run_training(
@@ -112,9 +120,13 @@ def run_training(
     daily: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Write the training table by year and month; both come last on read-back."""
-    path = f"{out}/model_train"
+    """Write the training table by year and month; both come last on read-back.
+
+    It takes the place of the stored one when it is complete.
+    """
     series = perishable_series(tables.fact_sales, tables.dim_item, daily)
     table = training_table(series, tables.dim_store, features, partitions, verify=daily)
-    write_by_month(table, path)
-    return read_table(spark, path)
+    with Release(spark, out) as release:
+        release.write_by_month(table, "model_train")
+        release.publish("model_train")
+    return read_table(spark, f"{out}/model_train")

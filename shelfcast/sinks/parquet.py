@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -32,6 +34,30 @@ def write_by_month(df: DataFrame, path: str, rebalance: bool = True) -> None:
     df.write.mode("overwrite").partitionBy(*MONTH_KEYS).parquet(path)
 
 
+def replace_months(df: DataFrame, path: str) -> None:
+    """Replace the months that ``df`` has rows of, and leave the other folders alone."""
+    df = df.hint("rebalance", *MONTH_KEYS)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*MONTH_KEYS).parquet(path)
+
+
+def drop_months(spark: SparkSession, path: str, first: dt.date, kept: DataFrame) -> None:
+    """Remove the folders of the month of ``first`` and later ones that ``kept`` has no rows of.
+
+    The folders are listed; no file of the table is opened.
+    """
+    left = {tuple(row) for row in kept.select(*MONTH_KEYS).distinct().collect()}
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(pattern):
+        folder = status.getPath()
+        year, month = (
+            int(part.getName().split("=")[1]) for part in (folder.getParent(), folder)
+        )
+        if (year, month) >= (first.year, first.month) and (year, month) not in left:
+            files.delete(folder, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A parquet table; giving the schema saves the job that looks it up."""
     reader = spark.read.schema(schema) if schema else spark.read

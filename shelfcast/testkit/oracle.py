@@ -320,6 +320,7 @@ ORACLES = {
         LEFT JOIN weather w ON w.date = f.date AND w.city_norm = s.city_norm
         WHERE i.perishable""",
     "model_train": "SELECT * FROM model_train",
+    "model_train_incremental": "SELECT * FROM model_train",
     "baseline_forecast": """
         SELECT date, store_id, item_id, family, y, lag_1 AS naive, lag_7 AS seasonal_naive,
                roll_mean_7 AS moving_average

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from shelfcast import schemas
 from shelfcast.functions import calendar_columns, city_key
 from shelfcast.operators import filters, forecast, joins, quality, signals, star, windows
-from shelfcast.plans import audit, boosting, training
+from shelfcast.plans import audit, boosting, incremental, training
 from shelfcast.plans.ingest import StarSchema, star_schema
 from shelfcast.session import fresh_path, stage, stage_all
 from shelfcast.sinks import read_table, write_by_month, write_table
@@ -270,6 +270,22 @@ def model_train(inputs: Inputs) -> DataFrame:
     return training.training_table(inputs.series, star_tables["dim_store"], features)
 
 
+def model_train_incremental(inputs: Inputs) -> DataFrame:
+    """All but the last three months first, then those in two updates."""
+    star_tables, features = inputs.stored("dim_store")
+    series, out = stage(inputs.series, "series"), fresh_path(inputs.spark, "incremental")
+    last = incremental.month_of(series.agg(F.max("date")).first()[0])
+    cut, second = incremental.month_of(last, -2), incremental.month_of(last, -1)
+    tables = (star_tables["dim_store"], features, out)
+    before = series.where(F.col("date") < F.lit(cut))
+    incremental.build(inputs.spark, before, *tables)
+    some = series.where(F.col("date") < F.lit(last))
+    incremental.extend(inputs.spark, some, *tables, first=cut)
+    # the second of them once more, with all that has come since
+    table = incremental.extend(inputs.spark, series, *tables, first=second)
+    return table.select(schemas.MODEL_TRAIN)
+
+
 # Forecasts.
 
 
@@ -375,6 +391,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "enrich_sales": enrich_sales,
     "model_base": model_base,
     "model_train": model_train,
+    "model_train_incremental": model_train_incremental,
     "baseline_forecast": baseline_forecast,
     "forecast_error": forecast_error,
     "holdout_errors": holdout_errors,
