@@ -144,6 +144,76 @@ TABLES = {
                CASE WHEN store_nbr % 4 = 0 THEN 'maybe' ELSE coalesce(onpromotion, '') END AS promoted,
                item_nbr % 15 = 0 AS split, CAST(date AS VARCHAR) AS day, store_nbr
         FROM train_raw""",
+    "folds": """
+        SELECT (SELECT max(date) FROM history) - CAST(28 + 14 * k AS INTEGER) AS origin
+        FROM range(4) AS r(k)""",
+    "ahead": """
+        SELECT h.*, f.origin, row_number() OVER w AS step, first_value(lag_1) OVER w AS naive,
+               first_value(roll_mean_7) OVER w AS moving_average, first_value(lag_28) OVER w AS ready
+        FROM history h JOIN folds f ON h.date > f.origin AND h.date <= f.origin + 28
+        WINDOW w AS (PARTITION BY store_id, item_id, origin ORDER BY date)""",
+    "made": """
+        SELECT a.origin, CAST(ceil((a.date - a.origin) / 7.0) AS INTEGER) AS weeks_ahead,
+               a.unit_sales AS y, a.naive, a.moving_average, b.lag_7 AS seasonal_naive
+        FROM ahead a JOIN ahead b ON b.store_id = a.store_id AND b.item_id = a.item_id
+             AND b.origin = a.origin AND b.step = (a.step - 1) % 7 + 1
+        WHERE a.ready IS NOT NULL""",
+    "gains": """
+        SELECT date, 'seasonal_naive' AS model, sum(abs(lag_1 - y) - abs(lag_7 - y)) AS gain,
+               count(y) AS n
+        FROM model_train GROUP BY date
+        UNION ALL
+        SELECT date, 'moving_average', sum(abs(lag_1 - y) - abs(roll_mean_7 - y)), count(y)
+        FROM model_train GROUP BY date""",
+    "draws": """
+        SELECT date, r AS replicate, CASE WHEN r = 0 THEN 1 ELSE len(list_filter(
+                   [0.367879, 0.735759, 0.919699, 0.981012, 0.99634, 0.999406, 0.999917, 0.99999, 0.999999],
+                   lambda cut: ('0x' || substr(md5(r || '|' || date), 1, 8))::BIGINT / 4294967296.0 >= cut))
+               END AS w
+        FROM (SELECT DISTINCT date FROM model_train), range(201) AS t(r)""",
+    "samples": """
+        SELECT model, replicate, round(sum(gain * w) / sum(n * w), 6) AS gain
+        FROM gains JOIN draws USING (date) GROUP BY model, replicate""",
+    "deviations": """
+        SELECT y - avg(y) OVER w AS y, h - avg(h) OVER w AS h, e - avg(e) OVER w AS e,
+               p - avg(p) OVER w AS p
+        FROM (SELECT store_id, item_id, y, is_holiday AS h, is_weekend AS e,
+                     coalesce(CAST(onpromotion AS INTEGER), 0) AS p FROM model_train)
+        WINDOW w AS (PARTITION BY store_id, item_id)""",
+    "gram": """
+        SELECT sum(h * h) AS hh, sum(h * e) AS he, sum(h * p) AS hp, sum(e * e) AS ee,
+               sum(e * p) AS ep, sum(p * p) AS pp, sum(h * y) AS hy, sum(e * y) AS ey,
+               sum(p * y) AS py, count(*) AS n
+        FROM deviations""",
+    "determinant": """
+        SELECT *, hh * (ee * pp - ep * ep) - he * (he * pp - ep * hp) + hp * (he * ep - ee * hp) AS det
+        FROM gram""",
+    "demands": """
+        SELECT store_id, item_id, unit_sales, date - lag(date) OVER w AS days,
+               row_number() OVER w AS k
+        FROM daily_fact WHERE unit_sales > 0
+        WINDOW w AS (PARTITION BY store_id, item_id ORDER BY date)""",
+    "smoothed": """
+        SELECT store_id, item_id, k, unit_sales AS size, 1.0::DOUBLE AS gap FROM demands WHERE k = 1
+        UNION ALL
+        SELECT d.store_id, d.item_id, d.k, s.size + 0.1::DOUBLE * (d.unit_sales - s.size),
+               s.gap + 0.1::DOUBLE * (d.days - s.gap)
+        FROM smoothed s JOIN demands d
+             ON d.store_id = s.store_id AND d.item_id = s.item_id AND d.k = s.k + 1""",
+    "fact_print": """
+        SELECT count(*) AS row_count, CAST(coalesce(sum(('0x' || substr(md5(concat_ws(chr(31),
+                   CAST(date AS VARCHAR), CAST(item_id AS VARCHAR),
+                   coalesce(CAST(onpromotion AS VARCHAR), chr(0)), CAST(store_id AS VARCHAR),
+                   CAST(CAST(unit_sales AS DECIMAL(38, 6)) AS VARCHAR))), 1, 15))::BIGINT), 0)
+               AS VARCHAR) AS fingerprint
+        FROM fact_sales""",
+    "series_print": """
+        SELECT count(*) AS row_count, CAST(coalesce(sum(('0x' || substr(md5(concat_ws(chr(31),
+                   CAST(date AS VARCHAR), family, item_id,
+                   coalesce(CAST(onpromotion AS VARCHAR), chr(0)), CAST(store_id AS VARCHAR),
+                   CAST(CAST(unit_sales AS DECIMAL(38, 6)) AS VARCHAR))), 1, 15))::BIGINT), 0)
+               AS VARCHAR) AS fingerprint
+        FROM daily_fact""",
     "levels": """
         SELECT 'is_holiday' AS factor, is_holiday AS level, y FROM model_train
         UNION ALL SELECT 'is_weekend', is_weekend, y FROM model_train
@@ -339,6 +409,49 @@ ORACLES = {
         UNION ALL SELECT 'transactions', round(corr(y, transactions), 6) FROM model_train
         UNION ALL SELECT 'temp_avg_c', round(corr(y, temp_avg_c), 6) FROM model_train
         UNION ALL SELECT 'precip_total_mm', round(corr(y, precip_total_mm), 6) FROM model_train""",
+    "target_encoding": """
+        SELECT date, family, store_id, y,
+               round((coalesce(sum(y) OVER f, 0) + 20 * prior) / (count(y) OVER f + 20), 6) AS te_family,
+               round((coalesce(sum(y) OVER s, 0) + 20 * prior) / (count(y) OVER s + 20), 6) AS te_store_id
+        FROM (SELECT *, coalesce(avg(y) OVER (ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING
+                                              AND CURRENT ROW EXCLUDE GROUP), 0) AS prior
+              FROM model_train)
+        WINDOW f AS (PARTITION BY family ORDER BY date
+                     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP),
+               s AS (PARTITION BY store_id ORDER BY date
+                     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP)""",
+    "backtest_errors": """
+        SELECT origin, weeks_ahead, model, round(avg(abs(yhat - y)), 6) AS mae,
+               round(sqrt(avg((yhat - y) * (yhat - y))), 6) AS rmse,
+               round(avg(yhat - y), 6) AS bias, count(yhat - y) AS n
+        FROM (SELECT origin, weeks_ahead, y, 'naive' AS model, naive AS yhat FROM made
+              UNION ALL SELECT origin, weeks_ahead, y, 'seasonal_naive', seasonal_naive FROM made
+              UNION ALL SELECT origin, weeks_ahead, y, 'moving_average', moving_average FROM made)
+        GROUP BY origin, weeks_ahead, model""",
+    "error_interval": """
+        SELECT model, max(gain) FILTER (replicate = 0) AS improvement,
+               list_sort(list(gain) FILTER (replicate > 0))[6] AS low,
+               list_sort(list(gain) FILTER (replicate > 0))[195] AS high,
+               CAST(count(gain) FILTER (replicate > 0) AS INTEGER) AS replicates
+        FROM samples GROUP BY model""",
+    "adjusted_effect": """
+        SELECT 'is_holiday' AS factor, round((hy * (ee * pp - ep * ep) - he * (ey * pp - ep * py)
+                   + hp * (ey * ep - ee * py)) / det, 6) AS effect, n FROM determinant
+        UNION ALL
+        SELECT 'is_weekend', round((hh * (ey * pp - ep * py) - hy * (he * pp - ep * hp)
+                   + hp * (he * py - ey * hp)) / det, 6), n FROM determinant
+        UNION ALL
+        SELECT 'onpromotion', round((hh * (ee * py - ey * ep) - he * (he * py - ey * hp)
+                   + hy * (he * ep - ee * hp)) / det, 6), n FROM determinant""",
+    "smoothed_forecast": """
+        SELECT store_id, item_id, round(arg_max(size, k), 6) AS demand_size,
+               round(arg_max(gap, k), 6) AS demand_interval,
+               round(arg_max(size, k) / arg_max(gap, k), 6) AS forecast
+        FROM (SELECT DISTINCT store_id, item_id FROM daily_fact) LEFT JOIN smoothed USING (store_id, item_id)
+        GROUP BY store_id, item_id""",
+    "table_fingerprint": """
+        SELECT unnest(['fact', 'stored fact']) AS stage, * FROM fact_print
+        UNION ALL SELECT unnest(['series', 'stored series']), * FROM series_print""",
     "sales_by_family_month": """
         SELECT family, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
                sum(unit_sales) AS units, count(*) AS records,
@@ -356,11 +469,12 @@ def _needed(sql: str) -> list[str]:
     """Shared tables a text uses, each after the ones it uses itself."""
     found: list[str] = []
     for name, body in TABLES.items():
-        if re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", sql):
+        # one that goes on from its own rows is not looked into again
+        if body != sql and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", sql):
             found += [*_needed(body), name]
     return list(dict.fromkeys(found))
 
 
 def oracle(name: str) -> str:
     tables = ",\n".join(f"{table} AS ({TABLES[table]})" for table in _needed(ORACLES[name]))
-    return f"WITH {tables}\n{ORACLES[name]}" if tables else ORACLES[name]
+    return f"WITH RECURSIVE {tables}\n{ORACLES[name]}" if tables else ORACLES[name]

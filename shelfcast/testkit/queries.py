@@ -11,7 +11,19 @@ from pyspark.sql import types as T
 
 from shelfcast import schemas
 from shelfcast.functions import calendar_columns, city_key
-from shelfcast.operators import filters, forecast, joins, quality, signals, star, windows
+from shelfcast.operators import (
+    backtest,
+    effects,
+    encoding,
+    filters,
+    forecast,
+    joins,
+    quality,
+    signals,
+    smoothing,
+    star,
+    windows,
+)
 from shelfcast.plans import audit, boosting, incremental, training
 from shelfcast.plans.ingest import StarSchema, star_schema
 from shelfcast.session import fresh_path, stage, stage_all
@@ -28,6 +40,7 @@ ITEMS = T.StructType(
     ]
 )
 AVERAGES = ("temp_avg_c", "humidity_avg_pct", "apparent_avg_c")
+TE_KEYS = ("family", "store_id")
 CORRELATED = ("oil_price", "transactions", "temp_avg_c", "precip_total_mm")
 
 
@@ -329,6 +342,57 @@ def factor_correlation(inputs: Inputs) -> DataFrame:
     return _rounded(found, "correlation")
 
 
+def target_encoding(inputs: Inputs) -> DataFrame:
+    history = stage(_history(inputs).select("date", *TE_KEYS, "y"), "history")
+    found = encoding.with_target_encoding(history, TE_KEYS)
+    return _rounded(found, *map(encoding.encoded, TE_KEYS))
+
+
+def backtest_errors(inputs: Inputs) -> DataFrame:
+    """Baselines judged from four origins, by weeks ahead."""
+    rows = windows.with_history(inputs.series).withColumnRenamed("unit_sales", "y")
+    history = stage(rows, "history")
+    last = history.agg(F.max("date")).first()[0]
+    made = backtest.forecasts_from(history, backtest.origins(last))
+    return _rounded(backtest.errors_by_origin(made), "mae", "rmse", "bias")
+
+
+def error_interval(inputs: Inputs) -> DataFrame:
+    found = backtest.improvement_interval(baseline_forecast(inputs))
+    return _rounded(found, "improvement", "low", "high")
+
+
+def adjusted_effect(inputs: Inputs) -> DataFrame:
+    """Effects of holiday, weekend and promotion, adjusted for each other and the series."""
+    holidays = stage(signals.holiday_dates(inputs.holidays), "holiday_dates")
+    rows = joins.fill_signals(joins.with_national(_history(inputs), holidays))
+    weekend = calendar_columns(F.col("date"))["is_weekend"]
+    rows = rows.withColumn("is_weekend", weekend)
+    return _rounded(effects.adjusted_effects(rows, forecast.FACTORS), "effect")
+
+
+def smoothed_forecast(inputs: Inputs) -> DataFrame:
+    found = smoothing.smoothed_demand(inputs.series)
+    return _rounded(found, "demand_size", "demand_interval", "forecast")
+
+
+def table_fingerprint(inputs: Inputs) -> DataFrame:
+    """The fact and its rollup, and both again from parquet, one of them by month."""
+    fact, series = fresh_path(inputs.spark, "fact"), fresh_path(inputs.spark, "months")
+    write_table(inputs.fact_sales, fact)
+    calendar = calendar_columns(F.col("date"))
+    months = inputs.series.withColumns({name: calendar[name] for name in ("year", "month")})
+    write_by_month(months, series)
+    return quality.fingerprints(
+        {
+            "fact": inputs.fact_sales,
+            "stored fact": read_table(inputs.spark, fact),
+            "series": inputs.series,
+            "stored series": read_table(inputs.spark, series).drop("year", "month"),
+        }
+    )
+
+
 def _fit(inputs: Inputs) -> boosting.Fit:
     return boosting.fit(stage(model_train(inputs), "model_train"))
 
@@ -400,6 +464,12 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "sales_by_family_month": lambda i: forecast.sales_by_family_month(i.series),
     "daily_totals": lambda i: forecast.daily_totals(i.series),
     "store_totals": lambda i: forecast.store_totals(i.series),
+    "target_encoding": target_encoding,
+    "backtest_errors": backtest_errors,
+    "error_interval": error_interval,
+    "adjusted_effect": adjusted_effect,
+    "smoothed_forecast": smoothed_forecast,
+    "table_fingerprint": table_fingerprint,
     "boosted_forecast": boosted_forecast,
     "feature_importance": feature_importance,
 }
