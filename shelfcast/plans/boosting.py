@@ -11,19 +11,26 @@ from pyspark.sql import functions as F
 
 from shelfcast import schemas
 from shelfcast.functions.calendar import flag
+from shelfcast.operators import backtest, effects, encoding, importance
 from shelfcast.operators.forecast import BASELINES, forecast_errors
-from shelfcast.sinks import read_table, write_table
+from shelfcast.session import stage
+from shelfcast.sinks import Release, read_table
 
 TRAIN_SHARE = 0.8
+EFFECTS = ("is_holiday", "is_weekend", "onpromotion", "oil_price", "transactions")
 _NOT_FEATURES = {"date", "store_id", "item_id", "y", "family", "onpromotion"}
 _NUMERIC = [name for name in schemas.MODEL_TRAIN if name not in _NOT_FEATURES]
-FEATURES = [*_NUMERIC, "promoted", "has_weather"]
+#: What tells series apart: how their family, store and item sold on earlier dates.
+ENCODED = [encoding.encoded(key) for key in encoding.KEYS]
+FEATURES = [*_NUMERIC, "promoted", "has_weather", *ENCODED]
+SERIES = ("date", "store_id", "item_id")
 
 
 @dataclass(frozen=True)
 class Fit:
     model: GBTRegressionModel
     forecasts: DataFrame
+    later: DataFrame
 
     def comparison(self) -> DataFrame:
         """Errors of the trees and of the baselines on the same later dates."""
@@ -33,6 +40,14 @@ class Fit:
         return dict(zip(FEATURES, self.model.featureImportances.toArray().tolist()))
 
 
+    def permutation_importance(self) -> DataFrame:
+        """What the error on the later dates gains if a feature is exchanged between rows."""
+        rows = stage(self.later.select(*SERIES, "y", *FEATURES), "later")
+        each = importance.variants(importance.exchanged(rows, FEATURES, SERIES), FEATURES)
+        assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+        return importance.losses(self.model.transform(assembler.transform(each)), "boosted")
+
+
 def importance_table(spark: SparkSession, found: Fit) -> DataFrame:
     """``feature, importance``, one row per feature."""
     rows = [*found.importances().items()]
@@ -40,27 +55,43 @@ def importance_table(spark: SparkSession, found: Fit) -> DataFrame:
 
 
 def run(spark: SparkSession, out: str) -> list[str]:
-    """Fit on the stored training table; store forecasts, their errors and the importances."""
-    found = fit(read_table(spark, f"{out}/model_train"))
-    write_table(found.forecasts, f"{out}/forecasts")
-    stored = Fit(found.model, read_table(spark, f"{out}/forecasts"))
-    errors = stored.comparison().coalesce(1).sortWithinPartitions("family", "mae")
-    write_table(errors, f"{out}/forecast_errors")
-    importances = importance_table(spark, found).coalesce(1)
-    write_table(
-        importances.sortWithinPartitions(F.desc("importance")), f"{out}/feature_importance"
-    )
-    return ["forecast_errors", "feature_importance"]
+    """Fit on the stored training table; store forecasts and what is known of them.
+
+    Those are errors, the improvement on the naive forecast with its interval, importances,
+    and the factors' effects on the training table. Together they take the stored ones' place.
+    """
+    training = read_table(spark, f"{out}/model_train")
+    found = fit(training)
+    with Release(spark, out) as release:
+        forecasts = release.write(found.forecasts, "forecasts")
+        tables = {
+            "forecast_errors": forecast_errors(forecasts, (*BASELINES, "boosted")).orderBy(
+                "family", "mae"
+            ),
+            "error_interval": backtest.improvement_interval(
+                forecasts, models=("seasonal_naive", "moving_average", "boosted")
+            ),
+            "feature_importance": importance_table(spark, found).orderBy(F.desc("importance")),
+            "permutation_importance": found.permutation_importance().orderBy(
+                F.desc("importance")
+            ),
+            "adjusted_effects": effects.adjusted_effects(training, EFFECTS),
+        }
+        for name, table in tables.items():
+            release.write(table.coalesce(1), name)
+        release.publish("forecasts", *tables)
+    return [*tables]
 
 
 def _assembled(training: DataFrame) -> DataFrame:
     """Feature vectors. Unknown weather is 0, told apart by ``has_weather``."""
-    known = training.withColumns(
+    known = encoding.with_target_encoding(training).withColumns(
         {
             "promoted": flag(F.col("onpromotion")),
             "has_weather": F.col("temp_avg_c").isNotNull().cast("int"),
         }
     ).fillna(0.0, subset=schemas.DAILY_WEATHER)
+    known = stage(known, "encoded")
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(known)
 
 
@@ -82,7 +113,8 @@ def fit(
     model = GBTRegressor(
         labelCol="y", predictionCol="boosted", maxIter=trees, maxDepth=depth, seed=42
     ).fit(data.filter(F.col("date") <= cut))
-    later = model.transform(data.filter(F.col("date") > cut))
+    later = data.filter(F.col("date") > cut)
+    made = model.transform(later)
     baselines = [F.col(feature).alias(name) for name, feature in BASELINES.items()]
     keys = ("date", "store_id", "item_id", "family", "y")
-    return Fit(model, later.select(*keys, *baselines, "boosted"))
+    return Fit(model, made.select(*keys, *baselines, "boosted"), later)

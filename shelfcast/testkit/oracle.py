@@ -214,6 +214,30 @@ TABLES = {
                    CAST(CAST(unit_sales AS DECIMAL(38, 6)) AS VARCHAR))), 1, 15))::BIGINT), 0)
                AS VARCHAR) AS fingerprint
         FROM daily_fact""",
+    "blocks": """
+        SELECT store_id, item_id, date, y, lag_1, lag_7, roll_mean_28,
+               concat_ws('|', date, store_id, item_id) AS key,
+               ('0x' || substr(md5(concat_ws('|', date, store_id, item_id)), 1, 8))::BIGINT
+                   % CAST(ceil((SELECT count(*) FROM model_train) / 3000.0) AS BIGINT) AS block
+        FROM model_train""",
+    "places": """
+        SELECT *, row_number() OVER (PARTITION BY block ORDER BY md5(key)) AS place,
+               row_number() OVER (PARTITION BY block ORDER BY md5('lag_1|' || key)) AS place_1,
+               row_number() OVER (PARTITION BY block ORDER BY md5('lag_7|' || key)) AS place_7,
+               row_number() OVER (PARTITION BY block ORDER BY md5('roll_mean_28|' || key)) AS place_28
+        FROM blocks""",
+    "swaps": """
+        SELECT p.y, p.lag_1, p.lag_7, p.roll_mean_28, a.lag_1 AS x_1, b.lag_7 AS x_7,
+               c.roll_mean_28 AS x_28
+        FROM places p JOIN places a ON a.block = p.block AND a.place_1 = p.place
+                      JOIN places b ON b.block = p.block AND b.place_7 = p.place
+                      JOIN places c ON c.block = p.block AND c.place_28 = p.place""",
+    "swap_errors": """
+        SELECT avg(abs((lag_1 + 2 * lag_7 + 5 * roll_mean_28) / 8 - y)) AS base,
+               avg(abs((x_1 + 2 * lag_7 + 5 * roll_mean_28) / 8 - y)) AS e_1,
+               avg(abs((lag_1 + 2 * x_7 + 5 * roll_mean_28) / 8 - y)) AS e_7,
+               avg(abs((lag_1 + 2 * lag_7 + 5 * x_28) / 8 - y)) AS e_28
+        FROM swaps""",
     "levels": """
         SELECT 'is_holiday' AS factor, is_holiday AS level, y FROM model_train
         UNION ALL SELECT 'is_weekend', is_weekend, y FROM model_train
@@ -449,6 +473,15 @@ ORACLES = {
                round(arg_max(size, k) / arg_max(gap, k), 6) AS forecast
         FROM (SELECT DISTINCT store_id, item_id FROM daily_fact) LEFT JOIN smoothed USING (store_id, item_id)
         GROUP BY store_id, item_id""",
+    "permutation_importance": """
+        SELECT 'lag_1' AS feature, round(e_1, 6) AS mae, round(e_1 - base, 6) AS importance
+        FROM swap_errors
+        UNION ALL SELECT 'lag_7', round(e_7, 6), round(e_7 - base, 6) FROM swap_errors
+        UNION ALL SELECT 'roll_mean_28', round(e_28, 6), round(e_28 - base, 6) FROM swap_errors""",
+    "merged_summaries": """
+        SELECT family, count(*) AS records, sum(unit_sales) AS units, true AS stores_sound,
+               true AS sound
+        FROM daily_fact GROUP BY family""",
     "table_fingerprint": """
         SELECT unnest(['fact', 'stored fact']) AS stage, * FROM fact_print
         UNION ALL SELECT unnest(['series', 'stored series']), * FROM series_print""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,11 @@ from shelfcast.operators import (
     encoding,
     filters,
     forecast,
+    importance,
     joins,
     quality,
     signals,
+    sketches,
     smoothing,
     star,
     windows,
@@ -371,6 +373,48 @@ def adjusted_effect(inputs: Inputs) -> DataFrame:
     return _rounded(effects.adjusted_effects(rows, forecast.FACTORS), "effect")
 
 
+BLEND = ("lag_1", "lag_7", "roll_mean_28")
+
+
+def permutation_importance(inputs: Inputs) -> DataFrame:
+    """Of the features of a blend of baselines, in the place of the fitted trees."""
+    history = stage(_history(inputs).select(*boosting.SERIES, "y", *BLEND), "history")
+
+    def blend(values):
+        return (values["lag_1"] + 2 * values["lag_7"] + 5 * values["roll_mean_28"]) / 8
+
+    found = importance.permutation_importance(
+        history, BLEND, boosting.SERIES, blend, block_rows=3000
+    )
+    return _rounded(found, "mae", "importance")
+
+
+def merged_summaries(inputs: Inputs) -> DataFrame:
+    """Monthly sketches stored, then merged by family and held against exact answers.
+
+    A quantile is ``sound`` if its rank among the family's sales is off by no more than the
+    error that the sketch states.
+    """
+    path = fresh_path(inputs.spark, "sketches")
+    series = stage(inputs.series, "series")
+    write_table(sketches.monthly_sketches(series), path)
+    merged = sketches.merged_summaries(read_table(inputs.spark, path), "family")
+    names = [name for name in merged.columns if name.startswith("q")]
+    ranks = series.join(merged.select("family", *names), "family").groupBy("family").agg(
+        *[F.avg((F.col("unit_sales") < F.col(name)).cast("int")).alias(f"lo_{name}") for name in names],
+        *[F.avg((F.col("unit_sales") <= F.col(name)).cast("int")).alias(f"hi_{name}") for name in names],
+    )
+    sound = [
+        (F.col(f"lo_q{round(q * 100)}") - sketches.RANK_ERROR <= q)
+        & (q <= F.col(f"hi_q{round(q * 100)}") + sketches.RANK_ERROR)
+        for q in sketches.QUANTILES
+    ]
+    exact = series.groupBy("family").agg(F.countDistinct("store_id").alias("exact"))
+    told = merged.join(ranks, "family").join(exact, "family")
+    close = F.abs(F.col("stores") - F.col("exact")) <= 0.05 * F.col("exact")
+    return told.select("family", "records", "units", close.alias("stores_sound"), reduce(Column.__and__, sound).alias("sound"))
+
+
 def smoothed_forecast(inputs: Inputs) -> DataFrame:
     found = smoothing.smoothed_demand(inputs.series)
     return _rounded(found, "demand_size", "demand_interval", "forecast")
@@ -468,7 +512,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "backtest_errors": backtest_errors,
     "error_interval": error_interval,
     "adjusted_effect": adjusted_effect,
+    "permutation_importance": permutation_importance,
     "smoothed_forecast": smoothed_forecast,
+    "merged_summaries": merged_summaries,
     "table_fingerprint": table_fingerprint,
     "boosted_forecast": boosted_forecast,
     "feature_importance": feature_importance,

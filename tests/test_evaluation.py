@@ -10,7 +10,16 @@ import pytest
 from conftest import day, plan, rows
 from pyspark.sql import functions as F
 
-from shelfcast.operators import backtest, effects, encoding, quality, smoothing, windows
+from shelfcast.operators import (
+    backtest,
+    effects,
+    encoding,
+    importance,
+    quality,
+    sketches,
+    smoothing,
+    windows,
+)
 
 START = day("2024-01-01")
 
@@ -215,6 +224,71 @@ def test_factors_without_variation_of_their_own(spark):
     assert [(r.effect, r.n) for r in none] == [(None, 0)] * 4
 
 
+# --- permutation importance -----------------------------------------------------------
+
+
+@pytest.mark.parametrize("block", [100_000, 40])
+def test_exchange_moves_every_value_once(spark, block):
+    data = [(i, float(i), i * 2.0, None if i % 9 == 0 else float(i % 5)) for i in range(300)]
+    table = spark.createDataFrame(data, "id int, a double, b double, c double").repartition(4)
+    found = importance.exchanged(table, ("a", "b", "c"), ("id",), block).collect()
+    assert sorted(r.id for r in found) == [*range(300)]
+    for name in "abc":
+        assert sorted((r[f"x_{name}"] for r in found), key=repr) == sorted(
+            (r[name] for r in found), key=repr
+        )
+    assert sum(r.x_a == r.a for r in found) < 30
+    # features are exchanged apart from each other
+    assert sum(r.x_a * 2 == r.x_b for r in found) < 30
+    again = importance.exchanged(table.repartition(2), ("a", "b", "c"), ("id",), block)
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, found), key=repr)
+
+
+def test_importance_of_what_a_model_uses(spark):
+    draw = random.Random(11)
+    data = [(i, draw.random(), draw.random(), draw.random()) for i in range(2000)]
+    table = spark.createDataFrame(data, "id int, a double, b double, c double")
+    table = table.withColumn("y", 4 * F.col("a") + F.col("b"))
+    names = ("a", "b", "c")
+    plain = importance.permutation_importance(
+        table, names, ("id",), lambda v: 4 * v["a"] + v["b"] + 0 * v["c"]
+    )
+    found = {r.feature: r.importance for r in plain.collect()}
+    assert found["a"] > 3 * found["b"] > 0 == found["c"]
+    assert found["a"] == pytest.approx(4 / 3, abs=0.1)  # mean distance of two draws, times 4
+    each = importance.variants(importance.exchanged(table, names, ("id",)), names)
+    each = each.withColumn("prediction", 4 * F.col("a") + F.col("b"))
+    told = {r.feature: r.importance for r in importance.losses(each).collect()}
+    assert told == pytest.approx(found)
+
+
+# --- sketches -------------------------------------------------------------------------
+
+
+def test_merged_sketches_are_within_their_errors(spark):
+    n = 60_000
+    sales = spark.range(n).select(
+        F.date_add(F.lit(START), (F.col("id") % 200).cast("int")).alias("date"),
+        F.when(F.col("id") % 3 == 0, "A").otherwise("B").alias("family"),
+        F.pmod(F.xxhash64("id"), F.lit(9000)).alias("store_id"),
+        F.when(F.col("id") % 50 == 0, None).otherwise(F.pow(F.col("id") % 997, F.lit(2.0))).alias("unit_sales"),
+    )
+    stored = sketches.monthly_sketches(sales)
+    assert stored.count() == 14
+    for by in ((), ("family",), ("year", "month")):
+        frame = sales.withColumns({"year": F.year("date"), "month": F.month("date")})
+        names = ", ".join(by) or "1"
+        for row in sketches.merged_summaries(stored, *by).collect():
+            mine = frame.where(" AND ".join(f"{n} = '{row[n]}'" for n in by) or "true")
+            values = np.array([r[0] for r in mine.select("unit_sales").dropna().collect()])
+            assert row.records == mine.count() and row.units == values.sum(), names
+            assert row.stores == pytest.approx(mine.select("store_id").distinct().count(), rel=0.05)
+            for q in sketches.QUANTILES:
+                value = row[f"q{round(q * 100)}"]
+                assert (values < value).mean() - sketches.RANK_ERROR <= q
+                assert q <= (values <= value).mean() + sketches.RANK_ERROR
+
+
 # --- smoothing ------------------------------------------------------------------------
 
 

@@ -81,7 +81,10 @@ def test_jobs_end_to_end(spark, folders, capsys):
     lengths = fact.groupBy("store_id", "item_id").count().collect()
     assert table.count() == sum(max(0, row["count"] - 28) for row in lengths)
 
-    for name in ("forecasts", "forecast_errors", "feature_importance", "weather_rows_per_city"):
+    for name in (
+        "forecasts", "forecast_errors", "feature_importance", "weather_rows_per_city",
+        "error_interval", "permutation_importance", "adjusted_effects",
+    ):
         assert read_table(spark, f"{out}/{name}").count()
     rejects = read_table(spark, f"{out}/ingest_rejects").unionAll(
         read_table(spark, f"{out}/feature_rejects")
@@ -117,6 +120,12 @@ def test_boosted_forecast(spark, folders):
     assert sum(fit.importances().values()) == pytest.approx(1.0)
     cut = boosting.split_date(table)
     assert fit.forecasts.count() == table.filter(table.date > cut).count() > 0
+    assert set(boosting.ENCODED) <= set(boosting.FEATURES)
+    lost = {r.feature: r.importance for r in fit.permutation_importance().collect()}
+    assert set(lost) == set(boosting.FEATURES)
+    unused = [name for name, worth in fit.importances().items() if worth == 0]
+    assert unused and all(lost[name] == pytest.approx(0, abs=1e-9) for name in unused)
+    assert max(lost.values()) > 0
     overall = {r.model: r.n for r in fit.comparison().collect() if r.family == "(all)"}
     assert set(overall) == {"naive", "seasonal_naive", "moving_average", "boosted"}
     assert set(overall.values()) == {fit.forecasts.count()}
