@@ -9,7 +9,15 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 
 from shelfcast.operators import quality
-from shelfcast.plans import audit, boosting, features, incremental, ingest, training
+from shelfcast.plans import (
+    audit,
+    boosting,
+    evaluation,
+    features,
+    incremental,
+    ingest,
+    training,
+)
 from shelfcast.session import apply_conf, clean, stage
 from shelfcast.sinks import read_table, write_table
 from shelfcast.sources import Database
@@ -23,6 +31,7 @@ JOBS = (
     "base",
     "train",
     "forecast",
+    "evaluate",
     "check-weather",
     "audit",
 )
@@ -130,10 +139,18 @@ def _run(options: argparse.Namespace, spark: SparkSession, database: Database |
                 )
         elif options.job == "base":
             training.run_model_base(spark, tables, signals, out)
+        elif options.job == "evaluate":
+            for name, table in evaluation.run(spark, tables, out, options.daily).items():
+                print(name)
+                table.show(20)
         else:
             enriched = training.enriched_sales(tables.fact_sales, tables.dim_store, signals)
             audit.row_counts(tables, signals, enriched=enriched).show(truncate=False)
             audit.fan_out(tables, signals).show(truncate=False)
+            audit.fingerprints(tables, signals).show(truncate=False)
+            if database:
+                copies = ingest.read_star(spark, out), features.read_features(spark, out)
+                audit.check_copies(audit.stages(*copies), audit.stages(tables, signals))
             quality.distinct_values(tables.fact_sales, "store_id", "num_stores").show()
             for table in (*audit.stages(tables, signals).values(), enriched):
                 table.show(5, truncate=False)

@@ -44,7 +44,7 @@ def forecasts_from(
     that row has a full history. The seasonal model repeats the last seven rows before the
     origin, by row as the lags are.
     """
-    every = F.array(*[F.lit(date) for date in known])
+    every = F.array(*[F.lit(date) for date in known]).cast("array<date>")
     date = F.col("date")
     mine = F.filter(every, lambda at: (at < date) & (date <= F.date_add(at, horizon)))
     fold = Window.partitionBy(*keys, "origin").orderBy("date")

@@ -46,3 +46,19 @@ def check_unique(tables: StarSchema, features: FeatureTables) -> None:
     repeated = fan_out(tables, features).filter(F.col("repeated_keys") > 0).collect()
     if repeated:
         raise ValueError(f"repeated keys: {[row.asDict() for row in repeated]}")
+
+
+def fingerprints(tables: StarSchema, features: FeatureTables) -> DataFrame:
+    """Rows and fingerprint per stage, equal for copies whatever their order or place."""
+    return quality.fingerprints(stages(tables, features))
+
+
+def check_copies(left: dict[str, DataFrame], right: dict[str, DataFrame]) -> None:
+    """Fail if a table and its copy of the same name do not hold the same rows."""
+    both = {f"left {name}": table for name, table in left.items()}
+    both |= {f"right {name}": table for name, table in right.items()}
+    rows = quality.fingerprints(both).collect()
+    found = {row.stage: (row.row_count, row.fingerprint) for row in rows}
+    differ = [name for name in left if found[f"left {name}"] != found.get(f"right {name}")]
+    if differ:
+        raise ValueError(f"copies that differ: {differ}")

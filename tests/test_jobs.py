@@ -56,7 +56,7 @@ def test_jobs_end_to_end(spark, folders, capsys):
     main(["ingest", "--raw", raw, "--out", out])
     main(["weather", "--raw", f"{raw}/weather", "--out", out])
     main(["features", "--raw", raw, "--out", out])
-    for job in ("enrich", "base", "train", "forecast", "check-weather", "audit"):
+    for job in ("enrich", "base", "train", "forecast", "evaluate", "check-weather", "audit"):
         main([job, "--out", out])
 
     tables, signals = ingest.read_star(spark, out), features.read_features(spark, out)
@@ -83,7 +83,8 @@ def test_jobs_end_to_end(spark, folders, capsys):
 
     for name in (
         "forecasts", "forecast_errors", "feature_importance", "weather_rows_per_city",
-        "error_interval", "permutation_importance", "adjusted_effects",
+        "error_interval", "permutation_importance", "adjusted_effects", "backtest_errors",
+        "smoothed_demand", "monthly_sketches",
     ):
         assert read_table(spark, f"{out}/{name}").count()
     rejects = read_table(spark, f"{out}/ingest_rejects").unionAll(
@@ -104,6 +105,28 @@ def test_jobs_end_to_end(spark, folders, capsys):
     assert counts["enriched"] == counts["fact_sales"]
 
 
+def test_copies_are_compared_whatever_their_order(spark, folders):
+    stages = audit.stages(
+        ingest.read_star(spark, folders[1]), features.read_features(spark, folders[1])
+    )
+    moved = {name: table.orderBy(F.rand(3)) for name, table in stages.items()}
+    audit.check_copies(stages, moved)
+    moved["oil"] = moved["oil"].limit(3)
+    with pytest.raises(ValueError, match=r"differ: \['oil'\]"):
+        audit.check_copies(stages, moved)
+
+
+def test_updates_of_the_training_table(spark, folders, tmp_path):
+    raw, out = folders
+    for name in ("dim_item", "dim_store", "fact_sales", *features.TABLES.values()):
+        write_table(read_table(spark, f"{out}/{name}"), f"{tmp_path}/{name}")
+    whole = read_table(spark, f"{out}/model_train")
+    for more in (["--monthly"], ["--since", "2016-02-10"]):
+        main(["train", "--out", str(tmp_path), *more])
+        found = read_table(spark, f"{tmp_path}/model_train")
+        assert rows(found.select(whole.columns)) == rows(whole)
+
+
 def test_weather_with_known_columns(spark, folders, tmp_path):
     raw, out = folders
     columns = ",".join([schemas.WEATHER_TIME, *schemas.WEATHER_MEASURES])
