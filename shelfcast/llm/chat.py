@@ -1,15 +1,19 @@
 """Chat formatting: records of many layouts to one template, and back.
 
 A record is JSON. Its fingerprint is a hash of its nested field paths (those that some
-layout knows), and picks the declarative layout that says where roles and texts stand.
+layout knows), and picks the declarative layout that says where roles and texts stand: the
+first one all of whose fields are there, whatever other fields the record has.
 
 The template writes a turn as ``<|im_start|>role\\ntext<|im_end|>\\n``. Control strings inside
 roles and texts are broken by a backslash after their first character, and a backslash is
 doubled, so none is left in a text and escaping can be undone. The loss mask covers the
 assistant's texts and nothing else.
 
-Defined results: null texts and roles are empty. A record that is null, not JSON or of no
-known layout has ``layout`` null and no turns. Rows of a conversation are ordered by turn,
+Defined results: null texts and roles are empty. A text that is a list has the texts of its
+parts, joined; a part without a text (an image, say) adds nothing. A record that is null, not
+JSON, nested too deeply to read, of no known layout or with a turn that is no object has
+``layout`` null and no turns; ``unread`` counts these. Half of a surrogate pair, which no text
+can hold, becomes U+FFFD. Rows of a conversation are ordered by turn,
 then by role and text; repeated rows stay. A conversation becomes one row, so the longest
 one must fit into a task; conversations as such are never gathered.
 """
@@ -21,10 +25,9 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.session import stage
@@ -45,7 +48,8 @@ TURNS = "array<struct<role:string,text:string>>"
 class Layout:
     """Where a record keeps its turns.
 
-    Either ``items`` names a list of turns with fields ``role`` and ``text``, or ``parts``
+    Either ``items`` names a list of turns with fields ``role`` and ``text`` (where a text is
+    made of parts, ``inside`` is the path in there), or ``parts``
     lists roles with the fields whose texts, joined by a blank line, are theirs. Fields
     in ``optional`` may be absent. ``roles`` renames roles.
     """
@@ -54,20 +58,27 @@ class Layout:
     items: str = ""
     role: str = ""
     text: str = ""
+    inside: str = ""
     parts: tuple[tuple[str, tuple[str, ...]], ...] = ()
     optional: tuple[str, ...] = ()
     roles: dict[str, str] = field(default_factory=dict, hash=False)
 
     def paths(self) -> set[str]:
         if self.items:
-            inner = {f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"}
+            inner = {f"{self.items}[].{self.role}", f"{self.items}[].{self.text}{self.inside}"}
             return inner | {*self.optional}
         return {name for _, names in self.parts for name in names} | {*self.optional}
 
-    def turns(self, record: dict) -> list[tuple[str, str]]:
+    def required(self) -> set[str]:
+        return self.paths() - {*self.optional}
+
+    def turns(self, record: dict) -> list[tuple[str, str]] | None:
+        """None where a turn is no object."""
         if self.items:
             turns = [("system", _text(record["system"]))] if record.get("system") else []
             for turn in record[self.items]:
+                if not isinstance(turn, dict):
+                    return None
                 role = _text(turn.get(self.role))
                 turns.append((self.roles.get(role, role), _text(turn.get(self.text))))
             return turns
@@ -84,6 +95,14 @@ _SHARED = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "as
 LAYOUTS = (
     Layout("turns", items="turns", role="role", text="text"),
     Layout("messages", items="messages", role="role", text="content", optional=("system",)),
+    Layout(
+        "parts",
+        items="messages",
+        role="role",
+        text="content",
+        inside="[].text",
+        optional=("system",),
+    ),
     Layout(
         "shared",
         items="conversations",
@@ -116,9 +135,19 @@ LAYOUTS = (
 
 
 def _text(value) -> str:
+    if isinstance(value, list):
+        parts = (one.get("text") if isinstance(one, dict) else one for one in value)
+        return "".join(part for part in parts if isinstance(part, str))
     return value if isinstance(value, str) else "" if value is None else json.dumps(value)
 
 
+def _whole(text: str) -> str:
+    """The text without halves of surrogate pairs, which JSON can write and no text can hold."""
+    if text.isascii():
+        return text
+    return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
 def field_paths(value, path: str = "") -> set[str]:
     """Paths of all leaves; list items share one path. An empty list has the path of the list."""
     if isinstance(value, dict) and value:
@@ -130,31 +159,38 @@ def field_paths(value, path: str = "") -> set[str]:
 
 
 def fingerprint(paths: set[str]) -> str:
-    return hashlib.blake2b("\n".join(sorted(paths)).encode(), digest_size=8).hexdigest()
+    return hashlib.blake2b("\n".join(sorted(paths)).encode("utf-8", "replace"), digest_size=8).hexdigest()
 
 
 class Registry:
-    """Layouts by the fingerprints of their fields, with and without the optional ones."""
+    """Layouts by the fingerprints of the fields that some layout knows."""
 
     def __init__(self, layouts: tuple[Layout, ...] = LAYOUTS):
+        self.all = layouts
         self.known = set().union(*(layout.paths() for layout in layouts))
-        self.layouts: dict[str, Layout] = {}
-        for layout in layouts:
-            for count in range(len(layout.optional) + 1):
-                for absent in combinations(layout.optional, count):
-                    self.layouts.setdefault(fingerprint(layout.paths() - {*absent}), layout)
+        self.layouts: dict[str, Layout | None] = {}
+
+    def _layout(self, print_: str, paths: set[str]) -> Layout | None:
+        if print_ not in self.layouts:
+            fitting = (layout for layout in self.all if layout.required() <= paths)
+            self.layouts[print_] = next(fitting, None)
+        return self.layouts[print_]
 
     def read(self, record: str | None) -> tuple[str | None, str | None, list[tuple[str, str]]]:
         """Fingerprint, layout and turns of a record."""
         try:
             value = json.loads(record or "")
-        except ValueError:
-            return None, None, []
-        if not isinstance(value, dict):
+            if not isinstance(value, dict):
+                return None, None, []
+            paths = field_paths(value) & self.known
+            print_ = fingerprint(paths)
+            layout = self._layout(print_, paths)
+            turns = layout.turns(value) if layout else None
+        except (ValueError, RecursionError):
             return None, None, []
-        print_ = fingerprint(field_paths(value) & self.known)
-        layout = self.layouts.get(print_)
-        return print_, layout and layout.name, layout.turns(value) if layout else []
+        if turns is None:
+            return print_, None, []
+        return print_, layout.name, [(_whole(role), _whole(text)) for role, text in turns]
 
 
 # --- template -----------------------------------------------------------------------
@@ -198,8 +234,51 @@ def parse(formatted: str) -> Iterator[tuple[str, str]]:
 # --- jobs ---------------------------------------------------------------------------
 
 
-def records(rows: DataFrame, conv_id: str = "conv_id") -> DataFrame:
-    """One ``record`` per conversation, of the layout ``turns``, from one row per turn."""
+#: How ``records`` writes conversations of any number of turns, and those of one question.
+LONG_LAYOUTS = ("turns", "messages", "parts", "shared")
+PAIR_LAYOUTS = ("instruction", "completion", "response", "question")
+
+
+def _told(turns: Column, layout: str) -> Column:
+    """Turns (``role, text``) as JSON of a layout."""
+    asked, said = (turns[place]["text"] for place in (0, 1))
+    if layout == "turns":
+        return F.to_json(F.struct(turns.alias("turns")))
+    if layout == "messages":
+        all_ = F.transform(turns, lambda t: F.struct(t["role"], t["text"].alias("content")))
+        return F.to_json(F.struct(all_.alias("messages"), F.lit("").alias("prompt")))
+    if layout == "parts":
+
+        def part(turn):
+            text = F.struct(F.lit("text").alias("type"), turn["text"].alias("text"))
+            return F.struct(turn["role"], F.array(text).alias("content"))
+
+        return F.to_json(F.struct(F.transform(turns, part).alias("messages")))
+    if layout == "shared":
+
+        def shared(turn):
+            name = F.when(turn["role"] == "user", "human").when(turn["role"] == "assistant", "gpt")
+            return F.struct(
+                F.coalesce(name, turn["role"]).alias("from"), turn["text"].alias("value")
+            )
+
+        return F.to_json(F.struct(F.transform(turns, shared).alias("conversations")))
+    names = {
+        "instruction": ("instruction", "output"),
+        "completion": ("prompt", "completion"),
+        "response": ("prompt", "response"),
+        "question": ("question", "answer"),
+    }[layout]
+    return F.to_json(F.struct(asked.alias(names[0]), said.alias(names[1])))
+
+
+def records(rows: DataFrame, conv_id: str = "conv_id", mixed: bool = False) -> DataFrame:
+    """One ``record`` per conversation, from one row per turn.
+
+    Records are of the layout ``turns``, or, if ``mixed``, of all layouts in turn by id: a
+    question with its answer of any, a conversation whose roles another layout would rename of
+    ``turns``, and others of those that hold any number of turns.
+    """
     turn = F.struct(
         F.col("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
@@ -208,7 +287,26 @@ def records(rows: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     grouped = rows.groupBy(F.col(conv_id).alias("conv_id"))
     grouped = grouped.agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     turns = F.transform("turns", lambda one: F.struct(one["role"], one["text"])).cast(TURNS)
-    return grouped.select("conv_id", F.to_json(F.struct(turns.alias("turns"))).alias("record"))
+    told = grouped.select("conv_id", turns.alias("turns"))
+    record = _told(F.col("turns"), "turns")
+    if mixed:
+        number = F.pmod(F.col("conv_id").cast("long"), F.lit(len(LONG_LAYOUTS + PAIR_LAYOUTS)))
+        role = [F.try_element_at("turns.role", F.lit(place)) for place in (1, 2)]
+        pair = (F.size("turns") == 2) & (role[0] == "user") & (role[1] == "assistant")
+        renamed = F.exists("turns", lambda one: one["role"].isin(*_SHARED))
+        for place, layout in enumerate(LONG_LAYOUTS + PAIR_LAYOUTS):
+            fits = pair if layout in PAIR_LAYOUTS else ~renamed
+            wanted = number if layout in PAIR_LAYOUTS else number % len(LONG_LAYOUTS)
+            chosen = fits & (wanted == place)
+            record = F.when(chosen, _told(F.col("turns"), layout)).otherwise(record)
+    return told.select("conv_id", record.alias("record"))
+
+
+def unread(formatted: DataFrame) -> DataFrame:
+    """One row: ``records``, and how many of them have no known layout."""
+    return formatted.agg(
+        F.count("*").alias("records"), F.count_if(F.col("layout").isNull()).alias("unread")
+    )
 
 
 _FORMATTED = (
@@ -242,7 +340,7 @@ def format_records(data: DataFrame, record: str = "record", layouts=LAYOUTS) ->
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``conv_id`` with ``turns`` and ``learned`` (all text under the mask, unescaped)."""
+    """``conv_id`` with ``turns``, ``learned`` (all text under the mask, unescaped), ``layout``."""
 
     def read(batches):
         for batch in batches:
@@ -253,12 +351,13 @@ def read_back(formatted: DataFrame) -> DataFrame:
             kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
             columns = [batch.column(0), pa.array(turns, kind), pa.array(learned, pa.string())]
             yield pa.RecordBatch.from_arrays(
-                [*columns, batch.column(1)], ["conv_id", "turns", "learned", "formatted"]
+                [*columns, batch.column(1), batch.column(3)],
+                ["conv_id", "turns", "learned", "formatted", "layout"],
             )
 
     kind = formatted.schema["conv_id"].dataType.simpleString()
-    return formatted.select("conv_id", "formatted", "mask").mapInArrow(
-        read, f"conv_id {kind}, turns {TURNS}, learned string, formatted string"
+    return formatted.select("conv_id", "formatted", "mask", "layout").mapInArrow(
+        read, f"conv_id {kind}, turns {TURNS}, learned string, formatted string, layout string"
     )
 
 

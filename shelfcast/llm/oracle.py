@@ -110,7 +110,12 @@ SELECT conv_id, count(*) AS n_turns,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
     AS loss_sha256,
-  sum(chars)::BIGINT AS formatted_chars
+  sum(chars)::BIGINT AS formatted_chars,
+  CASE WHEN string_agg(role, ',' ORDER BY turn, role, text) = 'user,assistant'
+      AND (conv_id % 8 + 8) % 8 > 3
+    THEN ['instruction', 'completion', 'response', 'question'][(conv_id % 8 + 8) % 8 - 3]
+    WHEN bool_or(role IN ('human', 'gpt', 'bot', 'model')) THEN 'turns'
+    ELSE ['turns', 'messages', 'parts', 'shared'][(conv_id % 4 + 4) % 4 + 1] END AS layout
 FROM sized GROUP BY conv_id
 """
 

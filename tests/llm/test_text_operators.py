@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import textwrap
+import time
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -135,7 +139,7 @@ def test_forward_sums_all_segmentations():
 
     def brute(word):
         mark = "▁".encode()
-        sums = {0: 1.0}
+        sums = {0: 1}
         text = mark + word
         for at in [0, *range(len(mark), len(text))]:
             for end in range(max(at + 1, len(mark)), len(text) + 1):
@@ -149,9 +153,86 @@ def test_forward_sums_all_segmentations():
     forward = lattice.forward(edges)[lattice.first[1:] - 1, 0]
     backward = lattice.backward(edges)[lattice.first[:-1], 0]
     want = [brute(word.encode()) for word in "hello the éa zzqx über 中 x".split()]
+    assert np.allclose(forward, np.log(want)) and np.allclose(backward, np.log(want))
+
+    # whole words of any length, in numbers that are too small for their product
+    small = p * 1e-5
+    long = "语言识别模型必须处理没有空格的文字" * 8, "การประมวลผลภาษาธรรมชาติ" * 5, "donaudampfschifffahrt" * 6
+    words = langid._words(*utf8(pa.array([" ".join(long)])))
+    assert len(words) == 3 and min(words.lengths) > 100
+    lattice = langid.Lattice(words, np.arange(3), table)
+    edges = lattice.edge_probabilities(small[:, None], table.space)
+    ends = lattice.first[1:] - 1
+    forward = lattice.forward(edges, True)[ends, 0]
+    backward = lattice.backward(edges, True)[lattice.first[:-1], 0]
+    p = [Fraction(one) for one in small]
+    want = [_log(brute(word.encode())) for word in long]
     assert np.allclose(forward, want) and np.allclose(backward, want)
 
 
+def _log(value):
+    """The logarithm of a fraction that may be too small for a number."""
+    shift = value.denominator.bit_length() - value.numerator.bit_length()
+    return math.log(value * 2**shift) - shift * math.log(2)
+
+
+def test_expected_counts_of_pieces(monkeypatch):
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    table = langid.vocabulary(PIECES)
+    prior = langid._prior(table.size)[:, 0]
+    number = {}
+    for i in range(model.get_piece_size()):
+        if model.is_byte(i):
+            number.setdefault(bytes([int(model.id_to_piece(i)[3:5], 16)]), i)
+        elif not model.is_control(i) and not model.is_unknown(i):
+            number[model.id_to_piece(i).encode()] = i
+    mark = "▁".encode()
+
+    def ways(text):
+        if not text:
+            yield [], 1.0
+        for size in range(1, len(text) + 1):
+            if text[:size] in number:
+                for rest, chance in ways(text[size:]):
+                    yield [number[text[:size]], *rest], chance * prior[number[text[:size]]]
+
+    def cut(word):
+        space = number[mark]
+        for pieces, chance in ways(word):
+            yield [space, *pieces], chance * prior[space]
+        for size in range(1, len(word) + 1):
+            one = number.get(mark + word[:size])
+            if one is not None:
+                for pieces, chance in ways(word[size:]):
+                    yield [one, *pieces], chance * prior[one]
+
+    texts = ["hello", "über", "中文", "the"]
+    want = np.zeros((table.size + 1, 2))
+    count = np.array([[1, 2], [3, 0], [0, 1], [5, 5]], float)
+    for word, times in zip(texts, count):
+        all_ways = [*cut(word.encode())]
+        total = sum(chance for _, chance in all_ways)
+        for pieces, chance in all_ways:
+            for piece in pieces:
+                want[piece] += chance / total * times
+    words = langid._words(*utf8(pa.array([" ".join(texts)])))
+    for long in (False, True):
+        found = langid._expected(words, np.arange(4), count, table, long)
+        assert np.allclose(found[:-1], want[:-1])
+    # the same words over several shards and groups
+    monkeypatch.setattr(langid, "LATTICE_PLACES", 7)
+    monkeypatch.setattr(langid, "SHORT_BYTES", 4)
+    tally = langid._Tally(table)
+    for place in (0, 1):
+        tally.column("ab"[place])
+        for word, times in zip(texts, count[:, place]):
+            for _ in range(int(times)):
+                data = langid._words(*utf8(pa.array([word])))
+                tally.add(data, np.full(1, place))
+    tally.flush()
+    assert np.allclose(tally.found[:-1], want[:-1])
+
+
 def test_language(spark, docs):
     english = "the cat and the dog were in the house with their friends"
     german = "der hund und die katze waren mit ihren freunden in dem haus"
@@ -355,6 +436,55 @@ def test_every_template_is_told_from_the_others(place):
     assert _named("\n".join(textwrap.wrap(text, 60))) == [name]
 
 
+def test_time_follows_the_length_of_a_license_list():
+    seconds = []
+    for count in (500, 2000):
+        text = "\n".join(f"file{i} is licensed under CC BY-SA 4.0." for i in range(count))
+        start = time.process_time()
+        assert len(licenses.identify(text)) == count
+        seconds.append(time.process_time() - start)
+    assert seconds[1] < 8 * seconds[0]
+
+
+def test_licenses_of_whole_documents_are_those_of_a_search_by_wording():
+    """Every template at every place of documents, by differences in wording alone."""
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])
+    texts = [t for t in table["text"].to_pylist() if t and re.search("(?i)licen[sc]e|copyright", t)]
+    assert texts
+    extra = [f"{texts[0][:300]} {a} {texts[-1][:200]}\n{b}" for (_, a), (_, b) in zip(
+        licenses.TEMPLATES, licenses.TEMPLATES[7:]
+    )]
+    for text in [*texts[:40], *extra]:
+        words = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text)]
+        places = []
+        for name, wording in licenses.TEMPLATES:
+            mine = re.findall(r"[^\W_]+", wording.lower())
+            most = int(licenses.MAX_CHANGED * len(mine))
+            joined = " " + " ".join(word for word, _, _ in words) + " "
+            at = joined.find(" " + " ".join(mine) + " ")
+            if at >= 0:
+                first = joined[: at + 1].count(" ") - 1
+                places.append((len(mine), name, first, first + len(mine), most))
+        # of exact statements the longest ones that do not overlap must be found
+        taken = []
+        for size, name, first, last, _ in sorted(places, reverse=True):
+            if all(last <= a or b <= first for _, a, b in taken):
+                taken.append((name, first, last))
+        found = licenses.identify(text)
+        for name, first, last in taken:
+            start, end = words[first][1], words[last - 1][2]
+            assert any(one[0] == name and one[1] <= start and end <= one[2] for one in found)
+        # and whatever is found is close to a template in wording
+        for name, start, end, _, changed in found:
+            body = re.findall(r"[^\W_]+", text[start:end].lower())
+            near = [
+                sum(map(len, licenses.differences(re.findall(r"[^\W_]+", t.lower()), body)))
+                for n, t in licenses.TEMPLATES
+                if n == name
+            ]
+            assert changed in near
+
+
 def test_covered_licenses():
     for name, text in {
         "GPL-3.0": "SPDX-License-Identifier: GPL-3.0-or-later",
@@ -412,6 +542,60 @@ def test_layouts():
         assert read(record)[1:] == (None, [])
 
 
+def test_layouts_beside_other_fields():
+    read, qa = chat.Registry().read, [("user", "q"), ("assistant", "a")]
+    turns = '[{"role":"user","content":"q"},{"role":"assistant","content":"a"}]'
+    for record in (
+        f'{{"messages":{turns},"prompt":"q"}}',
+        f'{{"messages":{turns},"input":null,"output":"x"}}',
+        f'{{"turns":{turns.replace("content", "text")},"output":"x"}}',
+        '{"messages":[{"role":"user","content":[{"type":"text","text":"q"},{"type":"image"}]},'
+        '{"role":"assistant","content":"a"}]}',
+        '{"messages":[{"role":"user","content":[{"text":"q"}]},'
+        '{"role":"assistant","content":["",{"text":"a"}]}]}',
+        '{"prompt":"q","response":"a","completion":"x"}'.replace('"x"', '"a"'),
+    ):
+        assert read(record)[2] == qa
+    assert read('{"messages":[{"role":"user","content":[{"text":"q"}]}]}')[1] == "parts"
+
+
+def test_records_that_cannot_be_read(spark):
+    deep = '{"messages":' + "[" * 100_000 + "]" * 100_000 + "}"
+    records = [
+        '{"messages":[{"role":"user","content":"q"},null]}',
+        '{"messages":[{"role":"user","content":"q"},"a"]}',
+        '{"messages":["q"]}',
+        '{"messages":[]}',
+        deep,
+        "{",
+        None,
+        '{"prompt":"\\ud800x","response":"\\ud83d\\ude42 \\udc00","\\ud801":1}',
+    ]
+    data = spark.createDataFrame([*enumerate(records)], "conv_id long, record string")
+    formatted = chat.format_records(data).cache()
+    assert tuple(chat.unread(formatted).first()) == (8, 7)
+    found = {r.conv_id: r for r in chat.read_back(formatted).collect()}
+    assert all(found[i].turns == [] and found[i].layout is None for i in range(7))
+    assert [tuple(t) for t in found[7].turns] == [("user", "\ufffdx"), ("assistant", "🙂 \ufffd")]
+
+
+def test_records_of_all_layouts_say_the_same(spark):
+    rows = []
+    for i in range(-9, 40):
+        rows += [(i, 0, "user", f"q{i}\n</s>"), (i, 1, "assistant", f"a{i}")]
+        if i % 3 == 0:
+            rows.append((i, 2, "gpt" if i % 9 == 0 else "tool", None))
+    rows += [(None, 0, "user", "x"), (None, 1, "assistant", "y")]
+    data = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    plain, mixed = (
+        {r.conv_id: r for r in chat.write_and_read(chat.records(data, mixed=m)).collect()}
+        for m in (False, True)
+    )
+    assert {name: r[:4] for name, r in plain.items()} == {name: r[:4] for name, r in mixed.items()}
+    assert {r.layout for r in plain.values()} == {"turns"}
+    assert {r.layout for r in mixed.values()} == {layout.name for layout in chat.LAYOUTS}
+
+
 def test_conversations(spark):
     rows = [
         (1, 1, "assistant", "b"),
