@@ -1,11 +1,17 @@
 """License scan by conditional compression.
 
-A block is all that stands within reach of a hint: as many words on each side as the longest
-template has, whatever lines, paragraphs and sentences they are in. Every template that
-shares enough word pairs with it to be confirmed at all is aligned with it from the longest
-common run on. A window is confirmed if its differences are few and touch no word that tells
-licenses apart (names, versions, clauses), and if zstandard saves enough of the window with
-the template as raw dictionary. Of windows that overlap, the one that saves most bytes stays.
+1. All that stands within reach of a hint, as many words on each side as the longest template
+   has, is cut into candidate blocks of bounded size. Blocks overlap by more than the longest
+   template, so every statement lies whole in the block that it begins in the first part of.
+2. A block is compressed with zstandard, alone and with every template as raw dictionary.
+   Templates are ranked by the bytes they save; one that saves less than ``MIN_SAVING`` of what
+   it saves of its own wording is out.
+3. The winners are confirmed in that order by exact differences in wording: few words may
+   differ, and none that tells licenses apart (names, versions, clauses). Of confirmed places
+   that overlap, the one whose template saves most bytes of it stays, then the better ranked.
+
+A block costs the same wherever it stands, so a text takes time in proportion to its length,
+however often it repeats a statement.
 
 Defined results: a null or empty text has no blocks. Of templates that save alike the
 first by name comes first. A text may state several licenses, or one repeatedly; all are
@@ -243,24 +249,33 @@ FOUND = "array<struct<license:string,start:int,end:int,saving:double,changed:int
 
 
 def blocks(text: str, templates=TEMPLATES) -> list[tuple[int, int]]:
-    """Ranges of text within reach of a hint; those that meet are one."""
-    return [(words[0][1], words[-1][2]) for words in _placed(text, templates)]
+    """Ranges of text of the candidate blocks."""
+    return [(words[0][1], words[-1][2]) for words, _ in _placed(text, templates)]
 
 
-def _placed(text: str, templates) -> list[list[tuple[str, int, int]]]:
-    """The words of each block, in small letters, with their places."""
+def _placed(text: str, templates) -> list[tuple[list[tuple[str, int, int]], int]]:
+    """Candidate blocks: words in small letters with their places, and how many may begin one.
+
+    A statement that begins among these is in the block to its end.
+    """
     words = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
-    reach = max((len(t.words) for t in _templates(templates)), default=0)
+    longest = max((len(t.words) for t in _templates(templates)), default=0)
     starts, ends = [w[1] for w in words], [w[2] for w in words]
-    found: list[list[int]] = []
+    ranges: list[list[int]] = []
     for hint in _HINTED.finditer(text):
-        low = max(0, bisect_right(ends, hint.start()) - reach)
-        high = min(len(words), bisect_left(starts, hint.end()) + reach)
-        if found and low <= found[-1][1]:
-            found[-1][1] = max(high, found[-1][1])
+        low = max(0, bisect_right(ends, hint.start()) - longest)
+        high = min(len(words), bisect_left(starts, hint.end()) + longest)
+        if ranges and low <= ranges[-1][1]:
+            ranges[-1][1] = max(high, ranges[-1][1])
         else:
-            found.append([low, high])
-    return [words[low:high] for low, high in found]
+            ranges.append([low, high])
+    found, more = [], int(longest * (1 + MAX_CHANGED)) + 1
+    for low, high in ranges:
+        while low < high:
+            own = longest if high - low > longest + more else high - low
+            found.append((words[low : min(low + own + more, high)], own))
+            low += own
+    return found
 
 
 @dataclass
@@ -268,22 +283,34 @@ class _Template:
     license: str
     words: list[str]
     compressor: zstandard.ZstdCompressor
-    pairs: frozenset[tuple[str, str]]
-
-    @property
-    def most(self) -> int:
-        """How many words may differ."""
-        return int(MAX_CHANGED * len(self.words))
+    own: int  # bytes that it saves of its own wording
+    most: int  # how many words may differ
+    run: int  # so many words in a row are then left unchanged somewhere
+    runs: dict[tuple[str, ...], list[int]]  # where they stand in the template
+
+
+#: Fixed, as zstandard would choose by size, and choose other ones beside a dictionary.
+_PARAMETERS = zstandard.ZstdCompressionParameters(
+    window_log=17,
+    chain_log=16,
+    hash_log=15,
+    search_log=6,
+    min_match=3,
+    target_length=64,
+    strategy=zstandard.STRATEGY_BTOPT,
+    write_content_size=False,
+    write_checksum=False,
+    write_dict_id=False,
+)
 
 
 def _compressor(dictionary: str | None) -> zstandard.ZstdCompressor:
-    shared = {"level": 3, "write_content_size": False, "write_checksum": False}
     if dictionary is None:
-        return zstandard.ZstdCompressor(**shared)
+        return zstandard.ZstdCompressor(compression_params=_PARAMETERS)
     raw = zstandard.ZstdCompressionDict(
         dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
     )
-    return zstandard.ZstdCompressor(dict_data=raw, write_dict_id=False, **shared)
+    return zstandard.ZstdCompressor(dict_data=raw, compression_params=_PARAMETERS)
 
 
 def _plain(text: str) -> str:
@@ -299,15 +326,18 @@ def _templates(templates: tuple[tuple[str, str], ...]) -> list[_Template]:
     ordered = sorted(templates)
     known = []
     for name, text in ordered:
-        words = _words(text)
-        known.append(_Template(name, words, _compressor(_plain(text)), _pairs(words)))
+        words, packer = _words(text), _compressor(_plain(text))
+        most = int(MAX_CHANGED * len(words))
+        run = max(1, (len(words) - most) // (most + 1))
+        runs: dict[tuple[str, ...], list[int]] = {}
+        for place in range(len(words) - run + 1):
+            runs.setdefault(tuple(words[place : place + run]), []).append(place)
+        plain = _plain(text).encode()
+        own = len(_compressor(None).compress(plain)) - len(packer.compress(plain))
+        known.append(_Template(name, words, packer, own, most, run, runs))
     return known
 
 
-def _pairs(words: list[str]) -> frozenset[tuple[str, str]]:
-    return frozenset(zip(words, words[1:]))
-
-
 def _saved(window: str, template: _Template) -> tuple[int, float]:
     """Bytes that the template saves of a window, and their share."""
     plain = _plain(window).encode()
@@ -339,26 +369,29 @@ def _aligned(words: list[str], block: list[str]) -> tuple[list[str], list[str],
 
 
 def _windows(template: _Template, words: list[str]) -> list[tuple[int, int, int]]:
-    """Ranges of ``words`` that have the template's wording, with the number of changes."""
-    size, most = len(template.words), template.most
-    least = max(1, (size - most) // (most + 1))
-    matcher = SequenceMatcher(None, template.words, words, autojunk=False)
-    found, open_ranges = [], [(0, len(words))]
-    while open_ranges:
-        low, high = open_ranges.pop()
-        match = matcher.find_longest_match(0, size, low, high)
-        if match.size < least:
-            continue
-        begin = max(low, match.b - match.a - most)
-        end = min(high, match.b - match.a + size + most)
-        lacking, extra, first, last = _aligned(template.words, words[begin:end])
-        changed = len(lacking) + len(extra)
-        if changed <= most and not TELLING.intersection(lacking + extra):
-            found.append((begin + first, begin + last, changed))
-            open_ranges += [(low, begin + first), (begin + last, high)]
-        else:
-            open_ranges += [(low, match.b), (match.b + match.size, high)]
-    return found
+    """Ranges of ``words`` that have the template's wording, with the number of changes.
+
+    A range that is close enough has a run of unchanged words. Each of those that the template
+    has says where the range would begin; places that alignment allows for are tried once.
+    """
+    size, most, found = len(template.words), template.most, []
+    tried: set[int] = set()
+    for place in range(len(words) - template.run + 1):
+        for offset in template.runs.get(tuple(words[place : place + template.run]), ()):
+            start = place - offset
+            if any(one in tried for one in range(start - most // 2, start + most // 2 + 1)):
+                continue
+            tried.add(start)
+            begin, end = max(0, start - most), min(len(words), start + size + most)
+            lacking, extra, first, last = _aligned(template.words, words[begin:end])
+            changed = len(lacking) + len(extra)
+            if changed <= most and not TELLING.intersection(lacking + extra):
+                found.append((changed, begin + first, begin + last))
+    chosen: list[tuple[int, int, int]] = []
+    for changed, first, last in sorted(found):
+        if all(last <= low or high <= first for low, high, _ in chosen):
+            chosen.append((first, last, changed))
+    return sorted(chosen)
 
 
 def identify(text: str, templates=TEMPLATES) -> list[tuple[str, int, int, float, int]]:
@@ -366,27 +399,35 @@ def identify(text: str, templates=TEMPLATES) -> list[tuple[str, int, int, float,
     return _identify(text, _placed(text, templates), templates)
 
 
+def _ranked(plain: bytes, templates) -> list[tuple[int, int, _Template]]:
+    """Templates that save enough of a block, the one that saves most first."""
+    alone, ranked = len(_compressor(None).compress(plain)), []
+    for place, template in enumerate(_templates(templates)):
+        saved = alone - len(template.compressor.compress(plain))
+        if saved > 0 and saved >= MIN_SAVING * template.own:
+            ranked.append((-saved, place, template))
+    return sorted(ranked, key=lambda one: one[:2])
+
+
 def _identify(text: str, placed, templates) -> list[tuple[str, int, int, float, int]]:
-    found = []
-    for block in placed:
+    found: list[tuple[str, int, int, float, int]] = []
+    for block, own in placed:
         words = [word for word, _, _ in block]
-        pairs, ranked = _pairs(words), []
-        for place, template in enumerate(_templates(templates)):
-            # a changed word spoils two pairs at most
-            if len(template.pairs - pairs) > 2 * template.most:
-                continue
+        plain = _plain(text[block[0][1] : block[-1][2]]).encode()
+        # what earlier blocks found may reach into this one
+        taken = [one for one in found[-len(words) :] if one[2] > block[0][1]]
+        before, confirmed = len(taken), []
+        for rank, (_, _, template) in enumerate(_ranked(plain, templates)):
             for first, last, changed in _windows(template, words):
                 start, end = block[first][1], block[last - 1][2]
-                saved, share = _saved(text[start:end], template)
-                if share >= MIN_SAVING:
-                    end = _CLOSING.match(text, end).end()
-                    one = (template.license, start, end, share, changed)
-                    ranked.append((-saved, place, start, one))
-        taken: list[tuple[str, int, int, float, int]] = []
-        for *_, one in sorted(ranked):
-            if all(one[2] <= other[1] or other[2] <= one[1] for other in taken):
-                taken.append(one)
-        found += sorted(taken, key=lambda one: one[1])
+                if first < own:
+                    saved, share = _saved(text[start:end], template)
+                    confirmed.append((-saved, rank, start, end, template.license, share, changed))
+        for _, _, start, end, name, share, changed in sorted(confirmed):
+            if all(end <= one[1] or one[2] <= start for one in taken):
+                end = _CLOSING.match(text, end).end()
+                taken.append((name, start, end, share, changed))
+        found += sorted(taken[before:], key=lambda one: one[1])
     return found
 
 
