@@ -7,9 +7,10 @@ maximisation over all texts to learn from: with probabilities that only follow t
 pieces' order in the vocabulary, forward and backward sums give every piece's expected
 count in each language; Spark adds these up.
 
-Words are runs of ASCII letters, folded to small ones, and of bytes beyond ASCII; a word
-is cut every ``WORD_BYTES`` bytes. Each distinct word of a shard is looked at once. What
-reaches the driver is bounded by pieces times languages.
+Words are runs of ASCII letters, folded to small ones, and of bytes beyond ASCII, of any
+length. Sums over long ones are taken in logarithms, as their probabilities are too small for
+numbers. Each distinct word of a shard is looked at once, in groups of bounded size; a longer
+word stands alone. What reaches the driver is bounded by pieces times languages.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is
 every text if there is nothing to learn from. Of equally likely languages the first by
@@ -18,6 +19,7 @@ name is taken. Rows may repeat.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -41,13 +43,17 @@ from shelfcast.llm.textscan import (
 )
 
 UNKNOWN = "und"
-WORD_BYTES = 32
+#: Probabilities of words up to this many bytes, each at least 1e-7 a byte, fit into numbers.
+SHORT_BYTES = 32
 SHARD_BYTES = 4 * 1024**2
 PENDING_WORDS = 300_000
 KEPT_WORDS = 400_000
-LATTICE_WORDS = 50_000  # looked at together; this bounds the memory
+LATTICE_PLACES = 800_000  # looked at together; this bounds the memory
 UNIFORM = 1e-3  # share of the probability that all pieces get alike
 
+#: The logarithm of what no language can write; such words tell nothing.
+IMPOSSIBLE = -1e6
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = weights(256, 53)
 _MARK = "▁"
@@ -136,46 +142,65 @@ class Lattice:
             found.append((offset[used], place[used], inner[used], opening[used], size))
         offset = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
         size = np.repeat([f[4] for f in found], [len(f[0]) for f in found]).astype(np.int64)
-        step = offset * (table.longest + 1) + size
-        order = np.argsort(step, kind="stable")
-        joined = [np.concatenate([f[i] for f in found])[order] for i in (1, 2, 3)] if found else []
+        joined = [np.concatenate([f[i] for f in found]) for i in (1, 2, 3)] if found else []
         self.source, self.inner, self.opening = joined or [np.zeros(0, np.int64)] * 3
-        self.target = self.source + size[order]
-        self.begins = offset[order] == 0
-        cuts = np.flatnonzero(np.diff(step[order])) + 1
-        self.steps = list(zip(np.append(0, cuts), np.append(cuts, len(order))))
+        self.target = self.source + size
+        self.begins = offset == 0
+        self.offset, self.size = offset, size
 
     def edge_probabilities(self, p: np.ndarray, space: int) -> np.ndarray:
         """``p`` has a row per piece, and one of zeros at its end for "no piece"."""
         inside = p[self.inner]
         return np.where(self.begins[:, None], p[self.opening] + p[space] * inside, inside)
 
-    def forward(self, edges: np.ndarray) -> np.ndarray:
-        sums = np.zeros((self.first[-1], edges.shape[1]))
-        sums[self.first[:-1]] = 1
-        for low, high in self.steps:  # targets are distinct within a step
-            sums[self.target[low:high]] += sums[self.source[low:high]] * edges[low:high]
-        return sums
-
-    def backward(self, edges: np.ndarray) -> np.ndarray:
-        sums = np.zeros((self.first[-1], edges.shape[1]))
-        sums[self.first[1:] - 1] = 1
-        for low, high in reversed(self.steps):
-            sums[self.source[low:high]] += sums[self.target[low:high]] * edges[low:high]
-        return sums
+    def _sums(self, edges: np.ndarray, long: bool, back: bool) -> np.ndarray:
+        """Logarithms of the sums over all ways to a place, or from it (``back``).
+
+        Of words that are not ``long`` the sums themselves fit into numbers.
+        """
+        begin = self.first[1:] - 1 if back else self.first[:-1]
+        source, target = (self.target, self.source) if back else (self.source, self.target)
+        # a place in a word is reached when all those before it (behind it) are
+        step = -self.offset if back else self.offset + self.size
+        order = np.lexsort((target, step))
+        source, target, step, edges = source[order], target[order], step[order], edges[order]
+        fresh = np.flatnonzero(np.append(True, target[1:] != target[:-1]))[: len(order)]
+        turns = np.append(np.flatnonzero(np.diff(step[fresh])) + 1, len(fresh))
+        sums = np.full((self.first[-1], edges.shape[1]), -np.inf if long else 0.0)
+        sums[begin] = 0.0 if long else 1.0
+        ends, low, first = np.append(fresh, len(order)), 0, 0
+        with np.errstate(divide="ignore"):
+            weights = np.log(edges) if long else edges
+            for turn in turns if len(order) else ():
+                high = ends[turn]
+                groups, come = fresh[first:turn] - low, sums[source[low:high]]
+                if long:
+                    ways = np.logaddexp.reduceat(come + weights[low:high], groups, axis=0)
+                else:
+                    ways = np.add.reduceat(come * weights[low:high], groups, axis=0)
+                sums[target[fresh[first:turn]]] = ways
+                low, first = high, turn
+            return sums if long else np.log(sums)
+
+    def forward(self, edges: np.ndarray, long: bool = False) -> np.ndarray:
+        return self._sums(edges, long, False)
+
+    def backward(self, edges: np.ndarray, long: bool = False) -> np.ndarray:
+        return self._sums(edges, long, True)
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of at most ``WORD_BYTES`` bytes."""
-    words = Words(LOWER[data], offsets, LETTERS)
-    lengths = words.lengths
-    if len(words) and lengths.max() > WORD_BYTES:
-        parts = -(-lengths // WORD_BYTES)
-        _, number = spread(words.starts, parts)
-        starts = np.repeat(words.starts, parts) + number * WORD_BYTES
-        ends = np.minimum(starts + WORD_BYTES, np.repeat(words.ends, parts))
-        words = Words.at(words.data, offsets, starts, ends)
-    return words
+    return Words(LOWER[data], offsets, LETTERS)
+
+
+def _groups(lengths: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
+    """Words to look at together, short and long ones apart, like ones side by side."""
+    order = np.argsort(lengths, kind="stable")
+    short = int(np.searchsorted(lengths[order], SHORT_BYTES, side="right"))
+    for part, long in ((order[:short], False), (order[short:], True)):
+        places = np.concatenate([[0], np.cumsum(lengths[part] + 1)])
+        for low, high in shards(places, LATTICE_PLACES):
+            yield part[low:high], long
 
 
 def _prior(size: int) -> np.ndarray:
@@ -233,23 +258,24 @@ class _Tally:
         count = np.zeros((len(sample), groups))
         np.add.at(count, number, np.concatenate(counts))
         words = Words.at(text, np.array([0, len(text)]), ends - sizes, ends)
-        for low in range(0, len(sample), LATTICE_WORDS):
-            part = slice(low, low + LATTICE_WORDS)
-            self.found += _expected(words, sample[part], count[part], self.table)
+        for part, long in _groups(words.lengths[sample]):
+            self.found += _expected(words, sample[part], count[part], self.table, long)
         self._clear()
 
 
 def _expected(
-    words: Words, sample: np.ndarray, count: np.ndarray, table: Vocabulary
+    words: Words, sample: np.ndarray, count: np.ndarray, table: Vocabulary, long: bool
 ) -> np.ndarray:
     """Expected counts of all pieces, by language, of some words counted by language."""
     p, pieces = _prior(table.size), table.size + 1
     lattice = Lattice(words, sample, table)
     edges = lattice.edge_probabilities(p, table.space)
-    ahead, behind = lattice.forward(edges)[:, 0], lattice.backward(edges)[:, 0]
+    ahead, behind = (sums(edges, long)[:, 0] for sums in (lattice.forward, lattice.backward))
     word = np.searchsorted(lattice.first, lattice.source, side="right") - 1
     total = ahead[lattice.first[1:] - 1]
-    scale = ahead[lattice.source] * behind[lattice.target] / np.maximum(total[word], 1e-300)
+    # a word that cannot be cut up has no pieces
+    whole = np.where(np.isfinite(total), total, np.inf)[word]
+    scale = np.exp(ahead[lattice.source] + behind[lattice.target] - whole)
     p = p[:, 0]
     inside = scale * p[lattice.inner] * np.where(lattice.begins, p[table.space], 1.0)
     opening = scale * p[lattice.opening] * lattice.begins
@@ -317,14 +343,15 @@ class _Scores:
         self.logs = np.zeros((0, len(model.languages)))
 
     def _learn(self, words: Words, hashes: np.ndarray, sample: np.ndarray) -> None:
-        logs = []
-        for low in range(0, len(sample), LATTICE_WORDS):
-            lattice = Lattice(words, sample[low : low + LATTICE_WORDS], self.table)
-            sums = lattice.forward(lattice.edge_probabilities(self.model.p, self.table.space))
-            logs.append(np.log(np.maximum(sums[lattice.first[1:] - 1], 1e-300)))
+        logs = np.zeros((len(sample), len(self.model.languages)))
+        for part, long in _groups(words.lengths[sample]):
+            lattice = Lattice(words, sample[part], self.table)
+            edges = lattice.edge_probabilities(self.model.p, self.table.space)
+            sums = lattice.forward(edges, long)[lattice.first[1:] - 1]
+            logs[part] = np.maximum(sums, IMPOSSIBLE)
         joined = np.concatenate([self.hash, hashes])
         order = np.argsort(joined, kind="stable")
-        self.hash, self.logs = joined[order], np.concatenate([self.logs, *logs])[order]
+        self.hash, self.logs = joined[order], np.concatenate([self.logs, logs])[order]
 
     def texts(self, words: Words) -> np.ndarray:
         """Log-probability of each text in each language."""
