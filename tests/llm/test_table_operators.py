@@ -173,6 +173,60 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert ids.count(None) == 1
 
 
+def test_rows_of_a_large_bucket_follow_its_members(spark):
+    sizes = {}
+    for n, outsiders in ((8_000, 1), (32_000, 1), (32_000, 40)):
+        members = spark.range(n).select(
+            F.lit(5).cast("long").alias("bucket"),
+            F.col("id").alias("rep"),
+            F.when(F.col("id") < outsiders, F.col("id")).otherwise(-1).alias("component"),
+            F.lit(10).cast("long").alias("n_shingles"),
+        )
+        groups = neardup._blocks(members, ["n_shingles"]).cache()
+        sizes[n, outsiders] = groups.count()
+        largest = groups.groupBy("bucket", "block", "visit").count().agg(F.max("count")).first()[0]
+        assert largest < 2 * neardup.BLOCK
+        # every outsider meets every member once
+        met = groups.where("resident").select("block", "visit").join(
+            groups.where("not resident").select("block", "visit", "rep"), ["block", "visit"]
+        )
+        assert met.count() == n * outsiders
+    assert sizes[32_000, 1] <= 4.5 * sizes[8_000, 1]
+    assert sizes[32_000, 40] < 1.1 * sizes[32_000, 1]
+
+
+def test_deduplication_where_ids_repeat(spark):
+    x, y, z = (" ".join(f"{letter}{i}" for i in range(30)) for letter in "xyz")
+    rows = [(1, x), (2, x), (2, y), (3, z), (3, f"{y} more"), (None, x), (4, None), (4, "")]
+    docs = spark.createDataFrame([(*row, 7) for row in rows], "doc_id long, text string, node int")
+    kept = [(row.doc_id, row.text) for row in neardup.deduplicate(docs).collect()]
+    assert sorted(kept, key=str) == sorted(
+        [(1, x), (2, y), (3, z), (None, x), (4, None), (4, "")], key=str
+    )
+
+
+def test_deduplication_of_random_rows_with_repeated_ids(spark):
+    draw = random.Random(8)
+    bodies = [" ".join(draw.choices("abcdefgh", k=40)) for _ in range(12)]
+    rows = []
+    for _ in range(120):
+        body = draw.choice(bodies)
+        rows.append((draw.randrange(40), body + draw.choice(["", " end", " quite other end"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(row) for row in neardup.deduplicate(docs.repartition(3)).collect()]
+    # as nodes of their own
+    groups = {}
+    for place, (_, component) in _near([(i, text) for i, (_, text) in enumerate(rows)]).items():
+        groups.setdefault(component, []).append(rows[place])
+    assert len(kept) == len(groups)
+    for group in groups.values():
+        least = min(name for name, _ in group)
+        mine = [row for row in kept if row in group]
+        assert [name for name, _ in mine] == [least]
+    again = [tuple(row) for row in neardup.deduplicate(docs.repartition(5)).collect()]
+    assert sorted(again) == sorted(kept)
+
+
 def test_near_duplicates_of_nothing(spark):
     docs = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     found = sorted(map(tuple, neardup.find(docs).collect()))

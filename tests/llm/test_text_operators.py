@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
@@ -19,7 +20,16 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfcast.llm import chat, decontaminate, langid, licenses, quality, secrets, tokens
+from shelfcast.llm import (
+    chat,
+    decontaminate,
+    langid,
+    licenses,
+    quality,
+    queries,
+    secrets,
+    tokens,
+)
 from shelfcast.llm.fmindex import FmIndex
 from shelfcast.llm.textscan import utf8
 
@@ -610,3 +620,53 @@ def test_conversations(spark):
     assert [tuple(t) for t in found[2].turns] == [("", "")]
     assert found[3].learned == "xx"
     assert chat.write_and_read(chat.records(data.where("false"))).collect() == []
+
+
+def test_secrets_of_a_whole_table_are_those_of_a_plain_search(spark):
+    """Every pattern by itself, and owners counted in a dictionary."""
+    folder = "/root/testdata/sf0.01"
+    docs = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text", "source"])
+    patterns = (
+        (
+            "assign",
+            re.compile(
+                r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                re.IGNORECASE,
+            ),
+            lambda m: len(m[2]) >= 12,
+        ),
+        ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
+        ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16),
+    )
+    order = [name for name, *_ in patterns]
+    base, loose, owners = {}, {}, {}
+    for row in docs.to_pylist():
+        text, found = row["text"] or "", []
+        for name, pattern, fits in patterns:
+            found += [(m.start(), order.index(name), m.end()) for m in pattern.finditer(text) if fits(m)]
+        base[row["doc_id"]] = sorted(found)
+        loose[row["doc_id"]] = []
+        for m in re.finditer("[A-Za-z0-9_-]{20,}", text):
+            mixed = re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0])
+            if not mixed or len(re.findall("[0-9]", m[0])) < 3:
+                continue
+            if any(start < m.end() and m.start() < end for start, _, end in found):
+                continue
+            owners.setdefault(m[0], set()).add(row["source"] or "")
+            loose[row["doc_id"]].append((m.start(), m.end(), m[0]))
+    result = queries.op7_secrets(spark, folder).collect()
+    assert len(result) == len(base)
+    for row in result:
+        found = base[row.doc_id]
+        counts = [sum(kind == k for _, k, _ in found) for kind in range(3)]
+        assert [row.n_assign, row.n_access, row.n_hex] == counts
+        told = ",".join(f"{order[kind]}:{start}:{end}" for start, kind, end in found)
+        assert row.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        live = [
+            (start, 3, end)
+            for start, end, value in loose[row.doc_id]
+            if len(owners[value]) <= secrets.MAX_OWNERS
+        ]
+        names = [*order, "opaque"]
+        every = sorted([*found, *live])
+        assert row.spans == ",".join(f"{names[kind]}:{start}:{end}" for start, kind, end in every)
