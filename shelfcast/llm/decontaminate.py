@@ -31,7 +31,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfcast.llm.fmindex import FmIndex
-from shelfcast.llm.textscan import ALPHANUMERIC, LOWER, SHARD_BYTES, Words, shards, spread, utf8
+from shelfcast.llm.textscan import (
+    ALPHANUMERIC,
+    LOWER,
+    SHARD_BYTES,
+    Words,
+    bounded_batches,
+    release_memory,
+    shards,
+    spread,
+    utf8,
+)
 
 WINDOW = 10
 BLOCK_BYTES = 4 * 1024**2
@@ -277,8 +287,13 @@ def find(
 ) -> DataFrame:
     """``docs`` with ``_words`` (how many), ``_spans`` (merged) and ``_items`` (found, sorted)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     out = docs.drop("_words", "_spans", "_items")
     plain, found = out.columns, []
+    # parts of the result go by names that no column of ``docs`` begins with
+    prefix = "_found"
+    while any(name.lower().startswith(prefix) for name in plain):
+        prefix += "_"
     for number, block in enumerate(blocks(benchmark, item_id, item_text, block_bytes)):
         broadcast = spark.sparkContext.broadcast(block)
         schema = _with(out, f"_words long, _spans {SPANS}, _items array<string>")
@@ -286,18 +301,20 @@ def find(
         def scan(batches, broadcast=broadcast):
             for batch in batches:
                 yield from _report(batch, text, broadcast)
+            release_memory()
 
-        names = {f"_{part}": f"_{part}{number}" for part in ("words", "spans", "items")}
+        names = {f"_{part}": f"{prefix}_{part}{number}" for part in ("words", "spans", "items")}
         out = out.mapInArrow(scan, schema).withColumnsRenamed(names)
         found.append(number)
     last = found[-1]
     for number in found[:-1]:
-        out = out.withColumn(f"_spans{last}", _spans_union(f"_spans{last}", f"_spans{number}"))
-    items = reduce(F.array_union, [F.col(f"_items{number}") for number in found])
+        spans = [f"{prefix}_spans{one}" for one in (last, number)]
+        out = out.withColumn(spans[0], _spans_union(*spans))
+    items = reduce(F.array_union, [F.col(f"{prefix}_items{number}") for number in found])
     return out.select(
         *plain,
-        F.col(f"_words{last}").alias("_words"),
-        F.col(f"_spans{last}").alias("_spans"),
+        F.col(f"{prefix}_words{last}").alias("_words"),
+        F.col(f"{prefix}_spans{last}").alias("_spans"),
         F.array_sort(items).alias("_items"),
     )
 

@@ -17,7 +17,8 @@ DataFrame functions.
 
 Defined results: null values are the empty string. A value without a target keeps its
 natural share before the shares are scaled to 1; one with target 0 is never sampled. Cells
-that do not exist cannot be filled: then targets are met as nearly as ``MAX_ROUNDS`` allow.
+that do not exist cannot be filled: then targets are met as nearly as ``MAX_ROUNDS`` allow;
+``misses`` tells how nearly.
 Rows of one id share their fate. A null text has one token. A budget beyond the tokens of all
 values with a target above 0 takes all of those.
 """
@@ -252,3 +253,42 @@ def mix(docs: DataFrame, **options) -> DataFrame:
         options["share"] = SHARE
     kept = _drawn(docs, **options).where("drawn")
     return kept.select(*[F.col("_row")[name].alias(name) for name in docs.columns])
+
+
+def misses(
+    docs: DataFrame,
+    powers: dict[str, float] | None = None,
+    targets: dict[str, DataFrame] | None = None,
+    text: str = "text",
+    topic: Column | None = None,
+    **options,
+) -> DataFrame:
+    """``dimension, value, asked, expected``: shares of tokens that targets ask and rates give.
+
+    What is asked cannot always be given: values may exist in too few cells, or have too few
+    tokens for the sample, and rounds are bounded. The largest difference tells how far off a
+    sample is. Options as for ``sampled``.
+    """
+    drawn = sampled(docs, powers=powers, targets=targets, text=text, topic=topic, **options)
+    rows = drawn.select(
+        *[F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in DIMENSIONS[:2]],
+        (topic_of(text) if topic is None else topic).alias("topic"),
+        F.col("_tokens").alias("tokens"),
+        F.col("_rate").alias("rate"),
+    )
+    cells = rows.groupBy(*DIMENSIONS).agg(
+        F.sum("tokens").cast("double").alias("n"),
+        F.sum(F.col("tokens") * F.col("rate")).alias("given"),
+    )
+    cells = stage(cells, "given")
+    total = cells.agg(F.sum("given")).first()[0] or 1.0
+    found = []
+    for name in DIMENSIONS:
+        asked = (targets or {}).get(name, tempered(cells, name, (powers or POWERS)[name]))
+        given = cells.groupBy(F.col(name).alias("value")).agg(F.sum("given").alias("given"))
+        both = given.join(_targets(cells, name, asked), "value")
+        expected = (F.col("given") / total).alias("expected")
+        found.append(
+            both.select(F.lit(name).alias("dimension"), "value", F.col("share").alias("asked"), expected)
+        )
+    return reduce(DataFrame.union, found)

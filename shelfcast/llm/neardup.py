@@ -10,7 +10,8 @@
 5. A star can miss a link between two of its leaves. So buckets that still hold several
    components are searched again, in blocks of bounded size: first by bands, for classes
    that may be linked to another component, then among these by their full sets. Only
-   classes and links leave a task, never candidate pairs.
+   classes outside a bucket's largest component go to more than one block. Only classes and
+   links leave a task, never candidate pairs.
 
 With 50 bands of four bins, a pair of similarity 0.75 shares no band with a probability
 of 6e-9 and fewer than two with 1e-7.
@@ -28,13 +29,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.graph import components
-from shelfcast.llm.textscan import LOWER, NOT_BLANK, Words, mix, shards, utf8, weights
+from shelfcast.llm.textscan import (
+    LOWER,
+    NOT_BLANK,
+    Words,
+    bounded_batches,
+    mix,
+    release_memory,
+    shards,
+    utf8,
+    weights,
+)
 from shelfcast.session import stage
 
 SHINGLE = 5
 PERCENT = 75
 BANDS = 50
 ROWS = 4
+#: Texts are cut into shingles by this many bytes at a time.
+SHARD_BYTES = 1 << 20
 BLOCK = 768
 BLOCK_SHINGLES = 1_000_000
 #: Ids up to this many are broadcast to pick texts; more are joined by shuffle.
@@ -106,7 +119,7 @@ def bands(bins: np.ndarray) -> np.ndarray:
 def _signatures(batches):
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
-        for low, high in shards(offsets):
+        for low, high in shards(offsets, SHARD_BYTES):
             part = data[offsets[low] : offsets[high]]
             values, first = shingles(part, offsets[low : high + 1] - offsets[low])
             counts = np.diff(first)
@@ -127,12 +140,13 @@ def _signatures(batches):
                 ],
                 ["doc_id", "n_shingles", "set1", "set2", "bands"],
             )
+    release_memory()
 
 
 def _sets(batches):
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
-        for low, high in shards(offsets):
+        for low, high in shards(offsets, SHARD_BYTES):
             part = data[offsets[low] : offsets[high]]
             values, first = shingles(part, offsets[low : high + 1] - offsets[low])
             yield pa.RecordBatch.from_arrays(
@@ -142,6 +156,7 @@ def _sets(batches):
                 ],
                 ["doc_id", "shingles"],
             )
+    release_memory()
 
 
 def _sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -163,18 +178,17 @@ def _confirm(edges: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _outsiders(table: pa.Table):
-    """Of a group of classes: those outside its largest component, and whom each must meet.
+    """Of a group: each visitor, and whom of the residents it must meet.
 
-    Every pair of different components has a member outside the largest one. In a group
-    of two blocks, pairs inside a block are left to the group of that block alone.
+    Every pair of different components has a member outside the largest one, and all of these
+    visit every block. Of two outsiders the one with the smaller id visits the other.
     """
     _, number = np.unique(table["component"].to_numpy(), return_inverse=True)
-    largest, own = np.argmax(np.bincount(number)), table["own"][0].as_py()
-    lead = table["lead"].to_numpy()
-    place = np.arange(len(number))
-    for one in np.flatnonzero(number != largest):
-        other = (number != number[one]) & ((number == largest) | (place > one))
-        yield one, other if own else other & (lead != lead[one])
+    reps, resident = table["rep"].to_numpy(), table["resident"].to_numpy(zero_copy_only=False)
+    outside = table["outside"].to_numpy(zero_copy_only=False)
+    for one in np.flatnonzero(~resident):
+        later = ~outside | (reps > reps[one])
+        yield one, resident & (number != number[one]) & later
 
 
 def _open_members(table: pa.Table) -> pa.Table:
@@ -218,32 +232,70 @@ def _links_between(table: pa.Table) -> pa.Table:
     return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
 
-def _blocks(members: DataFrame, columns: list[str]) -> DataFrame:
-    """Members of every bucket with several components, dealt to groups of two blocks at most.
+def _spread(members: DataFrame) -> DataFrame:
+    """Buckets with several components: the largest one, and into how many blocks they go.
 
-    A block has about ``BLOCK`` classes or ``BLOCK_SHINGLES`` shingles, and meets itself and
-    every other block of its bucket once.
+    ``blocks`` of about ``BLOCK`` classes or ``BLOCK_SHINGLES`` shingles, and ``visits`` of as
+    many outsiders.
     """
-    spread = members.groupBy("bucket").agg(
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.greatest(
-            F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-        ).alias("blocks"),
+    parts = members.groupBy("bucket", "component").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("size")
+    )
+    largest = F.max(F.struct("n", "component", "size"))
+    spread = parts.groupBy("bucket").agg(
+        F.count("*").alias("components"),
+        largest.alias("largest"),
+        F.sum("n").alias("n"),
+        F.sum("size").alias("size"),
+    )
+
+    def parts_of(n, size):
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_SHINGLES), F.lit(1).cast("long"))
+
+    return spread.where("components > 1").select(
+        "bucket",
+        F.col("largest.component").alias("largest"),
+        parts_of(F.col("n"), F.col("size")).alias("blocks"),
+        parts_of(F.col("n") - F.col("largest.n"), F.col("size") - F.col("largest.size")).alias(
+            "visits"
+        ),
     )
-    dealt = members.join(spread.where("low <> high").select("bucket", "blocks"), "bucket")
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    return dealt.withColumn("other", F.explode(every)).select(
+
+
+def _blocks(members: DataFrame, columns: list[str]) -> DataFrame:
+    """Members of every bucket with several components, dealt to groups of bounded size.
+
+    Every member is resident in one block of its bucket. Those outside the largest component
+    visit all blocks, some in each of ``visits`` groups that a block has. So a bucket with few
+    outsiders makes few more rows than it has members, however large it is.
+    """
+    spread = stage(_spread(members), "spread")
+    small = spread.count() <= BROADCAST_IDS
+    dealt = members.join(F.broadcast(spread) if small else spread, "bucket")
+    outside = F.col("component") != F.col("largest")
+    home = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    turn = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("visits"))
+
+    def every(count):
+        return F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+
+    def place(block, visit, resident):
+        return F.struct(
+            block.alias("block"), visit.alias("visit"), F.lit(resident).alias("resident")
+        )
+
+    places = F.transform(every("visits"), lambda visit: place(home, visit, True))
+    calls = F.transform(every("blocks"), lambda block: place(block, turn, False))
+    dealt = dealt.select(
         "bucket",
-        F.least("mine", "other").alias("i"),
-        F.greatest("mine", "other").alias("j"),
         "rep",
         "component",
         *columns,
-        (F.col("mine") <= F.col("other")).alias("lead"),
-        (F.col("mine") == F.col("other")).alias("own"),
+        outside.alias("outside"),
+        F.when(outside, F.concat(places, calls)).otherwise(places).alias("places"),
     )
+    kept = ["bucket", "rep", "component", *columns, "outside"]
+    return dealt.select(*kept, F.inline("places"))
 
 
 def _missed(members: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -257,13 +309,13 @@ def _missed(members: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFra
         "placed",
     )
     groups = _blocks(placed, ["n_shingles"]).join(reps.select("rep", "bands"), "rep")
-    wanted = groups.groupBy("bucket", "i", "j").applyInArrow(
+    wanted = groups.groupBy("bucket", "block", "visit").applyInArrow(
         _open_members, "bucket long, rep long"
     )
     wanted = stage(placed.join(wanted.distinct(), ["bucket", "rep"]), "open")
     sets = _sets_of(wanted.select(F.col("rep").alias("doc_id")).distinct(), docs)
     groups = _blocks(wanted, []).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    links = groups.groupBy("bucket", "i", "j").applyInArrow(_links_between, "a long, b long")
+    links = groups.groupBy("bucket", "block", "visit").applyInArrow(_links_between, "a long, b long")
     return links.distinct()
 
 
@@ -272,6 +324,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     ``component_id`` is the smallest id reachable over links, ``kept`` whether it is one's own.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = stage(
         docs.mapInArrow(
@@ -309,18 +362,38 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component; rows with a null id stay.
+    """``docs`` with one document of each component, that of the smallest id.
 
-    Of rows that share an id one stays.
+    Rows with a null id stay. Where ids repeat, every row is a node of its own, so rows of one
+    id go only if their own text is linked; of rows with the same smallest id the one with the
+    smallest hash of the text, then of all columns, is kept.
     """
-    found = stage(find(docs, doc_id, text).where("doc_id is not null"), "components")
-    name = found["doc_id"].alias(doc_id)
-    dropped = stage(found.where("not kept").select(name).distinct(), "dropped")
-    repeated = found.where("kept").groupBy(name).count().where("count > 1").select(doc_id)
-    repeated = stage(repeated, "repeated")
+    known = docs.where(F.col(doc_id).isNotNull())
+    if known.groupBy(doc_id).count().where("count > 1").isEmpty():
+        found = stage(find(docs, doc_id, text).where("doc_id is not null"), "components")
+        dropped = found.where("not kept").select(found["doc_id"].alias(doc_id))
+        return _without(docs, dropped, doc_id).select(docs.columns)
+
+    order = [F.col(doc_id).cast("long").alias("id")]
+    order += [F.xxhash64(F.col(text)).alias("text"), F.xxhash64(F.struct("*")).alias("all")]
+    numbered = docs.select(
+        F.struct("*").alias("row"),
+        F.col(text).alias("text"),
+        F.struct(*order).alias("order"),
+        F.monotonically_increasing_id().alias("node"),
+    )
+    numbered = stage(numbered, "numbered")
+    labels = find(numbered, "node", "text").select(F.col("doc_id").alias("node"), "component_id")
+    nodes = numbered.where("order.id is not null").select("node", "order").join(labels, "node")
+    nodes = stage(nodes, "components")
+    first = nodes.groupBy("component_id").agg(F.min(F.struct("order", "node")).alias("first"))
+    dropped = nodes.join(first.select("first.node"), "node", "left_anti").select("node")
+    return _without(numbered, dropped, "node").select(
+        *[F.col("row")[name].alias(name) for name in docs.columns]
+    )
+
+
+def _without(rows: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    dropped = stage(dropped, "dropped")
     small = dropped.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(dropped) if small else dropped, doc_id, "left_anti")
-    if repeated.isEmpty():
-        return kept.select(docs.columns)
-    single = kept.join(repeated, doc_id, "left_anti")
-    return single.unionByName(kept.join(repeated, doc_id, "left_semi").dropDuplicates([doc_id]))
+    return rows.join(F.broadcast(dropped) if small else dropped, key, "left_anti")

@@ -14,6 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SHARD_BYTES = 2 * 1024**2
 
@@ -59,9 +60,25 @@ def _position_weights(count: int) -> np.ndarray:
 _BYTE_WEIGHTS = weights(256, 7)
 
 
-def release_memory() -> None:
+#: Rows of texts that Spark and a Python worker exchange at a time, at most.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session exchange at most ``BATCH_ROWS`` rows at a time; its default is ten times that.
+
+    Either side holds whole batches, several of them, so texts need a smaller one than numbers.
+    A session that already has a smaller one keeps it.
+    """
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
+def release_memory(last: bool = True) -> None:
     """Hand what is free back to the system: workers outlive their tasks, and share machines."""
-    gc.collect()
+    if last:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

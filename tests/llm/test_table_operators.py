@@ -355,6 +355,22 @@ def test_mixing_nothing(spark):
     assert mixing.mix(docs).collect() == []
 
 
+def test_misses_of_a_mix(spark):
+    rows = [(i, "x" * 400, "en", "ab"[i % 2]) for i in range(100)]
+    rows += [(i, "x" * 400, "de", "a") for i in range(100, 104)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    even = {"source": spark.createDataFrame([("a", 1.0), ("b", 1.0)], "value string, share double")}
+    met = {(r.dimension, r.value): r for r in mixing.misses(docs, targets=even).collect()}
+    assert met["source", "a"].asked == 0.5
+    assert all(abs(r.asked - r.expected) < 1e-3 for r in met.values())
+    # more German than there is, for a sample of three quarters
+    asked = {"lang": spark.createDataFrame([("de", 1.0), ("en", 1.0)], "value string, share double")}
+    off = {(r.dimension, r.value): r for r in mixing.misses(docs, targets=asked, share=0.75).collect()}
+    assert off["lang", "de"].asked == 0.5
+    assert off["lang", "de"].expected == pytest.approx(4 / 78, abs=0.01)
+    assert mixing.misses(docs.where("false")).collect() == []
+
+
 # --- queries and pipeline ------------------------------------------------------------
 
 
