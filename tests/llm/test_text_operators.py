@@ -117,6 +117,22 @@ def test_decontamination(spark, docs, block_bytes):
         assert row.n_words == row.doc_id
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 30])
+def test_decontamination_beside_columns_of_its_own_names(spark, block_bytes):
+    benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
+    names = ["_words0", "_spans0", "_items0", "_found", "_FOUND__items0", "_cut"]
+    docs = spark.createDataFrame(
+        [(i, text, *range(6)) for i, text in enumerate(TEXTS[:6])], ["doc_id", "text", *names]
+    )
+    found = decontaminate.find(docs, benchmark, block_bytes=block_bytes)
+    assert found.columns == [*docs.columns, "_words", "_spans", "_items"]
+    for row in found.collect():
+        assert [row[name] for name in names] == [*range(6)]
+        assert (row._words, row._items) == _contaminated(row.text, ITEMS)[::2]
+    left = decontaminate.remove(docs, benchmark, block_bytes=block_bytes)
+    assert left.columns == docs.columns and left.count() > 0
+
+
 def test_decontamination_cuts_the_passages_and_nothing_else(spark, docs):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     left = {row.doc_id: row.text for row in decontaminate.remove(docs, benchmark).collect()}
