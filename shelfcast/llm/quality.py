@@ -320,14 +320,9 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 def keep(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text"):
     """The rows of ``docs`` that are kept, with its columns.
 
-    Measuring the texts once more is cheaper than moving them to a table of verdicts.
+    Measuring costs several times what storing does, so the rows are stored with what was
+    measured, and the rules that are learnt from it are applied to the stored table.
     """
-    rules = learn(stage(measure(docs, doc_id, text), "measured"), labels)
-    rows = measure(docs, doc_id, text, whole=True)
-    passes = ~base_failed() & verdict(rules).isNull()
-    # the number keeps the optimizer from moving the filter below the projections, where
-    # it would repeat every expression that the counts are built of
-    number = F.monotonically_increasing_id()
-    marked = rows.select("_row", passes.alias("_passes"), number.alias("_at"))
-    kept = marked.where("_passes AND _at >= 0")
+    rows = stage(measure(docs, doc_id, text, whole=True), "measured")
+    kept = rows.where(~base_failed() & verdict(learn(rows, labels)).isNull())
     return kept.select(*[F.col("_row")[name].alias(name) for name in docs.columns])

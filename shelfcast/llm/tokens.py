@@ -1,7 +1,9 @@
 """Token ids of a corpus in bit-plane files.
 
 Encoding: a text is cut where the tokenizer cuts it anyway, each distinct piece of a
-shard is encoded once by the tokenizers library, and the ids are put together again.
+shard is encoded once by the tokenizers library, and the ids are put together again. That
+holds for tokenizers that fold and cut texts in one way (``cuts_alike``); with any other, whole
+texts are encoded.
 
 File format: a folder of Parquet files, written and committed by Spark, so it lives on
 any store Spark writes to and survives lost executors. Files follow each other by
@@ -23,8 +25,10 @@ come first; rows with the same id are all kept, one after the other.
 
 from __future__ import annotations
 
+import json
 import math
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfcast.llm.textscan import LOWER, Words, byte_class, shards, spread, utf8
+from shelfcast.llm.textscan import (
+    LOWER,
+    Words,
+    bounded_batches,
+    byte_class,
+    release_memory,
+    shards,
+    spread,
+    utf8,
+)
 from shelfcast.session import fresh_path
 
 END_ID = 1
@@ -42,7 +55,13 @@ SEGMENT_IDS = 1 << 19
 PART_BYTES = 24 * 1024**2
 #: Of a larger corpus the parts grow; a part is sorted by Spark and written in segments.
 MAX_PARTS = 20_000
-CACHED_WORDS = 1 << 20
+#: Texts are cut and encoded by this many bytes at a time.
+SHARD_BYTES = 1 << 19
+#: What a task may remember of pieces and their ids, and how many new ones it encodes at once.
+CACHED_BYTES = 16 * 1024**2
+FRESH_PIECES = 4096
+#: Row groups of the files: a row is a segment of a megabyte or so.
+ROW_GROUP_BYTES = 16 * 1024**2
 
 SEGMENT = (
     "part int, segment int, start long, doc_ids array<long>, n_tokens array<long>, "
@@ -132,11 +151,32 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words.at(np.where(kind == 1, LOWER[data], data), offsets, starts, ends)
 
 
+#: How a tokenizer must fold texts and cut them for ``pieces`` to cut alike.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_alike(path: str) -> bool:
+    """Whether the tokenizer of a file folds and cuts texts as ``pieces`` does."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    normalizers = (told.get("normalizer") or {}).get("normalizers") or []
+    splits = (told.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    replaced = [one.get("pattern") for one in normalizers if one.get("type") == "Replace"]
+    return (
+        [one.get("type") for one in normalizers] == _NORMALIZERS
+        and replaced == [{"Regex": r"\s+"}]
+        and [one.get("type") for one in splits] == ["Split", "ByteLevel"]
+        and splits[0].get("pattern") == {"Regex": _SPLIT}
+        and (splits[0].get("behavior"), splits[0].get("invert")) == ("Removed", True)
+    )
+
+
 class Encoder:
-    """Ids of texts; remembers up to ``CACHED_WORDS`` pieces from one shard to the next."""
+    """Ids of texts; remembers up to ``CACHED_BYTES`` of pieces from one shard to the next."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.by_piece = Tokenizer.from_file(path), cuts_alike(path)
         self.forget()
 
     def forget(self) -> None:
@@ -145,19 +185,32 @@ class Encoder:
         self.text, self.text_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
         self.ids, self.ids_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [one.ids for one in found]
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and how many each has."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for low in range(0, len(texts), FRESH_PIECES):
+            some = texts[low : low + FRESH_PIECES]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            lists = [one.ids for one in found]
+            counts.append(np.array([*map(len, lists)], np.int64))
+            ids.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(counts[-1].sum())))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    @property
+    def held(self) -> int:
+        """Bytes that are remembered."""
+        parts = (self.hash, self.place, self.text, self.text_at, self.ids, self.ids_at)
+        return sum(part.nbytes for part in parts)
 
     def _learn(self, words: Words, hashes: np.ndarray, which: np.ndarray) -> None:
         raw = words.data.tobytes()
         fresh = [raw[a:b] for a, b in zip(words.starts[which], words.ends[which])]
-        ids = self._library([one.decode("utf-8", "replace") for one in fresh])
+        ids, counts = self._library([one.decode("utf-8", "replace") for one in fresh])
         known = len(self.text_at) - 1
         self.text = np.concatenate([self.text, np.frombuffer(b"".join(fresh), np.uint8)])
         self.text_at = np.append(self.text_at, self.text_at[-1] + np.cumsum([*map(len, fresh)]))
-        self.ids = np.concatenate([self.ids, *(np.array(one, np.uint32) for one in ids)])
-        self.ids_at = np.append(self.ids_at, self.ids_at[-1] + np.cumsum([*map(len, ids)]))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ids_at = np.append(self.ids_at, self.ids_at[-1] + np.cumsum(counts))
         joined = np.concatenate([self.hash, hashes[which]])
         order = np.argsort(joined, kind="stable")
         self.hash = joined[order]
@@ -171,12 +224,19 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None):
         """Ids of all texts one after the other, and how many each has, ``end`` included."""
+        if not self.by_piece:
+            raw = data.tobytes()
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])]
+            ids, counts = self._library(texts)
+            if end is None:
+                return ids, counts
+            return np.insert(ids, np.cumsum(counts), np.uint32(end)), counts + 1
         words = pieces(data, offsets)
         hashes = words.hashes()
         distinct, sample, number = np.unique(hashes, return_index=True, return_inverse=True)
         _, found = self._find(distinct)
         if not found.all():
-            if len(self.hash) > CACHED_WORDS:
+            if self.held > CACHED_BYTES:
                 self.forget()
                 found[:] = False
             self._learn(words, hashes, sample[~found])
@@ -189,12 +249,11 @@ class Encoder:
         if not equal.all():  # two pieces of one hash: encode these as they are
             raw = words.data.tobytes()
             odd = np.flatnonzero(~equal)
-            apart = self._library(
+            apart, counts[odd] = self._library(
                 [raw[words.starts[i] : words.ends[i]].decode("utf-8", "replace") for i in odd]
             )
-            counts[odd] = [*map(len, apart)]
             starts[odd] = len(pool) + np.cumsum(counts[odd]) - counts[odd]
-            pool = np.concatenate([pool, *(np.array(one, np.uint32) for one in apart)])
+            pool = np.concatenate([pool, apart])
         if end is not None:
             starts = np.insert(starts, words.first[1:], len(pool))
             counts = np.insert(counts, words.first[1:], 1)
@@ -238,6 +297,7 @@ def write(
     segment_ids: int = SEGMENT_IDS,
 ) -> None:
     """Encode all texts and write them in ascending order of their whole-number ids."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     bounds = _bounds(docs, "doc_id", "text", part_bytes)
     widest = max(Tokenizer.from_file(tokenizer).get_vocab_size(True) - 1, end or 0, 1)
@@ -246,7 +306,7 @@ def write(
     def encode(batches):
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            for low, high in shards(offsets):
+            for low, high in shards(offsets, SHARD_BYTES):
                 part = data[offsets[low] : offsets[high]]
                 ids, counts = _encoder(tokenizer).encode(
                     part, offsets[low : high + 1] - offsets[low], end
@@ -267,6 +327,10 @@ def write(
                     ],
                     ["doc_id", "part", "ids"],
                 )
+            release_memory(last=False)
+        # the worker goes on to other tasks
+        _encoder.cache_clear()
+        release_memory()
 
     def segments(batches):
         segment, start, part, held, names = 0, 0, 0, [], []
@@ -294,10 +358,12 @@ def write(
                 size += len(held[-1])
         if held:
             yield flush()
+        release_memory()
 
     encoded = docs.mapInArrow(encode, "doc_id long, part int, ids binary")
     parts = encoded.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("doc_id")
-    parts.mapInArrow(segments, SEGMENT).write.parquet(path, compression="none")
+    writer = parts.mapInArrow(segments, SEGMENT).write
+    writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path, compression="none")
 
 
 _SEGMENT = pa.schema(
@@ -355,6 +421,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     ],
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
+            release_memory(last=False)
 
     segments = spark.read.parquet(path).select(
         "part", "start", "doc_ids", "n_tokens", "mode", "width", "index", "planes"
