@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from shelfcast.llm import graph, mixing, neardup, queries, urlfilter
@@ -420,3 +423,9 @@ def test_pipeline(spark):
     last = corpus_pipeline.run(spark, FOLDER).orderBy("doc_id").collect()
     assert [row.doc_id for row in last] == sorted(row.doc_id for row in mixed.collect())
     assert [row.start for row in last[1:]] == [row.start + row.n_tokens for row in last[:-1]]
+    library = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    texts = {row.doc_id: row.text for row in mixed.collect()}
+    for row in last:
+        ids = [*library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids, 1]
+        assert row.n_tokens == len(ids)
+        assert row.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())

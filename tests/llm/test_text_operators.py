@@ -18,7 +18,7 @@ import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from shelfcast.llm import (
     chat,
@@ -150,6 +150,25 @@ def test_decontamination_of_nothing(spark, docs):
     assert decontaminate.find(_empty(docs), benchmark).collect() == []
 
 
+def test_any_tokenizer_encodes_whole_texts(spark, tmp_path):
+    words = {w: i for i, w in enumerate(["[UNK]", "The", "the", "cat", "Cat", "."])}
+    plain = Tokenizer(models.WordLevel(words, unk_token="[UNK]"))
+    plain.pre_tokenizer = pre_tokenizers.Whitespace()
+    plain.save(str(tmp_path / "plain.json"))
+    byte_level = public_tokenizers.path("byte_bpe_50k.json")
+    assert tokens.cuts_alike(WORD_BPE)
+    rows = [*enumerate(["The cat.", None, "the Cat dog", "", "  The  1 2"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for path in (str(tmp_path / "plain.json"), byte_level):
+        assert not tokens.cuts_alike(path)
+        library, folder = Tokenizer.from_file(path), tokens.fresh_folder(spark)
+        tokens.write(docs, folder, path)
+        found = {r.doc_id: np.frombuffer(r.ids, "<u4") for r in tokens.read(spark, folder).collect()}
+        for name, text in rows:
+            want = library.encode(text or "", add_special_tokens=False).ids
+            assert found[name].tolist() == [*want, tokens.END_ID]
+
+
 # --- language ------------------------------------------------------------------------
 
 
