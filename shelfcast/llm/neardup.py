@@ -52,6 +52,8 @@ BLOCK = 768
 BLOCK_SHINGLES = 1_000_000
 #: Ids up to this many are broadcast to pick texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
+#: A bucket with more than one of so many rows is looked up by broadcast.
+HOT_SHARE = 1000
 
 _BINS = BANDS * ROWS
 _ATTEMPTS = 64
@@ -298,6 +300,25 @@ def _blocks(members: DataFrame, columns: list[str]) -> DataFrame:
     return dealt.select(*kept, F.inline("places"))
 
 
+def _members(reps: DataFrame) -> DataFrame:
+    """``rep, bucket, center`` of classes that share a bucket with others.
+
+    A bucket with over a thousandth of all rows, of which there are less than a thousand, gets
+    its centre by broadcast, so none gathers in one task.
+    """
+    each = reps.select("rep", F.explode("bands").alias("bucket"))
+    shared = each.groupBy("bucket").agg(
+        F.min("rep").alias("center"), F.max("rep").alias("last"), F.count("*").alias("n")
+    )
+    shared = stage(shared.where("center <> last").select("bucket", "center", "n"), "buckets")
+    hot = F.col("n") > reps.count() * BANDS / HOT_SHARE
+    often, seldom = shared.where(hot), shared.where(~hot).select("bucket", "center")
+    looked_up = each.join(F.broadcast(often), "bucket", "left")
+    rest = looked_up.where("n is null").select("rep", "bucket").join(seldom, "bucket")
+    found = looked_up.where("n is not null").select("rep", "bucket", "center")
+    return found.unionByName(rest)
+
+
 def _missed(members: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
     """Links ``a, b`` between components that still share a bucket."""
     labels = found.withColumnRenamed("node", "rep")
@@ -339,10 +360,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     classes = stage(classes.select(*key, "first.*").withColumnRenamed("doc_id", "rep"), "classes")
     reps = classes.select("rep", "n_shingles", "bands")
 
-    each = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = each.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
-    shared = shared.where("center <> last").select("bucket", "center")
-    members = stage(each.join(shared, "bucket"), "members")
+    members = stage(_members(reps), "members")
     star = members.where("rep <> center").select("rep", "center").toDF("a", "b").distinct()
     links = stage(_confirm(stage(star, "edges"), docs), "confirmed")
 
