@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 from functools import lru_cache
 from itertools import chain
 
@@ -57,8 +58,8 @@ PART_BYTES = 24 * 1024**2
 MAX_PARTS = 20_000
 #: Texts are cut and encoded by this many bytes at a time.
 SHARD_BYTES = 1 << 19
-#: What a task may remember of pieces and their ids, and how many new ones it encodes at once.
-CACHED_BYTES = 16 * 1024**2
+#: What a worker may remember of pieces and their ids, and how many new ones it encodes at once.
+CACHED_BYTES = 32 * 1024**2
 FRESH_PIECES = 4096
 #: Row groups of the files: a row is a segment of a megabyte or so.
 ROW_GROUP_BYTES = 16 * 1024**2
@@ -268,6 +269,8 @@ class Encoder:
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> Encoder:
+    """One for all tasks of a worker: the library does not give all of its memory back."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are what runs side by side
     return Encoder(path)
 
 
@@ -327,9 +330,6 @@ def write(
                     ],
                     ["doc_id", "part", "ids"],
                 )
-            release_memory(last=False)
-        # the worker goes on to other tasks
-        _encoder.cache_clear()
         release_memory()
 
     def segments(batches):
@@ -421,7 +421,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     ],
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
-            release_memory(last=False)
+        release_memory()
 
     segments = spark.read.parquet(path).select(
         "part", "start", "doc_ids", "n_tokens", "mode", "width", "index", "planes"
