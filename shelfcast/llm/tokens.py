@@ -43,9 +43,9 @@ from shelfcast.llm.textscan import (
     Words,
     bounded_batches,
     byte_class,
+    indices,
     release_memory,
     shards,
-    spread,
     utf8,
 )
 from shelfcast.session import fresh_path
@@ -61,6 +61,9 @@ SHARD_BYTES = 1 << 19
 #: What a worker may remember of pieces and their ids, and how many new ones it encodes at once.
 CACHED_BYTES = 32 * 1024**2
 FRESH_PIECES = 4096
+#: So many new pieces go to the tokenizer as one text, each with a mark of one id behind it.
+JOINED_PIECES = 64
+MARK = "\x01"
 #: Row groups of the files: a row is a segment of a megabyte or so.
 ROW_GROUP_BYTES = 16 * 1024**2
 
@@ -114,6 +117,8 @@ _LETTER = byte_class(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
 _DIGIT = byte_class(lambda b: 0x30 <= b <= 0x39)
 # not the marks that contractions and special tokens are made of
 _MARK = byte_class(lambda b: chr(b) in '!"#$%&()*+,-./:;=?@[\\]^_`{}~')
+#: What ASCII bytes are: 1 letters, 2 digits, 3 marks.
+_KIND = (_LETTER + 2 * _DIGIT.astype(np.int8) + 3 * _MARK.astype(np.int8)).astype(np.int8)
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -130,10 +135,8 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> Words:
     following[:-1] = latin[1:]
     lead &= following
     before[1:] = lead[:-1]
-    kind = np.zeros(len(data), np.int8)
-    kind[_LETTER[data] | lead | (latin & before)] = 1
-    kind[_DIGIT[data]] = 2
-    kind[_MARK[data]] = 3
+    kind = _KIND[data]
+    kind[lead | (latin & before)] = 1
     chunks = Words(data, offsets, ~_BLANK)
     if not len(chunks):
         return chunks
@@ -141,8 +144,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> Words:
     if odd.any():
         count = np.concatenate([[0], np.cumsum(odd)])
         whole = np.flatnonzero(count[chunks.ends] > count[chunks.starts])
-        at, _ = spread(chunks.starts[whole], chunks.lengths[whole])
-        kind[at] = 4
+        kind[indices(chunks.starts[whole], chunks.lengths[whole])] = 4
     edge = np.ones(len(data) + 1, bool)
     edge[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
     edge[offsets] = True
@@ -178,6 +180,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer, self.by_piece = Tokenizer.from_file(path), cuts_alike(path)
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.forget()
 
     def forget(self) -> None:
@@ -197,6 +200,31 @@ class Encoder:
             ids.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(counts[-1].sum())))
         return np.concatenate(ids), np.concatenate(counts)
 
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_library`` of pieces, in fewer and longer texts.
+
+        Blanks and marks are cut from pieces, so these have the ids that they have alone. Pieces
+        that hold a mark themselves show by the number of marks, and are encoded one by one.
+        """
+        if len(self.mark) != 1:
+            return self._library(texts)
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for low in range(0, len(texts), FRESH_PIECES):
+            some = texts[low : low + FRESH_PIECES]
+            groups = [some[at : at + JOINED_PIECES] for at in range(0, len(some), JOINED_PIECES)]
+            joined = [f" {MARK} ".join([*group, ""]) for group in groups]
+            found, sizes = self._library(joined)
+            marks = found == self.mark[0]
+            before = np.concatenate([[0], np.cumsum(marks)])[np.cumsum(sizes)]
+            if (before == np.cumsum([*map(len, groups)])).all():
+                counts.append(np.diff(np.flatnonzero(marks), prepend=-1) - 1)
+                ids.append(found[~marks])
+            else:
+                apart, each = self._library(some)
+                ids.append(apart)
+                counts.append(each)
+        return np.concatenate(ids), np.concatenate(counts)
+
     @property
     def held(self) -> int:
         """Bytes that are remembered."""
@@ -205,8 +233,9 @@ class Encoder:
 
     def _learn(self, words: Words, hashes: np.ndarray, which: np.ndarray) -> None:
         raw = words.data.tobytes()
-        fresh = [raw[a:b] for a, b in zip(words.starts[which], words.ends[which])]
-        ids, counts = self._library([one.decode("utf-8", "replace") for one in fresh])
+        ranges = zip(words.starts[which].tolist(), words.ends[which].tolist())
+        fresh = [raw[a:b] for a, b in ranges]
+        ids, counts = self._pieces([one.decode("utf-8", "replace") for one in fresh])
         known = len(self.text_at) - 1
         self.text = np.concatenate([self.text, np.frombuffer(b"".join(fresh), np.uint8)])
         self.text_at = np.append(self.text_at, self.text_at[-1] + np.cumsum([*map(len, fresh)]))
@@ -233,7 +262,7 @@ class Encoder:
                 return ids, counts
             return np.insert(ids, np.cumsum(counts), np.uint32(end)), counts + 1
         words = pieces(data, offsets)
-        hashes = words.hashes()
+        hashes, text = words.hashed()
         distinct, sample, number = np.unique(hashes, return_index=True, return_inverse=True)
         _, found = self._find(distinct)
         if not found.all():
@@ -244,7 +273,7 @@ class Encoder:
         at, _ = self._find(distinct)
         place = self.place[at][number] if len(words) else np.zeros(0, np.int64)
         sizes = self.text_at[place + 1] - self.text_at[place]
-        equal = words.same(np.arange(len(words)), self.text, self.text_at[place], sizes)
+        equal = words.all_same(text, self.text, self.text_at[place], sizes)
         starts, counts = self.ids_at[place], self.ids_at[place + 1] - self.ids_at[place]
         pool = self.ids
         if not equal.all():  # two pieces of one hash: encode these as they are
@@ -262,7 +291,7 @@ class Encoder:
             first = words.first + np.arange(len(words.first))
         else:
             first = words.first
-        taken, _ = spread(starts, counts)
+        taken = indices(starts, counts)
         before = np.concatenate([[0], np.cumsum(counts)])[first]
         return pool[taken], np.diff(before)
 
