@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
+from conftest import plan
 
 from shelfcast import session
+from shelfcast.operators.tails import AS_OF, tails_before
+from shelfcast.plans import incremental
 from shelfcast.testkit.tables import TABLES
 from shelfcast.testkit.views import Inputs
 
@@ -47,3 +52,29 @@ def test_smaller_tasks_are_left_alone(spark, unset, monkeypatch):
     session.bounded_tasks(spark, 20 * session.TASK_ROWS)
     assert spark.conf.get(session.ADVISORY_SIZE) == "1MB"
     assert spark.conf.get(session.INITIAL_PARTITIONS) == "500"
+
+
+def _sold(spark):
+    return spark.range(3000, numPartitions=1).selectExpr(
+        "date'2016-01-01' + int(id % 100) as date", "id % 50 as store_id", "id % 60 as item_id",
+        "double(id) as unit_sales",
+    )
+
+
+def test_tails_are_repeated_behind_their_only_shuffle(spark):
+    months = [dt.date(2016, month, 1) for month in (2, 3, 4)]
+    text = plan(tails_before(_sold(spark), months))
+    assert text.count("Exchange") == 1
+    assert text.index("Generate") < text.index("Exchange")  # parents come first
+    below = text[text.index("Exchange") :]
+    assert "Sort" not in below and "Window" not in below
+
+
+def test_tails_are_written_by_tasks_of_bounded_rows(spark, conf, tmp_path):
+    conf(session.ADVISORY_SIZE, "2KB")
+    conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
+    sold = _sold(spark).selectExpr("*", f"date'2016-04-01' as {AS_OF}")
+    incremental._store_tails(sold, str(tmp_path))
+    folder = tmp_path / incremental.TAILS / f"{AS_OF}=2016-04-01"
+    assert len(list(folder.glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(folder)).count() == 3000
